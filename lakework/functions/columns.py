@@ -39,3 +39,8 @@ def with_constants(df, **values):
 def stem(column, extension):
     """The file name without folder and extension, e.g. ``kraken`` for ``…/kraken.json``."""
     return F.regexp_extract(column, r"([^/]+)\." + extension + r"(?:/|$)", 1)
+
+
+def snapshot_name(key, time):
+    """A name per snapshot, e.g. ``kraken_2024-01-31_12-00-00``."""
+    return F.concat_ws("_", F.col(key), F.date_format(time, "yyyy-MM-dd_HH-mm-ss"))

@@ -54,15 +54,15 @@ def map_key_sets(df, columns, max_keys):
     Keys come back as text. A map with more than ``max_keys`` keys is an error:
     such data belongs in rows, not columns.
     """
-    tagged = [
-        F.transform(
-            F.coalesce(F.map_keys(column), F.array()),
-            lambda key, i=i: F.struct(F.lit(i).alias("map"), key.cast("string").alias("key")),
+    def tagged(number, column):
+        keys = F.coalesce(F.map_keys(column), F.array())
+        return F.transform(
+            keys, lambda key: F.struct(F.lit(number).alias("map"), key.cast("string").alias("key"))
         )
-        for i, column in enumerate(columns)
-    ]
+
+    entries = F.concat(*[tagged(i, column) for i, column in enumerate(columns)])
     found = (
-        df.select(F.explode(F.concat(*tagged)).alias("entry"))
+        df.select(F.explode(entries).alias("entry"))
         .select("entry.map", "entry.key")
         .distinct()
         .limit(max_keys * len(columns) + 1)

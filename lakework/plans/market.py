@@ -66,17 +66,22 @@ def write_silver(silver, path):
     write_partitioned(silver, path, "exchange_name")
 
 
-def read_silver(spark, path):
-    """All silver rows; columns that only some files have are merged by name."""
+def read_silver(spark, path, schema=None):
+    """All silver rows, columns matched by name.
+
+    Without a schema the columns of all files are merged, which reads every footer.
+    """
     try:
+        if schema is not None:
+            return spark.read.schema(schema).parquet(path)
         return spark.read.option("mergeSchema", True).parquet(path)
     except AnalysisException as error:
         raise FileNotFoundError(f"no silver data below {path}") from error
 
 
-def silver_to_gold(spark, silver_path, gold_path):
+def silver_to_gold(spark, silver_path, gold_path, schema=None):
     """Replace gold by the union of all silver files; an empty silver leaves gold alone."""
-    replace_table(read_silver(spark, silver_path), gold_path)
+    replace_table(read_silver(spark, silver_path, schema), gold_path)
 
 
 def latest(gold, keys=("exchange_name",), sort=True):
@@ -85,8 +90,8 @@ def latest(gold, keys=("exchange_name",), sort=True):
 
 
 def run(spark, lake, dataset="exchanges", sep="_"):
-    """Raw to silver to gold; returns the newest values per exchange."""
+    """Raw to silver to gold; returns the gold table."""
     silver = to_silver(read_raw(spark, lake.raw(dataset)), sep)
     write_silver(silver, lake.silver(dataset))
-    silver_to_gold(spark, lake.silver(dataset), lake.gold(dataset))
+    silver_to_gold(spark, lake.silver(dataset), lake.gold(dataset), silver.schema)
     return spark.read.parquet(lake.gold(dataset))

@@ -6,11 +6,10 @@ def preview(df, n=20):
     return df.limit(n)
 
 
-def schema_rows(df):
-    """The schema as a frame: position, name, type, nullable."""
-    rows = [
-        (i, f.name, f.dataType.simpleString(), f.nullable) for i, f in enumerate(df.schema.fields)
-    ]
+def schema_rows(df, column=None):
+    """The schema, or that of one struct column, as a frame: position, name, type, nullable."""
+    fields = df.schema.fields if column is None else df.schema[column].dataType.fields
+    rows = [(i, f.name, f.dataType.simpleString(), f.nullable) for i, f in enumerate(fields)]
     return df.sparkSession.createDataFrame(
         rows, "position bigint, name string, type string, nullable boolean"
     )

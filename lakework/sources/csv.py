@@ -34,9 +34,11 @@ def csv_header_groups(spark, path, glob="*.csv"):
     its first rows. Only header lines and file names come back to the driver, the
     same list that any Spark read of these files keeps there.
     """
-    # A sibling session, so that the one-file-per-task packing stays private.
+    # A sibling session, so that packing one split per task stays private.
     probe = spark.newSession()
-    probe.conf.set("spark.sql.files.openCostInBytes", spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    split_bytes = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    probe.conf.set("spark.sql.files.maxPartitionBytes", split_bytes)
+    probe.conf.set("spark.sql.files.openCostInBytes", split_bytes)
     lines = (
         probe.read.options(recursiveFileLookup=True, pathGlobFilter=glob)
         .text(path)

@@ -24,7 +24,7 @@ def read_json(spark, path, schema=None, multiline=False, glob="*.json", **option
 
 def read_dictionary(spark, path, glob="*.json", column="entries"):
     """One key -> list document per file as a map column."""
-    text = spark.read.options(wholetext=True, pathGlobFilter=glob).text(path)
+    text = spark.read.text(path, wholetext=True, pathGlobFilter=glob)
     return text.select(F.from_json("value", DICTIONARY_TYPE).alias(column))
 
 

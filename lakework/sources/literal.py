@@ -14,6 +14,8 @@ from pyspark.sql.types import StringType, StructType
 _TOKEN = r"""(?s)'(?:[^'\\]++|\\.)*+'|"(?:[^"\\]++|\\.)*+"|[^'"]++"""
 _DIFFERS = r"\b(?:True|False|None)\b|\\x"
 _HEX_ESCAPE = r"(?s)\G((?:[^\\]++|\\[^x])*+)\\x([0-9a-fA-F]{2})"
+# Anything up to an escape that JSON lacks or reads differently.
+_OTHER_ESCAPE = r"""(?s)^(?:[^\\]++|\\(?:[\\'"nrtbfu]|x[0-9a-fA-F]{2}))*+\\"""
 _BAD = "_bad_record"
 _JSON_OPTIONS = {
     "mode": "PERMISSIVE",
@@ -25,9 +27,11 @@ _JSON_OPTIONS = {
 
 
 def literal_to_json(text):
-    """Literal text to text that Spark's JSON parser accepts; strings are left as they are."""
+    """Literal text to text that Spark's JSON parser accepts; strings keep their content.
+
+    NULL where that takes more than a rewrite: unpaired quotes, rare escapes.
+    """
     text = F.col(text) if isinstance(text, str) else text
-    tokens = F.regexp_extract_all(text, F.lit(_TOKEN), F.lit(0))
 
     def rewrite(token):
         bare = token
@@ -36,10 +40,15 @@ def literal_to_json(text):
         inside = F.regexp_replace(token, _HEX_ESCAPE, r"$1\\u00$2")
         return F.when(token.startswith("'") | token.startswith('"'), inside).otherwise(bare)
 
-    # An unpaired quote leaves text outside every token: not ours to repair.
-    whole = F.array_join(tokens, "") == text
-    rewritten = F.when(whole, F.array_join(F.transform(tokens, rewrite), "")).otherwise(text)
-    return F.when(text.rlike(_DIFFERS), rewritten).otherwise(text)
+    def joined(tokens):
+        whole = F.array_join(tokens, "") == text
+        return F.when(whole, F.array_join(F.transform(tokens, rewrite), ""))
+
+    # A list of one, so that the tokens have a name and are found only once.
+    tokens = F.array(F.regexp_extract_all(text, F.lit(_TOKEN), F.lit(0)))
+    rewritten = F.element_at(F.transform(tokens, joined), 1)
+    other = text.contains("\\") & text.rlike(_OTHER_ESCAPE)
+    return F.when(~other & text.rlike(_DIFFERS), rewritten).when(~other, text)
 
 
 def _evaluate_udf():
@@ -74,8 +83,8 @@ def decode_literals(df, column, schema, into="record", failed="decode_failed"):
     def parsed(text):
         return F.from_json(text, lenient, _JSON_OPTIONS)
 
-    first = df.withColumn("_first", parsed(literal_to_json(column)))
-    unread = F.col("_first").getField(_BAD).isNotNull()
+    first = df.withColumn("_json", literal_to_json(column)).withColumn("_first", parsed(F.col("_json")))
+    unread = F.col("_json").isNull() | F.col("_first").getField(_BAD).isNotNull()
     second = first.withColumn("_retry", _evaluate_udf()(F.when(unread, F.col(column)))).withColumn(
         "_second", parsed(F.col("_retry"))
     )
@@ -92,8 +101,7 @@ def decode_literals(df, column, schema, into="record", failed="decode_failed"):
 def read_literals(spark, path, schema, glob="*.json"):
     """One literal document per file below ``path``; adds ``file_path`` and ``datetime``."""
     text = (
-        spark.read.options(wholetext=True, pathGlobFilter=glob)
-        .text(path)
+        spark.read.text(path, wholetext=True, pathGlobFilter=glob)
         .select(
             "value",
             F.col("_metadata.file_path").alias("file_path"),

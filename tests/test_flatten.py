@@ -1,0 +1,180 @@
+import json
+
+import pandas as pd
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, MapType, StructType
+
+from lakework.operators.flatten import FlattenError, flatten, map_key_sets, normalize
+
+SUMMARY = (
+    "exchange_name string, result struct<price:struct<last:double,high:double,low:double,"
+    "change:struct<percentage:double,absolute:double>>,volume:double,volumeQuote:double>"
+)
+
+
+def frame(spark, schema, *documents):
+    text = spark.createDataFrame([(json.dumps(d),) for d in documents], "value string")
+    return text.select(F.from_json("value", schema).alias("d")).select("d.*")
+
+
+def test_struct_children_go_to_the_end(spark):
+    names = flatten(frame(spark, SUMMARY, {})).columns
+    assert names == [
+        "exchange_name", "result_volume", "result_volumeQuote", "result_price_last",
+        "result_price_high", "result_price_low", "result_price_change_percentage",
+        "result_price_change_absolute",
+    ]
+
+
+def test_struct_only_input_is_one_projection(spark, plan):
+    source = spark.range(3).select(
+        F.struct(F.col("id").alias("a"), F.struct(F.col("id").alias("c")).alias("b")).alias("s"), "id"
+    )
+    text = plan(flatten(source), "simple")
+    assert text.count("Project") == 1 and "Exchange" not in text
+
+
+def test_null_struct_gives_null_leaves(spark):
+    df = frame(spark, "a int, s struct<x:int,y:struct<z:int>>", {"a": 1, "s": None})
+    assert flatten(df).collect() == [(1, None, None)]
+
+
+def test_arrays_keep_empty_and_null_rows(spark):
+    df = frame(spark, "a int, xs array<int>", {"a": 1, "xs": [5, 6]}, {"a": 2, "xs": []}, {"a": 3})
+    assert sorted(flatten(df).collect(), key=str) == [(1, 5), (1, 6), (2, None), (3, None)]
+
+
+def test_two_arrays_give_every_combination_unless_zipped(spark):
+    df = frame(spark, "a array<int>, b array<string>", {"a": [1, 2], "b": ["x", "y", "z"]})
+    assert flatten(df).count() == 6
+    zipped = sorted(flatten(df, zip_arrays=True).collect(), key=str)
+    assert zipped == [(1, "x"), (2, "y"), (None, "z")]
+
+
+def test_zip_keeps_rows_whose_arrays_are_missing(spark):
+    df = frame(spark, "k int, a array<int>, b array<int>", {"k": 1, "a": [1]}, {"k": 2, "a": [], "b": []})
+    assert sorted(flatten(df, zip_arrays=True).collect(), key=str) == [(1, 1, None), (2, None, None)]
+
+
+def test_array_of_structs_and_arrays_of_arrays(spark):
+    df = frame(
+        spark, "xs array<struct<a:int,b:array<array<int>>>>, t string",
+        {"xs": [{"a": 1, "b": [[1, 2], [3]]}, {"a": 2}], "t": "q"},
+    )
+    out = flatten(df)
+    assert out.columns == ["t", "xs_a", "xs_b"]
+    assert sorted(out.collect(), key=str) == [("q", 1, 1), ("q", 1, 2), ("q", 1, 3), ("q", 2, None)]
+
+
+def test_arrays_as_text(spark):
+    df = frame(spark, "k int, a array<int>", {"k": 1, "a": [1, 2]})
+    assert flatten(df, explode_arrays=False).collect() == [(1, "[1,2]")]
+
+
+def test_map_keys_sorted_and_missing_ones_null(spark):
+    df = frame(
+        spark, "m map<string,int>, k int", {"m": {"b": 2, "a": 1}, "k": 1}, {"m": {}, "k": 2},
+        {"m": None, "k": 3}, {"m": {"c": 3}, "k": 4},
+    )
+    out = flatten(df)
+    assert out.columns == ["k", "m_a", "m_b", "m_c"]
+    assert sorted(out.collect(), key=str) == [
+        (1, 1, 2, None), (2, None, None, None), (3, None, None, None), (4, None, None, 3)
+    ]
+
+
+def test_map_with_number_keys(spark):
+    df = spark.sql("select map(2, 'x', 10, 'y') as m")
+    assert flatten(df).first().asDict() == {"m_10": "y", "m_2": "x"}
+
+
+def test_empty_map_column_disappears(spark):
+    df = frame(spark, "m map<string,int>, k int", {"m": {}, "k": 1})
+    assert flatten(df).collect() == [(1,)]
+
+
+def test_map_in_struct_in_array(spark):
+    df = frame(
+        spark, "xs array<struct<m:map<string,struct<v:int>>>>",
+        {"xs": [{"m": {"p": {"v": 1}}}, {"m": {"q": {"v": 2}}}]},
+    )
+    out = flatten(df)
+    assert out.columns == ["xs_m_p_v", "xs_m_q_v"]
+    assert sorted(out.collect(), key=str) == [(1, None), (None, 2)]
+
+
+def test_too_many_map_keys_is_an_error(spark):
+    df = spark.range(20).select(F.create_map(F.col("id").cast("string"), "id").alias("m"))
+    assert len(flatten(df, max_map_keys=20).columns) == 20
+    with pytest.raises(FlattenError):
+        flatten(df, max_map_keys=19)
+
+
+def test_all_maps_are_searched_in_one_job(spark):
+    df = frame(spark, "m map<string,int>, n map<string,int>", {"m": {"a": 1}, "n": {"b": 1, "a": 2}})
+    assert map_key_sets(df, [F.col("m"), F.col("n")], 5) == [["a"], ["a", "b"]]
+    assert flatten(df).columns == ["m_a", "n_a", "n_b"]
+
+
+def test_given_map_keys_need_no_job(spark):
+    df = frame(spark, "m map<string,int>", {"m": {"a": 1}})
+    assert flatten(df, map_keys={"m": ["a", "z"]}).collect() == [(1, None)]
+
+
+def test_name_collision_is_an_error(spark):
+    df = frame(spark, "a_b int, a struct<b:int>", {"a_b": 1, "a": {"b": 2}})
+    with pytest.raises(FlattenError):
+        flatten(df)
+    assert flatten(df, sep=".").columns == ["a_b", "a.b"]
+
+
+def test_passing_collision_with_a_nested_column_is_fine(spark):
+    df = frame(spark, "a_b struct<c:int>, a struct<b:int>", {"a_b": {"c": 1}, "a": {"b": 2}})
+    assert flatten(df).first().asDict() == {"a_b_c": 1, "a_b": 2}
+
+
+def test_field_names_with_dots_and_backticks(spark):
+    df = frame(spark, "`x.y` struct<`p.q`:int, `r``s`:array<int>>", {"x.y": {"p.q": 1, "r`s": [7]}})
+    assert flatten(df).first().asDict() == {"x.y_p.q": 1, "x.y_r`s": 7}
+
+
+def test_normalize_matches_pandas(spark):
+    document = {
+        "b": {"y": 1, "z": {"k": "t"}}, "a": 1, "list": [1, 2], "c": {"x": None, "w": 2.5}, "d": "s",
+    }
+    schema = "b struct<y:int,z:struct<k:string>>, a int, list array<int>, c struct<x:int,w:double>, d string"
+    out = normalize(frame(spark, schema, document))
+    expected = pd.json_normalize(document)
+    assert out.columns == list(expected.columns)
+    row = out.first().asDict()
+    assert row.pop("list") == "[1,2]"
+    assert row == {k: v for k, v in expected.iloc[0].to_dict().items() if k != "list"}
+
+
+def test_normalize_widens_nested_maps(spark):
+    df = frame(spark, "m map<string,map<string,int>>, k int", {"m": {"a": {"x": 1}, "b": {"y": 2}}, "k": 0})
+    assert normalize(df).first().asDict() == {"k": 0, "m.a.x": 1, "m.b.y": 2}
+
+
+def _type(depth):
+    scalar = st.sampled_from(["int", "string", "double"])
+    if depth == 0:
+        return scalar
+    fields = st.lists(st.deferred(lambda: _type(depth - 1)), min_size=1, max_size=3)
+    struct = fields.map(lambda ts: "struct<" + ",".join(f"f{i}:{t}" for i, t in enumerate(ts)) + ">")
+    return st.one_of(scalar, struct)
+
+
+@given(st.lists(_type(3), min_size=1, max_size=4))
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+def test_any_struct_becomes_flat_with_all_rows(spark, types):
+    schema = ", ".join(f"c{i} {t}" for i, t in enumerate(types))
+    df = spark.createDataFrame([(None,) * len(types)] * 3, schema)
+    flat, dotted = flatten(df), normalize(df)
+    nested = (StructType, ArrayType, MapType)
+    assert not any(isinstance(f.dataType, nested) for f in flat.schema.fields)
+    assert sorted(flat.columns) == sorted(c.replace(".", "_") for c in dotted.columns)
+    assert flat.count() == 3

@@ -1,0 +1,206 @@
+import json
+import os
+
+import pandas as pd
+import pytest
+from pyspark.sql import functions as F
+
+from lakework.layers import Lake
+from lakework.plans import flights, market, movies, universe
+from lakework.plans.schema_report import schema_report
+from lakework.sinks.files import write_report
+from lakework.sources.responses import (
+    ENVELOPE, EXCHANGES, response_counts, result_rows, succeeded, with_data, with_summary_url,
+)
+
+MOVIES = """movieId,title,genres
+1,"Matrix, The (1999)",Action
+2,Twin (1990),Drama
+3,Twin (1990),Comedy
+4,Alone (2000),Drama
+"""
+RATINGS = """userId,movieId,rating,timestamp
+1,1,4.0,964982703
+2,1,abc,964982703
+3,1,3.0,
+4,2,5.0,964982703
+5,3,4.0,964982703
+6,4,,964982703
+7,,1.0,964982703
+8,9,1.0,964982703
+"""
+
+
+@pytest.fixture
+def movie_tables(spark, tmp_path):
+    (tmp_path / "movies.csv").write_text(MOVIES)
+    (tmp_path / "ratings.csv").write_text(RATINGS)
+    tables = {}
+    movies.load(spark, str(tmp_path / "movies.csv"), str(tmp_path / "ratings.csv"), tables.__setitem__)
+    return tables
+
+
+def test_movies_are_loaded_with_types(movie_tables):
+    assert dict(movie_tables["ratings"].dtypes) == {
+        "userId": "string", "movieId": "string", "rating": "double", "timestamp": "timestamp"
+    }
+    assert set(dict(movie_tables["movies"].dtypes).values()) == {"string"}
+
+
+def test_movies_report(spark, movie_tables, tmp_path):
+    rows = movies.report(movie_tables["movies"], movie_tables["ratings"]).collect()
+    # A shared title counts together, a missing time is not counted, a bad rating
+    # is counted but not averaged.
+    assert rows == [("Matrix, The (1999)", 2, 3.5), ("Twin (1990)", 2, 4.5), ("Alone (2000)", 1, None)]
+    apart = movies.most_rated(movie_tables["movies"], movie_tables["ratings"], by=("movieId", "title"))
+    assert apart.count() == 4
+    counted = movies.most_rated(movie_tables["movies"], movie_tables["ratings"])
+    write_report(counted, str(tmp_path / "out"), [F.desc("qty_ratings"), F.asc("title")], 10)
+    file = next((tmp_path / "out").glob("part-*.csv"))
+    assert file.read_text().splitlines()[:2] == [
+        "title,qty_ratings,avg_rating", '"Matrix, The (1999)",2,3.5'
+    ]
+
+
+def test_movies_report_reads_only_what_it_needs(spark, movie_tables, tmp_path, plan):
+    for name, frame in movie_tables.items():
+        frame.write.parquet(str(tmp_path / name))
+    stored = [spark.read.parquet(str(tmp_path / n)) for n in ("movies", "ratings")]
+    text = plan(movies.report(*stored))
+    assert "ReadSchema: struct<movieId:string,title:string>" in text
+    assert "ReadSchema: struct<movieId:string,rating:double,timestamp:timestamp>" in text
+    assert "PushedFilters: [IsNotNull(movieId)]" in text
+
+
+def summary(price, **extra):
+    return {
+        "result": {"price": {"last": price, "change": {"percentage": 0.5}}, "volume": 2, **extra},
+        "allowance": {"cost": 0.002, "remaining": 9.9},
+    }
+
+
+def responses(spark, *rows):
+    filled = [(e, p, f"u/{e}", status, body, pd.Timestamp(t).to_pydatetime()) for e, p, status, body, t in rows]
+    return spark.createDataFrame(filled, ENVELOPE)
+
+
+def test_market_from_responses_to_newest_price(spark, tmp_path):
+    lake = Lake(str(tmp_path))
+    calls = responses(
+        spark,
+        ("kraken", "btcbrl", 200, json.dumps(summary(10)), "2024-01-01 00:00:00"),
+        ("kraken", "btcbrl", 200, json.dumps(summary(11.5)), "2024-01-01 00:02:00.000001"),
+        ("bisq", "btcbrl", 200, json.dumps(summary(9)), "2024-01-01 00:01:00"),
+        ("ftx", "btcbrl", 500, "<html>", "2024-01-01 00:01:00"),
+    )
+    assert response_counts(calls).first() == (4, 3, 1)
+    for _ in range(2):
+        market.land(calls, lake.raw("exchanges"))
+        gold = market.run(spark, lake)
+    assert gold.count() == 3 and not [c for c in gold.columns if c.startswith("allowance")]
+    newest = market.latest(gold).select("exchange_name", "result_price_last").collect()
+    assert newest == [("bisq", 9.0), ("kraken", 11.5)]
+    # A later round replaces the exchanges it holds and no other.
+    market.land(responses(spark, ("bisq", "btcbrl", 200, json.dumps(summary(8)), "2024-01-02")), lake.raw("exchanges"))
+    newest = market.latest(market.run(spark, lake)).select("exchange_name", "result_price_last").collect()
+    assert newest == [("bisq", 8.0), ("kraken", 11.5)]
+
+
+def test_market_from_legacy_literals_with_dotted_names(spark, tmp_path):
+    for name, price in (("kraken", 10.5), ("bisq", 9)):
+        document = {**summary(price), "exchange_name": name}
+        (tmp_path / f"{name}.json").write_text(str(document))
+        os.utime(tmp_path / f"{name}.json", (1699164000, 1699164000))
+    (tmp_path / "broken.json").write_text("{'result': ")
+    documents = market.read_raw_literals(spark, str(tmp_path))
+    assert documents.where("decode_failed").count() == 1
+    good = documents.where("not decode_failed").drop("decode_failed")
+    silver = market.to_silver(good, sep=".")
+    assert silver.columns[-3:] != [] and "result.price.last" in silver.columns
+    assert not [c for c in silver.columns if c.startswith("allowance")]
+    rows = silver.select("exchange_name", "`result.price.last`", "datetime").orderBy("exchange_name").collect()
+    assert [tuple(r)[:2] for r in rows] == [("bisq", 9.0), ("kraken", 10.5)]
+    assert all(r.datetime is not None for r in rows)
+    flat = market.to_silver(good)
+    assert sorted(c.replace(".", "_") for c in silver.columns) == sorted(flat.columns)
+
+
+def test_empty_silver_leaves_gold_alone(spark, tmp_path):
+    lake = Lake(str(tmp_path))
+    spark.range(1).write.parquet(lake.gold("exchanges"))
+    with pytest.raises(FileNotFoundError):
+        market.silver_to_gold(spark, lake.silver("exchanges"), lake.gold("exchanges"))
+    spark.range(0).write.parquet(lake.silver("exchanges"))
+    with pytest.raises(ValueError):
+        market.silver_to_gold(spark, lake.silver("exchanges"), lake.gold("exchanges"))
+    assert spark.read.parquet(lake.gold("exchanges")).count() == 1
+
+
+def test_silver_columns_are_merged_by_name(spark, tmp_path):
+    path = str(tmp_path / "silver")
+    a = spark.createDataFrame([("a", 1.0)], "exchange_name string, p double")
+    b = spark.createDataFrame([("b", 2.0)], "exchange_name string, q double")
+    market.write_silver(a, path)
+    market.write_silver(b, path)
+    rows = market.read_silver(spark, path).select("exchange_name", "p", "q").collect()
+    assert sorted(rows) == [("a", 1.0, None), ("b", None, 2.0)]
+
+
+def test_responses(spark):
+    calls = responses(
+        spark, ("a", "p", 200, '{"result": [{"symbol": "s", "route": "r"}]}', "2024-01-01"),
+        ("b", "p", 404, "no", "2024-01-01"), ("c", "p", None, None, "2024-01-01"),
+    )
+    assert succeeded(calls).count() == 1
+    kept = with_data(calls, EXCHANGES).orderBy("exchange_name").collect()
+    assert [r.data is None for r in kept] == [False, True, True]
+    assert result_rows(calls, EXCHANGES).collect() == [("s", "r")]
+    assert response_counts(calls).first() == (3, 1, 2)
+    url = with_summary_url(calls, into="to").orderBy("exchange_name").first().to
+    assert url.endswith("/markets/a/p/summary")
+
+
+def test_pair_universe(spark):
+    def pair(symbol, base, base_fiat, quote, quote_fiat):
+        return {"symbol": symbol, "base": {"symbol": base, "fiat": base_fiat},
+                "quote": {"symbol": quote, "fiat": quote_fiat}}
+
+    body = json.dumps({"result": [
+        pair("btcusd", "btc", False, "usd", True), pair("ethusd", "eth", False, "usd", True),
+        pair("btceth", "btc", False, "eth", False), pair("usdbtc", "usd", True, "btc", False),
+    ]})
+    calls = responses(spark, ("", "", 200, body, "2024-01-01"))
+    assert [r.symbol for r in universe.wanted_pairs(calls).collect()] == ["btcusd"]
+    pairs = result_rows(calls, universe.PAIRS)
+    assert universe.pair_funnel(pairs).first() == (4, 3, 2, 1)
+    detail = json.dumps({"result": {"symbol": "btcusd", "markets": [{"exchange": "kraken"}, {"exchange": "bisq"}]}})
+    details = responses(
+        spark, ("", "btcusd", 200, detail, "2024-01-01"), ("", "btcbrl", 500, "", "2024-01-01")
+    )
+    known = universe.pair_exchanges(details)
+    assert known.collect() == [("btcusd", ["kraken", "bisq"])]
+    assert universe.exchange_rows(known).count() == 2
+    assert universe.budget_per_pair(known).first().calls == 2
+    assert universe.budget_total(known).first().cost_per_round == 0.004
+
+
+def test_flight_lake(spark, tmp_path):
+    lake = Lake(str(tmp_path))
+    raw, silver, gold = (lake.path(layer, "airplane-delay") for layer in ("raw", "silver", "gold"))
+    os.makedirs(raw)
+    with open(f"{raw}/2018.csv", "w") as file:
+        file.write("FL_DATE,ORIGIN,DEST,DEP_DELAY\n2018-01-01,ABR,JFK,5.0\n2018-01-02,JFK,ABR,\n2017-12-31,ABR,JFK,-1\n")
+    for _ in range(2):
+        flights.raw_to_silver(spark, raw, silver)
+        flights.silver_to_gold(spark, silver, gold)
+    assert sorted(flights.per_origin(spark, gold).collect()) == [("ABR", 2), ("JFK", 1)]
+    profile, estimate = flights.origin_summary(spark, gold, "ABR")
+    assert {r.stat: r.value for r in profile.collect()}["mean"] == 2.0
+    assert estimate.first()[0] in (0, 100, 200)
+
+
+def test_schema_report(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("n,x,s\n1,1.5,q\n")
+    assert [(r.name, r.type) for r in schema_report(spark, str(tmp_path / "a.csv")).collect()] == [
+        ("n", "int"), ("x", "double"), ("s", "string")
+    ]
