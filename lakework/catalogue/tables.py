@@ -304,8 +304,8 @@ def describe_text(spark, folder):
 
 @query("""
     select (count(*) filter (
-        ('0x' || substr(md5(l_orderkey || '-' || l_linenumber), 1, 8))::bigint % 100 = 0) * 100
-    )::bigint as approx_n
+        ('0x' || substr(md5(l_orderkey || '-' || l_linenumber), 1, 8))::bigint < 4294967296 // 100
+    ) * 100)::bigint as approx_n
     from lineitem
 """)
 def approx_count_hash(spark, folder):

@@ -20,12 +20,12 @@ def profile(df, columns=None):
         "count": F.count, "mean": F.mean, "stddev": F.stddev, "min": F.min, "max": F.max,
     }
     wide = df.agg(*[
-        F.struct(*[stat(F.col(c)).cast("double").alias(s) for s, stat in stats.items()]).alias(c)
-        for c in columns
+        stat(F.col(c)).cast("double").alias(f"_{i}_{s}")
+        for i, c in enumerate(columns) for s, stat in stats.items()
     ])
     cells = F.array(*[
-        F.struct(F.lit(c).alias("col"), F.lit(s).alias("stat"), F.col(c)[s].alias("value"))
-        for c in columns for s in stats
+        F.struct(F.lit(c).alias("col"), F.lit(s).alias("stat"), F.col(f"_{i}_{s}").alias("value"))
+        for i, c in enumerate(columns) for s in stats
     ])
     return wide.select(F.inline(cells))
 
@@ -40,12 +40,12 @@ def sampled_count(df, fraction=0.01, seed=1, name="approx_n"):
 
 
 def hashed_count(df, keys, one_in=100, name="approx_n"):
-    """Row count estimated from the rows whose key hash falls in one of ``one_in`` classes.
+    """Row count estimated from the rows whose key hash is in the lowest ``one_in``-th.
 
     The same rows are drawn on every run, cluster and partitioning.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     text = F.concat_ws("-", *[F.col(k).cast("string") for k in keys])
-    digest = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
-    drawn = F.count_if(digest % one_in == 0)
+    bound = f"{2 ** 32 // one_in:08x}"
+    drawn = F.count_if(F.substring(F.md5(text), 1, 8) < F.lit(bound))
     return df.agg((drawn * one_in).alias(name))

@@ -3,8 +3,13 @@
 from collections import defaultdict
 from urllib.parse import unquote
 
+from pyspark.sql import functions as F
+
 from lakework.operators.relational import union_by_name
 
+# The part of a monotonically increasing id that counts rows within a partition.
+_ROW_IN_PARTITION = (1 << 33) - 1
+
 
 def read_csv(spark, path, schema=None, infer=False, header=True, **options):
     """CSV with a header: all strings, inferred types, or a given schema.
@@ -18,23 +23,14 @@ def read_csv(spark, path, schema=None, infer=False, header=True, **options):
     return reader.option("inferSchema", infer).csv(path)
 
 
-def _first_row():
-    def first(batches):
-        for batch in batches:
-            if batch.num_rows:
-                yield batch.slice(0, 1)
-                return
-    return first
-
-
 def csv_header_groups(spark, path, glob="*.csv"):
     """The files below ``path`` by header line: ``{header: [file, …]}``.
 
-    One distributed job with a task per file split, each reading no further than
-    its first rows. Only header lines and file names come back to the driver, the
-    same list that any Spark read of these files keeps there.
+    One scan of the text, without parsing it, that passes on the first row of each
+    file. Only header lines and file names come back to the driver, the same list
+    that any Spark read of these files keeps there.
     """
-    # A sibling session, so that packing one split per task stays private.
+    # A sibling session, so that giving each task a single split stays private.
     probe = spark.newSession()
     split_bytes = spark.conf.get("spark.sql.files.maxPartitionBytes")
     probe.conf.set("spark.sql.files.maxPartitionBytes", split_bytes)
@@ -43,21 +39,24 @@ def csv_header_groups(spark, path, glob="*.csv"):
         probe.read.options(recursiveFileLookup=True, pathGlobFilter=glob)
         .text(path)
         .select("value", "_metadata.file_path", "_metadata.file_block_start")
+        .withColumn("row", F.monotonically_increasing_id().bitwiseAND(_ROW_IN_PARTITION))
     )
-    heads = lines.mapInArrow(_first_row(), "value string, file_path string, file_block_start bigint")
     groups = defaultdict(list)
-    for row in heads.where("file_block_start = 0").select("value", "file_path").collect():
+    for row in lines.where("row = 0 and file_block_start = 0").collect():
         groups[row["value"]].append(unquote(row["file_path"]))
     return {header: sorted(groups[header]) for header in sorted(groups)}
 
 
-def read_csv_by_name(spark, path, infer=False, glob="*.csv", **options):
+def read_csv_by_name(spark, path, infer=False, glob="*.csv", groups=None, **options):
     """Every CSV file below ``path``, each under its own header, matched by column name.
 
     Reading them in one go would match by position and put values under the wrong
-    name. One scan per distinct header, not per file.
+    name. One scan per distinct header, not per file. ``groups`` lists paths (or
+    lists of paths) whose files are known to share a header, and so saves the scan
+    that looks for headers.
     """
-    groups = csv_header_groups(spark, path, glob)
+    if groups is None:
+        groups = list(csv_header_groups(spark, path, glob).values())
     if not groups:
         raise FileNotFoundError(f"no {glob} below {path}")
-    return union_by_name([read_csv(spark, files, infer=infer, **options) for files in groups.values()])
+    return union_by_name([read_csv(spark, files, infer=infer, **options) for files in groups])

@@ -5,17 +5,20 @@ expressions. Only rows that still do not parse go through ``ast.literal_eval``,
 which accepts literals and runs no code.
 """
 
+from functools import reduce
+from operator import or_
+
 import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
-# A quoted string, or a run of text outside quotes. Possessive, so that matching
-# neither backtracks nor recurses on long strings.
-_TOKEN = r"""(?s)'(?:[^'\\]++|\\.)*+'|"(?:[^"\\]++|\\.)*+"|[^'"]++"""
-_DIFFERS = r"\b(?:True|False|None)\b|\\x"
+# A quoted string, a run of text outside quotes, or an unpaired quote. Possessive,
+# so that matching neither backtracks nor recurses on long strings.
+_TOKEN = r"""(?s)'(?:[^'\\]++|\\.)*+'|"(?:[^"\\]++|\\.)*+"|[^'"]++|['"]"""
 _HEX_ESCAPE = r"(?s)\G((?:[^\\]++|\\[^x])*+)\\x([0-9a-fA-F]{2})"
 # Anything up to an escape that JSON lacks or reads differently.
 _OTHER_ESCAPE = r"""(?s)^(?:[^\\]++|\\(?:[\\'"nrtbfu]|x[0-9a-fA-F]{2}))*+\\"""
+_WORDS = {"True": "true", "False": "false", "None": "null"}
 _BAD = "_bad_record"
 _JSON_OPTIONS = {
     "mode": "PERMISSIVE",
@@ -35,20 +38,22 @@ def literal_to_json(text):
 
     def rewrite(token):
         bare = token
-        for word, json_word in (("True", "true"), ("False", "false"), ("None", "null")):
-            bare = F.regexp_replace(bare, rf"\b{word}\b", json_word)
-        inside = F.regexp_replace(token, _HEX_ESCAPE, r"$1\\u00$2")
-        return F.when(token.startswith("'") | token.startswith('"'), inside).otherwise(bare)
+        for word, json_word in _WORDS.items():
+            bare = F.replace(bare, F.lit(word), F.lit(json_word))
+        unescaped = F.regexp_replace(token, _HEX_ESCAPE, r"$1\\u00$2")
+        quoted = token.startswith("'") | token.startswith('"')
+        return F.when(~quoted, bare).when(token.contains("\\x"), unescaped).otherwise(token)
 
     def joined(tokens):
-        whole = F.array_join(tokens, "") == text
-        return F.when(whole, F.array_join(F.transform(tokens, rewrite), ""))
+        unpaired = F.array_contains(tokens, "'") | F.array_contains(tokens, '"')
+        return F.when(~unpaired, F.array_join(F.transform(tokens, rewrite), ""))
 
     # A list of one, so that the tokens have a name and are found only once.
     tokens = F.array(F.regexp_extract_all(text, F.lit(_TOKEN), F.lit(0)))
     rewritten = F.element_at(F.transform(tokens, joined), 1)
+    differs = reduce(or_, [text.contains(part) for part in (*_WORDS, "\\x")])
     other = text.contains("\\") & text.rlike(_OTHER_ESCAPE)
-    return F.when(~other & text.rlike(_DIFFERS), rewritten).when(~other, text)
+    return F.when(~other & differs, rewritten).when(~other, text)
 
 
 def _evaluate_udf():
