@@ -36,7 +36,8 @@ def stream_latest(spark, folder):
 """)
 def stream_history(spark, folder):
     root = scratch_path(spark, "stream-history")
-    hour = F.date_trunc("hour", "ts").cast("timestamp_ntz")
+    # Not date_trunc, which takes zone-free times through the session's zone.
+    hour = F.to_date("ts").cast("timestamp_ntz") + F.make_dt_interval(hours=F.hour("ts"))
     rows = _events(spark, folder).select("user_id", "event_type", hour.alias("datetime"))
     keys = ["user_id", "event_type", "datetime"]
     run = streams.start_history(

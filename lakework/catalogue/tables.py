@@ -10,11 +10,11 @@ from lakework.functions.columns import (
 from lakework.functions.dictionary import last_wins, to_dictionary
 from lakework.operators import profile as profiles
 from lakework.operators.relational import (
-    count_and_mean, enrich, funnel, joined_count_and_mean, last_per_key, members, top, union_by_name,
+    count_and_mean, enrich, joined_count_and_mean, last_per_key, members, top, union_by_name,
 )
 from lakework.plans import universe
 from lakework.sinks.display import preview
-from lakework.sources.responses import with_data, with_summary_url
+from lakework.sources.responses import SUMMARY_URL, with_data, with_url
 from lakework.sources.tables import read_table
 
 
@@ -221,7 +221,7 @@ def key_lookup_explode(spark, folder):
     rows = dictionary.where(F.col("pair") == "Brand#7").select(
         "pair", "p_partkey", F.explode("exchanges").alias("exchange")
     )
-    return with_summary_url(rows, "exchange", "pair")
+    return with_url(rows, SUMMARY_URL, ["exchange", "pair"])
 
 
 @query("""

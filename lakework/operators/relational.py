@@ -107,9 +107,10 @@ def funnel(df, **predicates):
 def members(df, column, values):
     """Rows whose ``column`` is in ``values``: a literal list, or a frame for long lists.
 
-    The frame's first column holds the values; duplicates there do not matter.
+    The frame's first column holds the values; repeated ones are dropped first, in
+    the shuffle that the join needs anyway.
     """
     if isinstance(values, (list, tuple, set, frozenset)):
         return df.where(F.col(column).isin(list(values)))
-    wanted = values.select(F.col(values.columns[0]).alias("_wanted"))
+    wanted = values.select(F.col(values.columns[0]).alias("_wanted")).distinct()
     return df.join(wanted, F.col(column) == F.col("_wanted"), "left_semi")

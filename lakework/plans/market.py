@@ -1,15 +1,16 @@
 """Market summaries: raw documents, flat silver, unioned gold, newest price per key."""
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from lakework.functions.columns import drop_prefix
 from lakework.operators.flatten import flatten, normalize
 from lakework.operators.relational import last_per_key
 from lakework.sinks.files import land_json, replace_table, write_partitioned
+from lakework.sources.csv import read_csv_by_name
 from lakework.sources.json import read_json
 from lakework.sources.literal import read_literals
 from lakework.sources.responses import succeeded
+from lakework.sources.tables import read_if_present
 
 # Prices are always double: inference would take a whole number for bigint.
 RESULT = (
@@ -40,10 +41,11 @@ def read_raw(spark, path, schema=LANDED):
 def read_raw_literals(spark, path, schema=SUMMARY):
     """Legacy raw documents stored as literal text.
 
-    Unreadable documents are kept apart by ``decode_failed``, to be counted.
+    An unreadable document keeps its row, with ``decode_failed`` and NULL values,
+    so that it can be counted and found by ``file_path``.
     """
     decoded = read_literals(spark, path, schema)
-    return decoded.select("record.*", "datetime", "decode_failed")
+    return decoded.select("record.*", "datetime", "file_path", "decode_failed")
 
 
 def to_silver(documents, sep="_"):
@@ -71,12 +73,11 @@ def read_silver(spark, path, schema=None):
 
     Without a schema the columns of all files are merged, which reads every footer.
     """
-    try:
-        if schema is not None:
-            return spark.read.schema(schema).parquet(path)
-        return spark.read.option("mergeSchema", True).parquet(path)
-    except AnalysisException as error:
-        raise FileNotFoundError(f"no silver data below {path}") from error
+    options = {} if schema is not None else {"mergeSchema": True}
+    silver = read_if_present(spark, path, schema, **options)
+    if silver is None:
+        raise FileNotFoundError(f"no silver data below {path}")
+    return silver
 
 
 def silver_to_gold(spark, silver_path, gold_path, schema=None):
@@ -84,14 +85,37 @@ def silver_to_gold(spark, silver_path, gold_path, schema=None):
     replace_table(read_silver(spark, silver_path, schema), gold_path)
 
 
+def write_silver_csv(silver, path):
+    """Silver as CSV files with headers, one current folder per exchange."""
+    write_partitioned(silver, path, "exchange_name", fmt="csv", header=True)
+
+
+def csv_silver_to_gold(spark, silver_path, gold_path):
+    """Replace gold by the union of all silver CSV files, columns matched by name.
+
+    Types are inferred from the text; the Parquet silver keeps them exactly.
+    """
+    silver = read_csv_by_name(spark, silver_path, infer=True, basePath=silver_path)
+    replace_table(silver, gold_path)
+
+
 def latest(gold, keys=("exchange_name",), sort=True):
     """The newest non-null value of every column per key."""
     return last_per_key(gold, keys, "datetime", sort=sort)
 
 
-def run(spark, lake, dataset="exchanges", sep="_"):
-    """Raw to silver to gold; returns the gold table."""
-    silver = to_silver(read_raw(spark, lake.raw(dataset)), sep)
+def run(spark, lake, dataset="exchanges", sep="_", literals=False):
+    """Raw to silver to gold; returns the gold table.
+
+    With ``literals`` raw holds legacy literal text; unreadable documents stay in
+    raw only, where ``read_raw_literals`` shows them.
+    """
+    if literals:
+        documents = read_raw_literals(spark, lake.raw(dataset)).where("not decode_failed")
+        documents = documents.drop("file_path", "decode_failed")
+    else:
+        documents = read_raw(spark, lake.raw(dataset))
+    silver = to_silver(documents, sep)
     write_silver(silver, lake.silver(dataset))
     silver_to_gold(spark, lake.silver(dataset), lake.gold(dataset), silver.schema)
     return spark.read.parquet(lake.gold(dataset))

@@ -10,8 +10,9 @@ ENVELOPE = (
     "body string, fetched_at timestamp_ntz"
 )
 
-# Fixed value: address pattern of a market summary (exchange, pair).
+# Address patterns of a market summary (exchange, pair) and of a pair.
 SUMMARY_URL = "https://api.cryptowat.ch/markets/%s/%s/summary"
+PAIR_URL = "https://api.cryptowat.ch/pairs/%s"
 
 # Shapes of the reference-data responses.
 EXCHANGES = "result array<struct<symbol:string, route:string>>"
@@ -22,9 +23,9 @@ PAIRS = (
 PAIR_DETAIL = "result struct<symbol:string, markets:array<struct<exchange:string>>>"
 
 
-def with_summary_url(df, exchange="exchange_name", pair="pair", into="url"):
-    """Add the address to call for each (exchange, pair) row."""
-    return df.withColumn(into, F.format_string(SUMMARY_URL, F.col(exchange), F.col(pair)))
+def with_url(df, pattern, columns, into="url"):
+    """Add the address to call for each row, ``columns`` filling the pattern in order."""
+    return df.withColumn(into, F.format_string(pattern, *[F.col(c) for c in columns]))
 
 
 def succeeded(responses):

@@ -1,5 +1,6 @@
 """Parquet tables and partitions."""
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 
@@ -17,3 +18,14 @@ def read_partition(spark, path, **values):
     for name, value in values.items():
         df = df.where(F.col(name) == F.lit(value))
     return df
+
+
+def read_if_present(spark, path, schema=None, **options):
+    """A Parquet folder, or None when nothing has been written there yet."""
+    reader = spark.read.options(**options)
+    try:
+        return (reader if schema is None else reader.schema(schema)).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise

@@ -4,11 +4,11 @@ Every batch writes to a place named after its number, so a batch that is run
 again after a failure replaces its own output and nothing else.
 """
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from lakework.operators.relational import last_per_key, union_by_name
 from lakework.sources.json import NTZ_FORMAT
+from lakework.sources.tables import read_if_present
 
 POLL_INTERVAL = "2 minutes"
 
@@ -41,11 +41,8 @@ def start(stream, sink, checkpoint, mode="append", continuous=False):
 
 def _earlier(spark, path, batch_id):
     """What batches before ``batch_id`` wrote below ``path``, None when nothing."""
-    try:
-        written = spark.read.parquet(path)
-    except AnalysisException:
-        return None
-    return written.where(F.col("batch_id") < batch_id)
+    written = read_if_present(spark, path)
+    return None if written is None else written.where(F.col("batch_id") < batch_id)
 
 
 def start_latest(stream, keys, order, path, checkpoint, **how):

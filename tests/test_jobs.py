@@ -1,3 +1,4 @@
+import datetime
 import json
 import os
 
@@ -10,7 +11,7 @@ from lakework.plans import flights, market, movies, universe
 from lakework.plans.schema_report import schema_report
 from lakework.sinks.files import write_report
 from lakework.sources.responses import (
-    ENVELOPE, EXCHANGES, response_counts, result_rows, succeeded, with_data, with_summary_url,
+    ENVELOPE, EXCHANGES, response_counts, result_rows, succeeded, PAIR_URL, SUMMARY_URL, with_data, with_url,
 )
 
 MOVIES = """movieId,title,genres
@@ -106,23 +107,27 @@ def test_market_from_responses_to_newest_price(spark, tmp_path):
     assert newest == [("bisq", 8.0), ("kraken", 11.5)]
 
 
-def test_market_from_legacy_literals_with_dotted_names(spark, tmp_path):
+@pytest.mark.parametrize("sep", ["_", "."])
+def test_market_from_legacy_literals(spark, tmp_path, sep):
+    lake = Lake(str(tmp_path))
+    raw = tmp_path / "raw" / "exchanges"
+    raw.mkdir(parents=True)
     for name, price in (("kraken", 10.5), ("bisq", 9)):
-        document = {**summary(price), "exchange_name": name}
-        (tmp_path / f"{name}.json").write_text(str(document))
-        os.utime(tmp_path / f"{name}.json", (1699164000, 1699164000))
-    (tmp_path / "broken.json").write_text("{'result': ")
-    documents = market.read_raw_literals(spark, str(tmp_path))
-    assert documents.where("decode_failed").count() == 1
-    good = documents.where("not decode_failed").drop("decode_failed")
-    silver = market.to_silver(good, sep=".")
-    assert silver.columns[-3:] != [] and "result.price.last" in silver.columns
-    assert not [c for c in silver.columns if c.startswith("allowance")]
-    rows = silver.select("exchange_name", "`result.price.last`", "datetime").orderBy("exchange_name").collect()
-    assert [tuple(r)[:2] for r in rows] == [("bisq", 9.0), ("kraken", 10.5)]
-    assert all(r.datetime is not None for r in rows)
-    flat = market.to_silver(good)
-    assert sorted(c.replace(".", "_") for c in silver.columns) == sorted(flat.columns)
+        (raw / f"{name}.json").write_text(str({**summary(price), "exchange_name": name}))
+        os.utime(raw / f"{name}.json", (1699164000, 1699164000))
+    (raw / "broken.json").write_text("{'result': ")
+    failed = market.read_raw_literals(spark, str(raw)).where("decode_failed").collect()
+    assert len(failed) == 1 and failed[0].file_path.endswith("broken.json")
+    for _ in range(2):
+        gold = market.run(spark, lake, sep=sep, literals=True)
+    price = sep.join(["result", "price", "last"])
+    assert not [c for c in gold.columns if c.startswith("allowance")]
+    rows = gold.select("exchange_name", f"`{price}`", "datetime").orderBy("exchange_name").collect()
+    assert [tuple(r) for r in rows] == [
+        ("bisq", 9.0, datetime.datetime(2023, 11, 5, 6)), ("kraken", 10.5, datetime.datetime(2023, 11, 5, 6))
+    ]
+    names = [c.replace(".", "_") for c in gold.columns]
+    assert sorted(names) == sorted(market.to_silver(market.read_raw(spark, str(raw), market.SUMMARY)).columns)
 
 
 def test_empty_silver_leaves_gold_alone(spark, tmp_path):
@@ -146,6 +151,16 @@ def test_silver_columns_are_merged_by_name(spark, tmp_path):
     assert sorted(rows) == [("a", 1.0, None), ("b", None, 2.0)]
 
 
+def test_csv_silver_with_different_columns_becomes_one_gold(spark, tmp_path):
+    silver, gold = str(tmp_path / "silver"), str(tmp_path / "gold")
+    market.write_silver_csv(spark.createDataFrame([("a", 1.5, 2.5)], "exchange_name string, p double, q double"), silver)
+    market.write_silver_csv(spark.createDataFrame([("b", 9.5)], "exchange_name string, q double"), silver)
+    for _ in range(2):
+        market.csv_silver_to_gold(spark, silver, gold)
+    rows = spark.read.parquet(gold).select("exchange_name", "p", "q").collect()
+    assert sorted(rows) == [("a", 1.5, 2.5), ("b", None, 9.5)]
+
+
 def test_responses(spark):
     calls = responses(
         spark, ("a", "p", 200, '{"result": [{"symbol": "s", "route": "r"}]}', "2024-01-01"),
@@ -156,8 +171,9 @@ def test_responses(spark):
     assert [r.data is None for r in kept] == [False, True, True]
     assert result_rows(calls, EXCHANGES).collect() == [("s", "r")]
     assert response_counts(calls).first() == (3, 1, 2)
-    url = with_summary_url(calls, into="to").orderBy("exchange_name").first().to
-    assert url.endswith("/markets/a/p/summary")
+    urls = with_url(with_url(calls, SUMMARY_URL, ["exchange_name", "pair"], "to"), PAIR_URL, ["pair"], "pair_url")
+    row = urls.orderBy("exchange_name").first()
+    assert row.to.endswith("/markets/a/p/summary") and row.pair_url.endswith("/pairs/p")
 
 
 def test_pair_universe(spark):
