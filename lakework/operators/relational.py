@@ -4,6 +4,8 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
+from lakework.functions.columns import quoted
+
 
 def enrich(fact, dimension, key, take, dimension_key=None):
     """Inner equi-join that keeps every fact column and adds ``take`` from the dimension.
@@ -65,32 +67,59 @@ def top(df, n, descending, ties):
     return df.orderBy(F.desc(descending), *[F.asc(c) for c in ties]).limit(n)
 
 
+def _newest(value, time):
+    """Aggregate for the value with the largest time, as a struct of both; skips NULL values.
+
+    A value without a time counts as oldest; of two with equal times the larger
+    one is taken, so that the result does not depend on the order of the rows.
+    """
+    return F.max(F.when(value.isNotNull(), F.struct(time.alias("time"), value.alias("value"))))
+
+
+def _with_keys(df, keys):
+    return reduce(lambda d, k: d.where(F.col(k).isNotNull()), keys, df)
+
+
 def last_per_key(df, keys, order, columns=None, sort=True):
     """The newest non-null value of every column per key.
 
     Each column looks for its own newest value, so a newer NULL does not hide an
     older value. Null keys are dropped. ``order`` is one column or several, later
-    ones breaking ties; with a single one, values without a time count as oldest.
+    ones breaking ties.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     order = [order] if isinstance(order, str) else list(order)
     columns = columns or [c for c in df.columns if c not in keys]
-
-    def newest(name):
-        value = F.col(name)
-        if len(order) > 1:
-            return F.max_by(value, F.when(value.isNotNull(), F.struct(*order)))
-        time = F.col(order[0])
-        dated = F.max_by(value, F.when(value.isNotNull(), time))
-        if name == order[0]:
-            return F.max(value)
-        return F.coalesce(dated, F.max(F.when(time.isNull(), value)))
-
-    keyed = reduce(lambda d, k: d.where(F.col(k).isNotNull()), keys, df)
-    result = keyed.groupBy(*keys).agg(*[newest(c).alias(c) for c in columns])
+    time = F.struct(*[F.col(quoted(c)) for c in order])
+    newest = [_newest(F.col(quoted(c)), time)["value"].alias(c) for c in columns]
+    result = _with_keys(df, keys).groupBy(*keys).agg(*newest)
     return result.orderBy(*keys) if sort else result
 
 
+def dated_values(df, keys, order):
+    """Rows ready for ``merge_newest``: ``as_of`` holds the time of each non-null value."""
+    columns = [c for c in df.columns if c not in keys]
+    time = F.struct(*[F.col(quoted(c)) for c in order])
+    times = [F.when(F.col(quoted(c)).isNotNull(), time).alias(c) for c in columns]
+    return df.withColumn("as_of", F.struct(*times))
+
+
+def merge_newest(frames, keys):
+    """One row per key from frames with ``as_of``, which the result has too.
+
+    Merging in steps gives what ``last_per_key`` gives over all rows at once, also
+    when rows arrive late.
+    """
+    rows = _with_keys(union_by_name(frames), keys)
+    columns = [c for c in rows.columns if c not in keys and c != "as_of"]
+    newest = rows.groupBy(*keys).agg(*[
+        _newest(F.col(quoted(c)), F.col("as_of").getField(c)).alias(c) for c in columns
+    ])
+    values = [F.col(quoted(c)).getField("value").alias(c) for c in columns]
+    times = [F.col(quoted(c)).getField("time").alias(c) for c in columns]
+    return newest.select(*keys, *values, F.struct(*times).alias("as_of"))
+
+
 def union_by_name(frames):
     """All rows of all frames, columns matched by name, missing ones NULL."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)

@@ -28,7 +28,10 @@ def write_partitioned(df, path, by, mode="overwrite", fmt="parquet", **options):
     ``by`` must have few distinct values: each is a folder.
     """
     by = [by] if isinstance(by, str) else list(by)
-    writer = df.hint("rebalance", *[F.col(c) for c in by]).write.mode(mode).partitionBy(*by)
+    # Without adaptive execution a rebalance cannot split a hot value.
+    if df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
+        df = df.hint("rebalance", *[F.col(c) for c in by])
+    writer = df.write.mode(mode).partitionBy(*by)
     writer.options(partitionOverwriteMode="dynamic", **options).format(fmt).save(path)
 
 

@@ -6,7 +6,8 @@ again after a failure replaces its own output and nothing else.
 
 from pyspark.sql import functions as F
 
-from lakework.operators.relational import last_per_key, union_by_name
+from lakework.operators.relational import dated_values, merge_newest
+from lakework.sinks.files import write_partitioned
 from lakework.sources.json import NTZ_FORMAT
 from lakework.sources.tables import read_if_present
 
@@ -39,12 +40,6 @@ def start(stream, sink, checkpoint, mode="append", continuous=False):
     )
 
 
-def _earlier(spark, path, batch_id):
-    """What batches before ``batch_id`` wrote below ``path``, None when nothing."""
-    written = read_if_present(spark, path)
-    return None if written is None else written.where(F.col("batch_id") < batch_id)
-
-
 def start_latest(stream, keys, order, path, checkpoint, **how):
     """Keep the newest row per key.
 
@@ -69,17 +64,23 @@ def read_latest(spark, path, keys):
     return current.select(*keys, "newest.*")
 
 
+def _stored_days(spark, path, days):
+    """The history of some days; only their folders are listed."""
+    names = ["__HIVE_DEFAULT_PARTITION__" if d is None else d.isoformat() for d in days]
+    return read_if_present(spark, f"{path}/day={{{','.join(names)}}}", basePath=path)
+
+
 def start_history(stream, keys, day, path, checkpoint, **how):
     """Append every snapshot once; one whose ``keys`` were seen before is skipped.
 
-    The table is split by ``day`` (an expression over the key columns), so a batch
-    is compared with the stored days from its first to its last and not with all
-    of history.
-    Columns beside the keys come from the row that sorts last, whatever the order
-    in which a batch is read.
+    The table is split by ``day``, a date taken from the key columns, so a batch is
+    compared with the stored days it touches and not with all of history. Columns
+    beside the keys come from the row that sorts last, whatever the order in which
+    a batch is read.
     """
     keys = list(keys)
     values = [c for c in stream.columns if c not in keys]
+    day = day.cast("date")
 
     def once(frame):
         if not values:
@@ -88,15 +89,14 @@ def start_history(stream, keys, day, path, checkpoint, **how):
         return picked.select(*keys, "row.*")
 
     def sink(frame, batch_id):
+        days = [row["day"] for row in frame.select(day.alias("day")).distinct().collect()]
         fresh = once(frame).withColumn("day", day)
-        stored = _earlier(frame.sparkSession, path, batch_id)
+        stored = _stored_days(frame.sparkSession, path, days) if days else None
         if stored is not None:
-            span = frame.agg(F.min(day).alias("first"), F.max(day).alias("last")).first()
-            touched = F.col("day").between(F.lit(span["first"]), F.lit(span["last"]))
-            seen = stored.where(touched | F.col("day").isNull()).select("day", *keys).alias("s")
+            earlier = stored.where(F.col("batch_id") < batch_id).select("day", *keys).alias("s")
             same = [F.col(f"f.{k}").eqNullSafe(F.col(f"s.{k}")) for k in ["day", *keys]]
-            fresh = fresh.alias("f").join(seen, same, "left_anti")
-        fresh.write.mode("overwrite").partitionBy("day").parquet(f"{path}/batch_id={batch_id}")
+            fresh = fresh.alias("f").join(earlier, same, "left_anti")
+        write_partitioned(fresh.withColumn("batch_id", F.lit(batch_id)), path, ["day", "batch_id"])
 
     return start(stream, sink, checkpoint, **how)
 
@@ -105,20 +105,19 @@ def start_layers(stream, to_silver, keys, order, silver_path, gold_path, checkpo
     """Silver and then gold from the same batch, in that order.
 
     Silver is appended. Gold is the newest value of every column per key, worked
-    out from the previous gold and the new silver rows only.
+    out from the gold of the batch before and the new silver rows only; it carries
+    the time of each value, so that late rows find their place.
     """
+    keys, order = list(keys), list(order)
+
     def sink(frame, batch_id):
         spark = frame.sparkSession
         mine = f"{silver_path}/batch_id={batch_id}"
         to_silver(frame).write.mode("overwrite").parquet(mine)
-        rows = spark.read.parquet(mine)
-        parts = [rows]
-        versions = _earlier(spark, gold_path, batch_id)
-        if versions is not None:
-            previous = versions.agg(F.max("batch_id")).first()[0]
-            if previous is not None:
-                parts.append(versions.where(F.col("batch_id") == previous).drop("batch_id"))
-        gold = last_per_key(union_by_name(parts), keys, order, sort=False)
+        parts = [dated_values(spark.read.parquet(mine), keys, order)]
+        if batch_id > 0:
+            parts.append(spark.read.parquet(f"{gold_path}/batch_id={batch_id - 1}"))
+        gold = merge_newest(parts, keys)
         gold.write.mode("overwrite").parquet(f"{gold_path}/batch_id={batch_id}")
 
     return start(stream, sink, checkpoint, **how)
@@ -128,4 +127,4 @@ def read_gold(spark, path):
     """The newest gold version."""
     versions = spark.read.parquet(path)
     newest = versions.agg(F.max("batch_id")).first()[0]
-    return versions.where(F.col("batch_id") == F.lit(newest)).drop("batch_id")
+    return versions.where(F.col("batch_id") == F.lit(newest)).drop("batch_id", "as_of")

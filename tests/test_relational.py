@@ -14,7 +14,8 @@ from lakework.functions.columns import (
 from lakework.functions.dictionary import last_wins, lookup, to_dictionary
 from lakework.operators.profile import hashed_count, profile, row_count, sampled_count
 from lakework.operators.relational import (
-    count_and_mean, enrich, funnel, joined_count_and_mean, last_per_key, members, top, union_by_name,
+    count_and_mean, dated_values, enrich, funnel, joined_count_and_mean, last_per_key, members,
+    merge_newest, top, union_by_name,
 )
 
 
@@ -138,10 +139,44 @@ def test_last_breaks_ties_by_later_columns_and_ranks_undated_rows_first(spark):
     assert last_per_key(undated, "k", "t", ["s"]).collect() == [("a", "x"), ("b", "q")]
 
 
-def test_last_of_numbers_uses_hash_aggregation(spark, plan):
+def test_last_does_not_depend_on_row_order(spark):
+    rows = [("a", 1, "x"), ("a", 1, "z"), ("a", 1, "y")]
+    for n in (1, 3):
+        df = spark.createDataFrame(rows[::-1], "k string, t int, s string").repartition(n)
+        assert last_per_key(df, "k", "t", ["s"]).collect() == [("a", "z")]
+
+
+def test_last_combines_before_the_shuffle(spark, plan):
     df = spark.createDataFrame([(1, 1, 1.0)], "k int, t int, v double")
     text = plan(last_per_key(df, "k", "t", sort=False))
-    assert "HashAggregate" in text and "SortAggregate" not in text
+    assert "partial_max" in text and text.count("Exchange (") == 1
+
+
+def test_last_of_dotted_columns(spark):
+    df = spark.createDataFrame([("a", 1, 2.0), ("a", 2, None)], "k string, t int, `p.last` double")
+    assert last_per_key(df, "k", "t").first().asDict() == {"k": "a", "t": 2, "p.last": 2.0}
+
+
+SNAPSHOTS = st.lists(
+    st.tuples(
+        st.sampled_from(["a", "b", None]), st.one_of(st.none(), st.integers(0, 5)),
+        st.one_of(st.none(), st.integers(0, 9)), st.one_of(st.none(), st.sampled_from("xyz")),
+    ),
+    min_size=1, max_size=12,
+)
+
+
+@given(SNAPSHOTS, st.integers(1, 4))
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+def test_merging_in_steps_equals_one_pass(spark, rows, step):
+    schema = "k string, t int, v int, s string"
+    gold = None
+    for start in range(0, len(rows), step):
+        batch = dated_values(spark.createDataFrame(rows[start:start + step], schema), ["k"], ["t"])
+        gold = merge_newest([batch] if gold is None else [batch, gold], ["k"])
+        gold = spark.createDataFrame(gold.collect(), gold.schema)
+    expected = last_per_key(spark.createDataFrame(rows, schema), "k", "t")
+    assert gold.drop("as_of").orderBy("k").collect() == expected.collect()
 
 
 def test_union_by_name_counts_and_fills(spark):

@@ -72,10 +72,13 @@ def test_a_replayed_batch_changes_nothing(spark, tmp_path, monkeypatch, replayed
     ]
     for number, batch in enumerate(batches):
         sinks["sink"](batch, number)
-    before = sorted(spark.read.parquet(out).select("k", "t").collect(), key=str)
+    def stored():
+        return sorted(spark.read.parquet(out).select("k", "t").collect(), key=str)
+
+    before = stored()
     assert len(before) == 4
     sinks["sink"](batches[replayed], replayed)
-    assert sorted(spark.read.parquet(out).select("k", "t").collect(), key=str) == before
+    assert stored() == before
 
 
 def test_layers_equal_the_batch_job(spark, tmp_path):
@@ -86,7 +89,7 @@ def test_layers_equal_the_batch_job(spark, tmp_path):
     def write(name, exchange, second, price):
         document = {
             "exchange_name": exchange, "pair": "btcbrl", "fetched_at": f"2024-01-01T00:00:0{second}.000000",
-            "result": {"price": {"last": price}, "volume": second if second < 3 else None},
+            "result": {"price": {"last": price}, "volume": second if second < 4 else None},
             "allowance": {"cost": 1.0},
         }
         (landing / f"{name}.json").write_text(json.dumps(document) + "\n")
@@ -105,11 +108,14 @@ def test_layers_equal_the_batch_job(spark, tmp_path):
     run()
     write("c", "kraken", 4, 12.0)
     write("d", "bisq", 1, 1.0)
+    run()
+    # Late, yet newer than the volume known so far.
+    write("e", "kraken", 3, 11.0)
     streamed = run()
     columns = sorted(streamed.columns)
     batch = market.latest(market.to_silver(market.read_raw(spark, str(landing))))
     assert streamed.orderBy("exchange_name").select(*columns).collect() == batch.select(*columns).collect()
-    assert spark.read.parquet(silver).count() == 4
+    assert spark.read.parquet(silver).count() == 5
     kraken = streamed.where("exchange_name = 'kraken'").first()
-    # The newest price, and the volume of the older snapshot, as the newer has none.
-    assert (kraken.result_price_last, kraken.result_volume) == (12.0, 1.0)
+    # The newest price, and the volume of the late snapshot, as the newest has none.
+    assert (kraken.result_price_last, kraken.result_volume) == (12.0, 3.0)
