@@ -8,6 +8,7 @@ from lakework.plans import flights, market, movies
 from lakework.plans.schema_report import schema_report as report_schema
 from lakework.scratch import scratch_path
 from lakework.sinks.files import write_csv
+from lakework.sources.json import NTZ_FORMAT
 from lakework.sources.tables import read_table
 
 
@@ -53,6 +54,32 @@ def market_gold(spark, folder):
     return market.latest(gold.select(*MARKET_COLUMNS), MARKET_KEYS)
 
 
+@query(MARKET_SQL.replace("result_price_last", '"result.price.last"').replace(
+    "result_volume", '"result.volume"'
+))
+def market_gold_legacy(spark, folder):
+    """The same market from literal text, with dotted names and CSV silver."""
+    lake = Lake(scratch_path(spark, "market-legacy"))
+    raw, silver, gold = (lake.path(layer, "exchanges") for layer in ("raw", "silver", "gold"))
+    k = F.get_json_object("props", "$.k").cast("bigint")
+    literal = F.concat(
+        F.lit("{'result': {'price': {'last': "), F.col("value").cast("string"),
+        F.lit(", 'high': None}, 'volume': "),
+        F.when(k % 10 != 0, k.cast("string")).otherwise("None"),
+        F.lit("}, 'allowance': {'cost': 0.002, 'upgrade': \"it's True\"}, 'exchange_name': '"),
+        F.col("event_type"), F.lit("', 'pair': 'u"), F.col("user_id").cast("string"),
+        F.lit("', 'fetched_at': '"), F.date_format("ts", NTZ_FORMAT), F.lit("'}"),
+    )
+    read_table(spark, folder, "events").select(literal.alias("value")).write.text(raw)
+    documents = market.read_raw_literals(spark, raw, market.LANDED, glob="*.txt", whole_files=False)
+    good = documents.where("not decode_failed").drop("file_path", "decode_failed")
+    market.write_silver_csv(market.to_silver(good, sep="."), silver)
+    market.csv_silver_to_gold(spark, silver, gold)
+    columns = ["exchange_name", "pair", "`result.price.last`", "`result.volume`"]
+    rows = spark.read.parquet(gold).select(*columns, F.col("datetime").cast("timestamp_ntz"))
+    return market.latest(rows, MARKET_KEYS)
+
+
 @query("""
     select o_orderstatus as "ORIGIN", year(o_orderdate)::bigint as year, count(*)::bigint as n
     from orders group by 1, 2

@@ -297,9 +297,17 @@ def profile(spark, folder):
     return profiles.profile(lineitem, list(_PROFILED)).withColumn("value", F.round("value", 4))
 
 
-@query()
+@query("""
+    select 'count' as summary, count(event_type)::varchar as event_type,
+           count(user_id)::double as user_id from events
+    union all select 'mean', null, round(avg(user_id), 4) from events
+    union all select 'stddev', null, round(stddev_samp(user_id), 4) from events
+    union all select 'min', min(event_type), min(user_id)::double from events
+    union all select 'max', max(event_type), max(user_id)::double from events
+""")
 def describe_text(spark, folder):
-    return read_table(spark, folder, "events").describe("event_type", "user_id")
+    described = read_table(spark, folder, "events").describe("event_type", "user_id")
+    return described.withColumn("user_id", F.round(to_double("user_id"), 4))
 
 
 @query("""

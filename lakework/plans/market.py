@@ -7,7 +7,7 @@ from lakework.operators.flatten import flatten, normalize
 from lakework.operators.relational import last_per_key
 from lakework.sinks.files import land_json, replace_table, write_partitioned
 from lakework.sources.csv import read_csv_by_name
-from lakework.sources.json import read_json
+from lakework.sources.json import NTZ_FORMAT, read_json
 from lakework.sources.literal import read_literals
 from lakework.sources.responses import succeeded
 from lakework.sources.tables import read_if_present
@@ -38,13 +38,13 @@ def read_raw(spark, path, schema=LANDED):
     )
 
 
-def read_raw_literals(spark, path, schema=SUMMARY):
+def read_raw_literals(spark, path, schema=SUMMARY, **how):
     """Legacy raw documents stored as literal text.
 
     An unreadable document keeps its row, with ``decode_failed`` and NULL values,
     so that it can be counted and found by ``file_path``.
     """
-    decoded = read_literals(spark, path, schema)
+    decoded = read_literals(spark, path, schema, **how)
     return decoded.select("record.*", "datetime", "file_path", "decode_failed")
 
 
@@ -87,7 +87,9 @@ def silver_to_gold(spark, silver_path, gold_path, schema=None):
 
 def write_silver_csv(silver, path):
     """Silver as CSV files with headers, one current folder per exchange."""
-    write_partitioned(silver, path, "exchange_name", fmt="csv", header=True)
+    write_partitioned(
+        silver, path, "exchange_name", fmt="csv", header=True, timestampNTZFormat=NTZ_FORMAT
+    )
 
 
 def csv_silver_to_gold(spark, silver_path, gold_path):

@@ -39,10 +39,11 @@ def pair_funnel(pairs, symbol="btc", wanted=WANTED_PAIRS):
 
 def pair_exchanges(details):
     """Pair detail responses as ``(pair, exchanges array)``; failed calls give no row."""
-    data = with_data(details, PAIR_DETAIL).where(F.col("data.result").isNotNull())
-    return data.select(
-        F.col("data.result.symbol").alias("pair"),
-        F.col("data.result.markets.exchange").alias("exchanges"),
+    parsed = with_data(details, PAIR_DETAIL)
+    # Dropped as empty lists: a filter would be pushed below and parse the body again.
+    known = F.filter(F.array("data.result"), lambda result: result.isNotNull())
+    return parsed.select(F.explode(known).alias("result")).select(
+        F.col("result.symbol").alias("pair"), F.col("result.markets.exchange").alias("exchanges")
     )
 
 

@@ -72,7 +72,9 @@ def _evaluate_udf():
 
         return texts.map(convert).astype(object)
 
-    return F.pandas_udf(evaluate, "string")
+    # Said to be nondeterministic so that a later filter, e.g. on the failed flag, is
+    # not pushed below and all the parsing repeated in its condition.
+    return F.pandas_udf(evaluate, "string").asNondeterministic()
 
 
 def decode_literals(df, column, schema, into="record", failed="decode_failed"):
@@ -103,10 +105,13 @@ def decode_literals(df, column, schema, into="record", failed="decode_failed"):
     )
 
 
-def read_literals(spark, path, schema, glob="*.json"):
-    """One literal document per file below ``path``; adds ``file_path`` and ``datetime``."""
+def read_literals(spark, path, schema, glob="*.json", whole_files=True):
+    """Literal documents below ``path``, one per file or one per line.
+
+    Adds ``file_path`` and ``datetime``, the file's modification time.
+    """
     text = (
-        spark.read.text(path, wholetext=True, pathGlobFilter=glob)
+        spark.read.text(path, wholetext=whole_files, pathGlobFilter=glob)
         .select(
             "value",
             F.col("_metadata.file_path").alias("file_path"),
