@@ -21,7 +21,7 @@ def market_responses(spark, folder):
                 F.col("value").alias("last"), (F.col("value") + 1).alias("high"),
                 F.struct(F.lit(0.5).alias("percentage")).alias("change"),
             ).alias("price"),
-            F.when(k % 10 != 0, k.cast("double")).alias("volume"),
+            F.when(k >= 10, k.cast("double")).alias("volume"),
         ).alias("result"),
         F.struct(F.lit(0.002).alias("cost"), F.lit(10.0).alias("remaining")).alias("allowance"),
     ))
@@ -37,7 +37,7 @@ def market_responses(spark, folder):
 MARKET_SQL = """
     select event_type as exchange_name, 'u' || user_id as pair,
            arg_max(value, ts) as result_price_last,
-           arg_max(case when json_extract(props, '$.k')::bigint % 10 <> 0
+           arg_max(case when json_extract(props, '$.k')::bigint >= 10
                         then json_extract(props, '$.k')::double end, ts) as result_volume,
            max(ts) as datetime
     from events group by event_type, user_id
@@ -65,7 +65,7 @@ def market_gold_legacy(spark, folder):
     literal = F.concat(
         F.lit("{'result': {'price': {'last': "), F.col("value").cast("string"),
         F.lit(", 'high': None}, 'volume': "),
-        F.when(k % 10 != 0, k.cast("string")).otherwise("None"),
+        F.when(k >= 10, k.cast("string")).otherwise("None"),
         F.lit("}, 'allowance': {'cost': 0.002, 'upgrade': \"it's True\"}, 'exchange_name': '"),
         F.col("event_type"), F.lit("', 'pair': 'u"), F.col("user_id").cast("string"),
         F.lit("', 'fetched_at': '"), F.date_format("ts", NTZ_FORMAT), F.lit("'}"),

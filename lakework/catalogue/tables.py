@@ -116,7 +116,7 @@ def _pairs(spark, folder):
             F.col("c_nationkey").cast("string").alias("symbol"),
             (F.col("c_acctbal") < 0).alias("fiat"),
         ).alias("quote"),
-        "c_custkey",
+        "c_custkey", "c_acctbal",
     )
 
 
@@ -339,15 +339,14 @@ def preview_rows(spark, folder):
         select c_custkey, lower(c_mktsegment) || c_nationkey as symbol, lower(c_mktsegment) as base,
                c_nationkey::varchar as quote
         from customer
-        where c_custkey % 7 <> 0 and (c_nationkey < 5 or c_acctbal < 0))
+        where c_acctbal <= 9000 and (c_nationkey < 5 or c_acctbal < 0))
     select symbol, base, quote, count(*)::bigint as n from pairs
     where base = 'building' and symbol in ('building1', 'building2', 'building7')
     group by symbol, base, quote
 """)
 def wanted_pairs(spark, folder):
-    pairs = _pairs(spark, folder)
-    responses = pairs.select(
-        F.when(F.col("c_custkey") % 7 == 0, 500).otherwise(200).alias("status_code"),
+    responses = _pairs(spark, folder).select(
+        F.when(F.col("c_acctbal") > 9000, 500).otherwise(200).alias("status_code"),
         F.to_json(F.struct(F.array(F.struct("symbol", "base", "quote")).alias("result"))).alias("body"),
     )
     wanted = universe.wanted_pairs(responses, "building", ("building1", "building2", "building7"))
@@ -359,7 +358,7 @@ def wanted_pairs(spark, folder):
 @query("""
     with calls as (
         select lower(p_brand) as pair, sum(len(string_split(p_name, ' ')))::bigint as calls
-        from part where p_size % 10 <> 0 group by 1)
+        from part where p_size <= 45 group by 1)
     select pair, calls, round(calls * 0.002::double, 6) as cost_per_round,
            round(10 / (calls * 0.002::double), 6) as rounds_per_day,
            round(10 / (calls * 0.002::double) / 24, 6) as rounds_per_hour
@@ -368,7 +367,7 @@ def wanted_pairs(spark, folder):
 def pair_universe(spark, folder):
     markets = F.transform(F.split("p_name", " "), lambda w: F.struct(w.alias("exchange")))
     details = read_table(spark, folder, "part").select(
-        F.when(F.col("p_size") % 10 == 0, 500).otherwise(200).alias("status_code"),
+        F.when(F.col("p_size") > 45, 500).otherwise(200).alias("status_code"),
         F.to_json(F.struct(
             F.struct(F.lower("p_brand").alias("symbol"), markets.alias("markets")).alias("result")
         )).alias("body"),

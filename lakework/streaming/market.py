@@ -14,14 +14,18 @@ from lakework.sources.tables import read_if_present
 POLL_INTERVAL = "2 minutes"
 
 
-def read_stream(spark, path, schema, fmt="json", files_per_batch=None):
-    """Files as they land below ``path``."""
+def read_stream(spark, path, schema, fmt="json", bytes_per_batch=1 << 40, files_per_batch=None):
+    """Files as they land below ``path``.
+
+    A backlog is worked off in batches of bounded size, so that a failure repeats
+    one of them and not all.
+    """
     reader = spark.readStream.format(fmt).schema(schema)
     if fmt == "json":
         reader = reader.option("timestampNTZFormat", NTZ_FORMAT).option("pathGlobFilter", "*.json")
     if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.load(path)
+        return reader.option("maxFilesPerTrigger", files_per_batch).load(path)
+    return reader.option("maxBytesPerTrigger", bytes_per_batch).load(path)
 
 
 def start(stream, sink, checkpoint, mode="append", continuous=False):

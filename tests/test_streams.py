@@ -45,11 +45,12 @@ def test_history_keeps_each_snapshot_once(spark, tmp_path):
     landing, out, checkpoint = tmp_path / "raw", str(tmp_path / "out"), str(tmp_path / "check")
 
     def run():
-        stream = streams.read_stream(spark, str(landing), SCHEMA, files_per_batch=1)
+        stream = streams.read_stream(spark, str(landing), SCHEMA, bytes_per_batch=100)
         streams.start_history(
             stream, ["exchange_name", "datetime"], F.to_date("datetime"), out, checkpoint
         ).awaitTermination()
-        return sorted(spark.read.parquet(out).select("exchange_name", "datetime", "price").collect())
+        rows = spark.read.parquet(out)
+        return sorted(rows.select("exchange_name", "datetime", "price").collect())
 
     land(landing, "a", ("kraken", 1, 10.0), ("kraken", 1, 10.0), ("kraken", 2, 11.0))
     land(landing, "b", ("kraken", 2, 11.0), ("bisq", 2, 9.0))
