@@ -62,13 +62,15 @@ def market_gold_legacy(spark, folder):
     lake = Lake(scratch_path(spark, "market-legacy"))
     raw, silver, gold = (lake.path(layer, "exchanges") for layer in ("raw", "silver", "gold"))
     k = F.get_json_object("props", "$.k").cast("bigint")
+    # Not date_format, which takes zone-free times through the session's zone.
+    time = F.to_csv(F.struct("ts"), {"timestampNTZFormat": NTZ_FORMAT})
     literal = F.concat(
         F.lit("{'result': {'price': {'last': "), F.col("value").cast("string"),
         F.lit(", 'high': None}, 'volume': "),
         F.when(k >= 10, k.cast("string")).otherwise("None"),
         F.lit("}, 'allowance': {'cost': 0.002, 'upgrade': \"it's True\"}, 'exchange_name': '"),
         F.col("event_type"), F.lit("', 'pair': 'u"), F.col("user_id").cast("string"),
-        F.lit("', 'fetched_at': '"), F.date_format("ts", NTZ_FORMAT), F.lit("'}"),
+        F.lit("', 'fetched_at': '"), time, F.lit("'}"),
     )
     read_table(spark, folder, "events").select(literal.alias("value")).write.text(raw)
     documents = market.read_raw_literals(spark, raw, market.LANDED, glob="*.txt", whole_files=False)

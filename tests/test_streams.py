@@ -120,3 +120,16 @@ def test_layers_equal_the_batch_job(spark, tmp_path):
     kraken = streamed.where("exchange_name = 'kraken'").first()
     # The newest price, and the volume of the late snapshot, as the newest has none.
     assert (kraken.result_price_last, kraken.result_volume) == (12.0, 3.0)
+
+
+def test_continuous_polling_can_be_started_and_stopped(spark, tmp_path):
+    land(tmp_path / "raw", "a", ("kraken", 1, 10.0))
+    seen = []
+    stream = streams.read_stream(spark, str(tmp_path / "raw"), SCHEMA)
+    run = streams.start(
+        stream, lambda frame, batch_id: seen.append((batch_id, frame.count())),
+        str(tmp_path / "check"), continuous=True,
+    )
+    run.processAllAvailable()
+    assert run.isActive and seen == [(0, 1)]
+    run.stop()
