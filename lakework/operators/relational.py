@@ -80,6 +80,11 @@ def _with_keys(df, keys):
     return reduce(lambda d, k: d.where(F.col(k).isNotNull()), keys, df)
 
 
+def _time(order):
+    columns = [F.col(quoted(c)) for c in order]
+    return columns[0] if len(columns) == 1 else F.struct(*columns)
+
+
 def last_per_key(df, keys, order, columns=None, sort=True):
     """The newest non-null value of every column per key.
 
@@ -90,17 +95,20 @@ def last_per_key(df, keys, order, columns=None, sort=True):
     keys = [keys] if isinstance(keys, str) else list(keys)
     order = [order] if isinstance(order, str) else list(order)
     columns = columns or [c for c in df.columns if c not in keys]
-    time = F.struct(*[F.col(quoted(c)) for c in order])
-    newest = [_newest(F.col(quoted(c)), time)["value"].alias(c) for c in columns]
-    result = _with_keys(df, keys).groupBy(*keys).agg(*newest)
+
+    def newest(name):
+        value = F.col(quoted(name))
+        return F.max(value) if name == order[0] else _newest(value, _time(order))["value"]
+
+    aggregates = [newest(c).alias(c) for c in columns]
+    result = _with_keys(df, keys).groupBy(*keys).agg(*aggregates)
     return result.orderBy(*keys) if sort else result
 
 
 def dated_values(df, keys, order):
     """Rows ready for ``merge_newest``: ``as_of`` holds the time of each non-null value."""
     columns = [c for c in df.columns if c not in keys]
-    time = F.struct(*[F.col(quoted(c)) for c in order])
-    times = [F.when(F.col(quoted(c)).isNotNull(), time).alias(c) for c in columns]
+    times = [F.when(F.col(quoted(c)).isNotNull(), _time(order)).alias(c) for c in columns]
     return df.withColumn("as_of", F.struct(*times))
 
 
