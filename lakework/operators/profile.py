@@ -10,7 +10,7 @@ def row_count(df, name="n"):
 
 
 def profile(df, columns=None):
-    """Count, mean, standard deviation, minimum and maximum of the numeric columns.
+    """Count, mean, standard deviation, minimum and maximum of numeric columns, by default all.
 
     One pass over the data; the result is long: ``(col, stat, value double)``.
     """
@@ -36,7 +36,8 @@ def sampled_count(df, fraction=0.01, seed=1, name="approx_n"):
     The draw depends on the partitioning; ``hashed_count`` does not.
     """
     drawn = df.sample(fraction=fraction, seed=seed)
-    return drawn.agg((F.count(F.lit(1)) / F.lit(fraction)).cast("bigint").alias(name))
+    estimate = F.round(F.count(F.lit(1)) / F.lit(fraction))
+    return drawn.agg(estimate.cast("bigint").alias(name))
 
 
 def hashed_count(df, keys, one_in=100, name="approx_n"):

@@ -41,23 +41,26 @@ def load(spark, movies_csv, ratings_csv, save):
     save("ratings", typed_ratings(read_csv(spark, ratings_csv)))
 
 
-def load_to_database(spark, movies_csv, ratings_csv, url, user=None, password=None, driver=None):
-    types = {
-        "movies": "movieId VARCHAR(32), title VARCHAR(512), genres VARCHAR(512)",
-        "ratings": "userId VARCHAR(32), movieId VARCHAR(32)",
-    }
-
+def load_to_database(spark, movies_csv, ratings_csv, url, user=None, password=None, driver=None,
+                     column_types=None):
+    """Load both tables; ``column_types`` may give database types per table name."""
     def save(name, frame):
         options = jdbc_options(url, f"public.{name}", user, password, driver)
-        write_jdbc(frame, options, column_types=types[name])
+        write_jdbc(frame, options, column_types=(column_types or {}).get(name))
 
     load(spark, movies_csv, ratings_csv, save)
 
 
-def report_from_database(spark, path, url, user=None, password=None, driver=None, split=None):
-    """Join and rank the database tables and write the report as one CSV file."""
+def report_from_database(spark, path, url, user=None, password=None, driver=None,
+                         split=None, predicates=None):
+    """Join and rank the database tables and write the report as one CSV file.
+
+    ``split`` or ``predicates`` let several tasks read the ratings.
+    """
     movies = read_jdbc(spark, jdbc_options(url, "public.movies", user, password, driver))
-    ratings = read_jdbc(spark, jdbc_options(url, "public.ratings", user, password, driver), split)
+    ratings = read_jdbc(
+        spark, jdbc_options(url, "public.ratings", user, password, driver), split, predicates
+    )
     write_report(
         most_rated(movies, ratings), path, [F.desc("qty_ratings"), F.asc("title")], REPORT_ROWS
     )

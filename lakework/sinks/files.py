@@ -19,17 +19,19 @@ def write_csv(df, path, header=False, mode="errorifexists"):
     df.write.mode(mode).options(header=header, timestampNTZFormat=NTZ_FORMAT).csv(path)
 
 
-def write_partitioned(df, path, by, mode="overwrite", fmt="parquet", **options):
+def write_partitioned(df, path, by, mode="overwrite", fmt="parquet", gather=True, **options):
     """A dataset in one folder per value of ``by``.
 
     With ``overwrite`` only the partitions present in ``df`` are replaced, so a
     rerun gives the same result and other partitions stay. The rebalance gathers
-    small partitions into few files and spreads a hot value over many tasks.
-    ``by`` must have few distinct values: each is a folder.
+    small partitions into few files and spreads a hot value over many tasks; with
+    ``gather=False`` there is no shuffle and each task writes a file per value it
+    holds, which suits a handful of values. ``by`` must not have many distinct
+    values: each is a folder.
     """
     by = [by] if isinstance(by, str) else list(by)
     # Without adaptive execution a rebalance cannot split a hot value.
-    if df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
+    if gather and df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
         df = df.hint("rebalance", *[F.col(c) for c in by])
     writer = df.write.mode(mode).partitionBy(*by)
     writer.options(partitionOverwriteMode="dynamic", **options).format(fmt).save(path)

@@ -1,7 +1,8 @@
 """The market jobs as streams over a landing folder.
 
 Every batch writes to a place named after its number, so a batch that is run
-again after a failure replaces its own output and nothing else.
+again after a failure replaces its own output and nothing else. A checkpoint and
+the folders its query writes belong together: start afresh with both new.
 """
 
 from pyspark.sql import functions as F
