@@ -19,19 +19,19 @@ def dictionary_sizes(df, column, key="pair", size="n"):
     )
 
 
-def to_dictionary(rows, key, value, target):
-    """Rows to one sorted array of distinct values per key.
+def to_dictionary(rows, key, value, target, parts=1):
+    """Rows to sorted arrays of distinct values per key.
 
-    The duplicates go away in a partially aggregated ``distinct`` first, so the
-    array of a key is bounded by its number of *distinct* values.
+    The duplicates go away in a partially aggregated ``distinct`` first, so an array
+    is bounded by the number of *distinct* values of its key. Where that number may
+    be large, ``parts`` spreads the values of a key over so many rows, each with a
+    ``part`` number and a sorted array of its own, and no value in two of them.
     """
-    return (
-        rows.select(key, value)
-        .where(F.col(key).isNotNull())
-        .distinct()
-        .groupBy(key)
-        .agg(F.array_sort(F.collect_list(value)).alias(target))
-    )
+    pairs = rows.select(key, value).where(F.col(key).isNotNull()).distinct()
+    by = [F.col(key)]
+    if parts > 1:
+        by.append(F.pmod(F.xxhash64(value), F.lit(parts)).alias("part"))
+    return pairs.groupBy(*by).agg(F.array_sort(F.collect_list(value)).alias(target))
 
 
 def last_wins(rows, key, value, order):

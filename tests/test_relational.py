@@ -210,6 +210,13 @@ def test_dictionary_and_last_wins(spark):
     assert sorted(last_wins(rows, "k", "v", "t").collect(), key=str) == [("p", "b"), ("q", None)]
 
 
+def test_a_long_list_is_spread_over_parts(spark):
+    rows = spark.range(3000).selectExpr("'hot' as k", "cast(id % 1000 as string) as v")
+    lists = to_dictionary(rows, "k", "v", "list", parts=8).collect()
+    assert len(lists) == 8 and max(len(r.list) for r in lists) < 200
+    assert sorted(v for r in lists for v in r.list) == sorted(str(i) for i in range(1000))
+
+
 def test_map_lookup_of_a_missing_key(spark):
     df = spark.sql("select map('a', array(1)) as m")
     assert df.select(lookup("m", "a"), lookup("m", "z")).first() == ([1], None)
