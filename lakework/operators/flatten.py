@@ -74,6 +74,17 @@ def map_key_sets(df, columns, max_keys):
     return keys
 
 
+def _maps_in(nodes, sep):
+    """The map columns among ``nodes`` and inside their structs."""
+    maps = []
+    for node in nodes:
+        if isinstance(node.type, MapType):
+            maps.append(node)
+        elif isinstance(node.type, StructType):
+            maps += _maps_in(_struct_children(node, sep), sep)
+    return maps
+
+
 def _select(df, nodes):
     fold = str if df.sparkSession.conf.get("spark.sql.caseSensitive") == "true" else str.lower
     seen = set()
@@ -134,7 +145,7 @@ def flatten(df, sep="_", explode_arrays=True, zip_arrays=False, map_keys=None, m
             nodes += _struct_children(node, sep)
         elif isinstance(node.type, MapType):
             if node.name not in known:
-                maps = [n for n in nodes[at:] if isinstance(n.type, MapType) and n.name not in known]
+                maps = [n for n in _maps_in(nodes[at:], sep) if n.name not in known]
                 found = map_key_sets(df, [n.value for n in maps], max_map_keys)
                 known.update(zip((n.name for n in maps), found))
             nodes[at:at + 1] = []

@@ -119,6 +119,22 @@ def test_all_maps_are_searched_in_one_job(spark):
     assert flatten(df).columns == ["m_a", "n_a", "n_b"]
 
 
+def test_maps_inside_structs_are_found_in_the_same_job(spark, monkeypatch):
+    searched = []
+
+    def counted(df, columns, max_keys):
+        searched.append(len(columns))
+        return map_key_sets(df, columns, max_keys)
+
+    monkeypatch.setattr("lakework.operators.flatten.map_key_sets", counted)
+    df = frame(
+        spark, "m map<string,int>, s struct<n:map<string,int>,t:struct<o:map<string,int>>>",
+        {"m": {"a": 1}, "s": {"n": {"b": 2}, "t": {"o": {"c": 3}}}},
+    )
+    assert flatten(df).first().asDict() == {"m_a": 1, "s_n_b": 2, "s_t_o_c": 3}
+    assert searched == [3]
+
+
 def test_given_map_keys_need_no_job(spark):
     df = frame(spark, "m map<string,int>", {"m": {"a": 1}})
     assert flatten(df, map_keys={"m": ["a", "z"]}).collect() == [(1, None)]
