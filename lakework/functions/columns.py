@@ -13,6 +13,11 @@ def to_double(column):
     return F.col(column).try_cast("double") if isinstance(column, str) else column.try_cast("double")
 
 
+def with_types(df, types):
+    """Cast the columns named in ``{name: type}``; text that does not fit becomes NULL."""
+    return df.withColumns({name: F.col(quoted(name)).try_cast(t) for name, t in types.items()})
+
+
 def epoch_to_timestamp(column):
     """Epoch seconds to the exact instant, whatever the session time zone."""
     column = F.col(column) if isinstance(column, str) else column

@@ -2,17 +2,19 @@
 
 from pyspark.sql import functions as F
 
+from lakework.functions.columns import with_types
 from lakework.operators.profile import profile, sampled_count
 from lakework.sinks.files import write_partitioned
 from lakework.sources.csv import read_csv
 from lakework.sources.tables import read_partition
 
-FLIGHTS = "FL_DATE date, ORIGIN string, DEST string, DEP_DELAY double"
+# Columns with a type of their own; the others stay text.
+TYPES = {"FL_DATE": "date", "DEP_DELAY": "double"}
 
 
-def raw_to_silver(spark, raw, silver, schema=FLIGHTS):
+def raw_to_silver(spark, raw, silver):
     """CSV to Parquet, one folder per year; years already there are replaced."""
-    flights = read_csv(spark, raw, schema=schema)
+    flights = with_types(read_csv(spark, raw), TYPES)
     write_partitioned(flights.withColumn("year", F.year("FL_DATE")), silver, "year")
 
 

@@ -4,7 +4,9 @@ from collections import defaultdict
 from urllib.parse import unquote
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from lakework.functions.columns import quoted, with_types
 from lakework.operators.relational import union_by_name
 
 # The part of a monotonically increasing id that counts rows within a partition.
@@ -12,15 +14,21 @@ _ROW_IN_PARTITION = (1 << 33) - 1
 
 
 def read_csv(spark, path, schema=None, infer=False, header=True, **options):
-    """CSV with a header: all strings, inferred types, or a given schema.
+    """CSV with a header: all strings, inferred types, or the columns of a schema.
 
-    Inference reads the data once more; jobs that run again should give a schema.
-    Without a header the columns are ``_c0``, ``_c1`` and so on.
+    With a header the columns of a schema are found by name, wherever they stand in
+    the file, and text that does not fit its type becomes NULL. Inference reads the
+    data once more; jobs that run again should give a schema. Without a header the
+    columns are ``_c0``, ``_c1`` and so on, or those of the schema in order.
     """
     reader = spark.read.options(header=header, **options)
-    if schema is not None:
+    if schema is None:
+        return reader.option("inferSchema", infer).csv(path)
+    schema = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    if not header:
         return reader.schema(schema).csv(path)
-    return reader.option("inferSchema", infer).csv(path)
+    named = reader.csv(path).select(*[quoted(f.name) for f in schema.fields])
+    return with_types(named, {f.name: f.dataType for f in schema.fields})
 
 
 def csv_header_groups(spark, path, glob="*.csv"):

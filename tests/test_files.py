@@ -30,7 +30,15 @@ def test_csv_variants(spark, tmp_path):
     assert read_csv(spark, str(path)).dtypes == [("n", "string"), ("v", "string")]
     assert read_csv(spark, str(path), infer=True).collect() == [(1, "x"), (2, "y, z")]
     assert read_csv(spark, str(path), header=False).columns == ["_c0", "_c1"]
-    assert read_csv(spark, str(path), schema="n double, v string").first().n == 1.0
+    assert read_csv(spark, str(path), schema="v string, n double").collect() == [("x", 1.0), ("y, z", 2.0)]
+    assert read_csv(spark, str(path), schema="v int").collect() == [(None,), (None,)]
+    with pytest.raises(AnalysisException):
+        read_csv(spark, str(path), schema="missing int")
+
+
+def test_schema_without_header_goes_by_position(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("1,x\n")
+    assert read_csv(spark, str(tmp_path / "a.csv"), schema="a int, b string", header=False).collect() == [(1, "x")]
 
 
 def test_csv_encoding(spark, tmp_path):

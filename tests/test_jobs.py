@@ -205,11 +205,14 @@ def test_flight_lake(spark, tmp_path):
     raw, silver, gold = (lake.path(layer, "airplane-delay") for layer in ("raw", "silver", "gold"))
     os.makedirs(raw)
     with open(f"{raw}/2018.csv", "w") as file:
-        file.write("FL_DATE,ORIGIN,DEST,DEP_DELAY\n2018-01-01,ABR,JFK,5.0\n2018-01-02,JFK,ABR,\n2017-12-31,ABR,JFK,-1\n")
+        file.write("ORIGIN,FL_DATE,CARRIER,DEP_DELAY\nABR,2018-01-01,x,5.0\nJFK,2018-01-02,y,\nABR,2017-12-31,z,-1\n")
     for _ in range(2):
         flights.raw_to_silver(spark, raw, silver)
         flights.silver_to_gold(spark, silver, gold)
     assert sorted(flights.per_origin(spark, gold).collect()) == [("ABR", 2), ("JFK", 1)]
+    assert dict(spark.read.parquet(gold).dtypes) == {
+        "FL_DATE": "date", "CARRIER": "string", "DEP_DELAY": "double", "year": "int", "ORIGIN": "string"
+    }
     profile, estimate = flights.origin_summary(spark, gold, "ABR")
     assert {r.stat: r.value for r in profile.collect()}["mean"] == 2.0
     assert estimate.first()[0] in (0, 100, 200)
