@@ -54,9 +54,7 @@ def market_gold(spark, folder):
     return market.latest(gold.select(*MARKET_COLUMNS), MARKET_KEYS)
 
 
-@query(MARKET_SQL.replace("result_price_last", '"result.price.last"').replace(
-    "result_volume", '"result.volume"'
-))
+@query(MARKET_SQL)
 def market_gold_legacy(spark, folder):
     """The same market from literal text, with dotted names and CSV silver."""
     lake = Lake(scratch_path(spark, "market-legacy"))
@@ -79,7 +77,9 @@ def market_gold_legacy(spark, folder):
     market.csv_silver_to_gold(spark, silver, gold)
     columns = ["exchange_name", "pair", "`result.price.last`", "`result.volume`"]
     rows = spark.read.parquet(gold).select(*columns, F.col("datetime").cast("timestamp_ntz"))
-    return market.latest(rows, MARKET_KEYS)
+    return market.latest(rows, MARKET_KEYS).withColumnsRenamed({
+        "result.price.last": "result_price_last", "result.volume": "result_volume"
+    })
 
 
 @query("""

@@ -21,7 +21,7 @@ def has_symbol(symbol):
 
 
 def wanted_pairs(responses, symbol="btc", wanted=WANTED_PAIRS):
-    """The pairs of the reference responses that pass all three filters."""
+    """The pairs that pass all three filters, from responses that list pairs."""
     pairs = result_rows(responses, PAIRS).where(has_fiat_side()).where(has_symbol(symbol))
     return members(pairs, "symbol", wanted)
 

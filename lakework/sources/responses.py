@@ -14,7 +14,7 @@ ENVELOPE = (
 SUMMARY_URL = "https://api.cryptowat.ch/markets/%s/%s/summary"
 PAIR_URL = "https://api.cryptowat.ch/pairs/%s"
 
-# Shapes of the reference-data responses.
+# Shapes of the exchange, pair and pair detail responses.
 EXCHANGES = "result array<struct<symbol:string, route:string>>"
 PAIRS = (
     "result array<struct<symbol:string, "
