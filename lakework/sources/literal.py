@@ -12,6 +12,8 @@ import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
+from lakework.functions.columns import quoted
+
 # A quoted string, a run of text outside quotes, or an unpaired quote. Possessive,
 # so that matching neither backtracks nor recurses on long strings.
 _TOKEN = r"""(?s)'(?:[^'\\]++|\\.)*+'|"(?:[^"\\]++|\\.)*+"|[^'"]++|['"]"""
@@ -90,18 +92,20 @@ def decode_literals(df, column, schema, into="record", failed="decode_failed"):
     def parsed(text):
         return F.from_json(text, lenient, _JSON_OPTIONS)
 
-    first = df.withColumn("_json", literal_to_json(column)).withColumn("_first", parsed(F.col("_json")))
-    unread = F.col("_json").isNull() | F.col("_first").getField(_BAD).isNotNull()
-    second = first.withColumn("_retry", _evaluate_udf()(F.when(unread, F.col(column)))).withColumn(
-        "_second", parsed(F.col("_retry"))
+    def readable(struct):
+        return F.col(struct).isNotNull() & F.col(struct).getField(_BAD).isNull()
+
+    text = F.col(column)
+    first = df.withColumn("_first", parsed(literal_to_json(text)))
+    second = first.withColumn(
+        "_retry", _evaluate_udf()(F.when(~readable("_first"), text))
+    ).withColumn("_second", parsed(F.col("_retry")))
+    record = F.when(readable("_first"), F.col("_first").dropFields(_BAD)).when(
+        readable("_second"), F.col("_second").dropFields(_BAD)
     )
-    good_second = F.col("_retry").isNotNull() & F.col("_second").getField(_BAD).isNull()
-    record = F.when(~unread, F.col("_first")).when(good_second, F.col("_second"))
-    fields = [record.getField(f.name).alias(f.name) for f in schema.fields]
+    unread = text.isNotNull() & ~readable("_first") & ~readable("_second")
     return second.select(
-        *[F.col(f"`{c}`") for c in df.columns],
-        F.when(record.isNotNull(), F.struct(*fields)).alias(into),
-        (F.col(column).isNotNull() & record.isNull()).alias(failed),
+        *[F.col(quoted(c)) for c in df.columns], record.alias(into), unread.alias(failed)
     )
 
 
