@@ -2,7 +2,7 @@
 
 import public_tokenizers
 
-from lakework.llm import packing, token_files
+from lakework.llm import ngram_join, packing, token_files
 from lakework.scratch import scratch_path
 from lakework.sources.tables import read_table
 
@@ -29,6 +29,39 @@ def op4_packing(spark, folder):
     return packing.pack(read_table(spark, folder, "documents"), vocabulary())
 
 
+@query(r"""
+    with recursive words as (
+        select doc_id, list_filter(regexp_split_to_array(
+            translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[\x20\x09-\x0D]+'), lambda x: x <> '') as w
+        from documents),
+    sets as (
+        select doc_id, list_distinct(case
+            when w is null or len(w) = 0 then []
+            when len(w) < 3 then [list_aggregate(w, 'string_agg', ' ')]
+            else list_transform(range(1, len(w) - 1),
+                lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) end) as s
+        from words),
+    sized as (select doc_id, s, len(s) as n from sets),
+    tokens as (select doc_id, n, unnest(s) as t from sized),
+    links as (
+        select a.doc_id as a, b.doc_id as b
+        from tokens a join tokens b on a.t = b.t and a.doc_id < b.doc_id
+            and 10 * a.n >= 9 * b.n and 10 * b.n >= 9 * a.n
+        group by a.doc_id, b.doc_id, a.n, b.n
+        having 100 * count(*) >= 90 * (a.n + b.n - count(*))),
+    ends as (select a, b from links union select b, a from links),
+    reached(node, other) as (
+        select doc_id, doc_id from sized
+        union select r.node, e.b from reached r join ends e on r.other = e.a)
+    select s.doc_id, s.n::bigint as n_shingles, min(r.other) as component_id
+    from sized s join reached r on r.node = s.doc_id
+    group by s.doc_id, s.n
+""")
+def op5_ngram_join(spark, folder):
+    return ngram_join.near_classes(read_table(spark, folder, "documents"), size=3, percent=90)
+
+
 @query()
 def op7_token_files(spark, folder):
     path = scratch_path(spark, "tokens")

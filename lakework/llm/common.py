@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from lakework.scratch import scratch_path
 
 #: Rows up to which a table of a few short columns is broadcast; beyond it Spark shuffles.
-BROADCAST_ROWS = 1_000_000
+BROADCAST_ROWS = 500_000
 
 
 def cut(df, name):
