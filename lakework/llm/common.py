@@ -16,7 +16,7 @@ BROADCAST_ROWS = 500_000
 def cut(df, name):
     """Write ``df`` below the shared folder and read it back: one evaluation, no lineage."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.parquet(path)
 
 

@@ -32,6 +32,8 @@ CLASS_RATIO = 1.5
 BLOCK = 256
 #: Points in a tree node.
 NODE = 16
+#: Counts of a group's point: the group's hash range is cut into so many.
+FINE = 4
 
 FEATURES = ("doc_id long, n long, signature binary, keys array<long>, level int, counts binary,"
             " next_counts binary")
@@ -79,16 +81,25 @@ class Classes:
 
 
 def _grouped(tokens, level, groups):
-    """Keys of the contents of all groups, and how many tokens each holds."""
+    """Keys of the contents of all groups, and how many tokens each part of one holds."""
     spread = mixed(tokens ^ np.uint64(0x5851F42D4C957F2D))
-    group = ((spread >> np.uint64(32)) * np.uint64(groups) >> np.uint64(32)).astype(np.int64)
-    order = np.argsort(group, kind="stable")
+    part = ((spread >> np.uint64(32)) * np.uint64(groups * FINE) >> np.uint64(32)).astype(np.int64)
+    order = np.argsort(part, kind="stable")
     sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mixed(spread[order]), dtype=np.uint64)))
-    counts = np.bincount(group, minlength=groups)
-    ends = np.cumsum(counts)
-    content = sums[ends] - sums[ends - counts]
+    counts = np.bincount(part, minlength=groups * FINE)
+    ends = np.concatenate((np.zeros(1, np.int64), np.cumsum(counts)[FINE - 1::FINE]))
     names = np.arange(groups, dtype=np.uint64) + np.uint64((level << 40) + 1)
-    return mixed(content ^ mixed(names)), counts
+    return mixed(sums[ends[1:]] - sums[ends[:-1]] ^ mixed(names)), counts
+
+
+def _packed(counts):
+    """A count vector as bytes; the first tells the size of each count."""
+    size = 1 if counts.max(initial=0) < 256 else 4
+    return bytes([size]) + counts.astype(f"<u{size}").tobytes()
+
+
+def _vector(packed):
+    return np.frombuffer(packed, f"<u{packed[0]}", offset=1).astype(np.int64)
 
 
 def _features(size, percent):
@@ -102,7 +113,7 @@ def _features(size, percent):
                     if n not in known:
                         known[n] = classes.of(n) if n else []
                     found = [_grouped(tokens, *c) for c in known[n]]
-                    vectors = [c.astype("<u4").tobytes() for _, c in found] + [None, None]
+                    vectors = [_packed(c) for _, c in found] + [None, None]
                     rows["n"].append(n)
                     rows["signature"].append(
                         hashlib.blake2b(tokens.tobytes(), digest_size=16).digest() if n else None)
@@ -150,10 +161,6 @@ class Tree:
         return found
 
 
-def _vector(counts):
-    return np.frombuffer(counts, dtype="<u4").astype(np.int64)
-
-
 def _trees(points):
     """Trees over the vectors of a block, by class and whether it is the points' own."""
     kinds = {}
