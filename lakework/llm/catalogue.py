@@ -2,7 +2,7 @@
 
 import public_tokenizers
 
-from lakework.llm import ngram_join, packing, token_files
+from lakework.llm import ngram_join, packing, token_files, vector_dedup
 from lakework.scratch import scratch_path
 from lakework.sources.tables import read_table
 
@@ -67,3 +67,26 @@ def op7_token_files(spark, folder):
     path = scratch_path(spark, "tokens")
     token_files.write_tokens(read_table(spark, folder, "documents"), path, vocabulary())
     return token_files.token_digests(spark, path)
+
+
+@query("""
+    with recursive usable as (
+        select vec_id, label, embedding::double[] as e from embeddings
+        where label is not null and embedding is not null and len(embedding) > 0
+            and list_bool_and(list_transform(embedding, lambda x: x is not null and isfinite(x)))
+            and list_bool_or(list_transform(embedding, lambda x: x <> 0))),
+    links as (
+        select a.vec_id as a, b.vec_id as b from usable a join usable b
+        on a.label = b.label and a.vec_id < b.vec_id and len(a.e) = len(b.e)
+            and list_cosine_similarity(a.e, b.e) >= 0.93),
+    ends as (select a, b from links union select b, a from links),
+    reached(node, other) as (
+        select vec_id, vec_id from embeddings
+        union select r.node, e.b from reached r join ends e on r.other = e.a)
+    select v.vec_id, (select count(*) from ends where a = v.vec_id) as n_links,
+        min(r.other) as component_id, v.vec_id = min(r.other) as kept
+    from embeddings v join reached r on r.node = v.vec_id
+    group by v.vec_id
+""")
+def op10_vector_dedup(spark, folder):
+    return vector_dedup.near_vectors(read_table(spark, folder, "embeddings"))
