@@ -2,7 +2,7 @@
 
 import public_tokenizers
 
-from lakework.llm import ngram_join, packing, token_files, vector_dedup
+from lakework.llm import fingerprints, ngram_join, packing, token_files, vector_dedup
 from lakework.scratch import scratch_path
 from lakework.sources.tables import read_table
 
@@ -69,6 +69,11 @@ def op7_token_files(spark, folder):
     return token_files.token_digests(spark, path)
 
 
+@query()
+def op9_fingerprints(spark, folder):
+    return fingerprints.fingerprints(read_table(spark, folder, "documents"))
+
+
 @query("""
     with recursive usable as (
         select vec_id, label, embedding::double[] as e from embeddings
