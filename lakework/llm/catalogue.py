@@ -2,7 +2,9 @@
 
 import public_tokenizers
 
-from lakework.llm import fingerprints, ngram_join, packing, token_files, vector_dedup
+from lakework.llm import (
+    fingerprints, licenses, mixing, ngram_join, packing, shards, token_files, vector_dedup,
+)
 from lakework.scratch import scratch_path
 from lakework.sources.tables import read_table
 
@@ -95,3 +97,19 @@ def op9_fingerprints(spark, folder):
 """)
 def op10_vector_dedup(spark, folder):
     return vector_dedup.near_vectors(read_table(spark, folder, "embeddings"))
+
+
+@query()
+def op1_hilbert_shards(spark, folder):
+    return shards.hilbert_shards(
+        read_table(spark, folder, "documents"), ["source", "lang", "n_chars", "doc_id"], shards=8)
+
+
+@query()
+def op8_mixing(spark, folder):
+    return mixing.mix(read_table(spark, folder, "documents"))
+
+
+@query(licenses.licences_sql())
+def op3_licences(spark, folder):
+    return licenses.licences(read_table(spark, folder, "documents"))
