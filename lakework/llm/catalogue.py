@@ -3,7 +3,7 @@
 import public_tokenizers
 
 from lakework.llm import (
-    fingerprints, licenses, mixing, ngram_join, packing, shards, token_files, vector_dedup,
+    fingerprints, licenses, mixing, ngram_join, packing, pii, shards, token_files, vector_dedup,
 )
 from lakework.scratch import scratch_path
 from lakework.sources.tables import read_table
@@ -113,3 +113,8 @@ def op8_mixing(spark, folder):
 @query(licenses.licences_sql())
 def op3_licences(spark, folder):
     return licenses.licences(read_table(spark, folder, "documents"))
+
+
+@query()
+def op6_personal_data(spark, folder):
+    return pii.personal_data(read_table(spark, folder, "documents"))
