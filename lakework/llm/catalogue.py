@@ -3,7 +3,8 @@
 import public_tokenizers
 
 from lakework.llm import (
-    fingerprints, licenses, mixing, ngram_join, packing, pii, shards, token_files, vector_dedup,
+    fingerprints, licenses, mixing, ngram_join, packing, pii, shards, token_files, toxicity,
+    vector_dedup,
 )
 from lakework.scratch import scratch_path
 from lakework.sources.tables import read_table
@@ -118,3 +119,9 @@ def op3_licences(spark, folder):
 @query()
 def op6_personal_data(spark, folder):
     return pii.personal_data(read_table(spark, folder, "documents"))
+
+
+@query()
+def op2_toxicity(spark, folder):
+    documents = read_table(spark, folder, "documents")
+    return toxicity.scored(documents, toxicity.train(documents, read_table(spark, folder, "labels")))
