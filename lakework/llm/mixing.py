@@ -10,7 +10,7 @@ id, so that expected tokens meet every target and a rerun keeps the same documen
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from lakework.llm.common import cut
+from lakework.llm.common import cut, if_small
 
 #: Without given targets, shares are those of the data to these powers: large ones shrink,
 #: and a power of one holds them as they are.
@@ -79,34 +79,38 @@ def rake(cells, dims, targets=None, exponents=None):
     return cells.drop(*[f"_want_{d}" for d in dims])
 
 
-def mix(docs, topic=None, targets=None, exponents=None, seed=SEED):
-    """Sample ``docs`` to target shares of source, language and topic.
+def rated(docs, columns, topic=None, targets=None, exponents=None, seed=SEED):
+    """``columns`` of ``docs`` with ``topic``, ``tokens``, ``weight``, ``probability`` and ``sampled``.
 
-    ``docs`` needs ``doc_id, text, lang, source``; ``topic`` is a column, by default the kind
-    of text. Returns ``doc_id, source, lang, topic, tokens, weight`` (of the document's cell),
-    ``probability`` and ``sampled`` for every row. The cell that would need most keeps all its
-    documents, so no probability is cut off at one. Null and empty texts count one token;
-    null sources, languages and topics are values of their own; rows with one ``doc_id``
-    and source are kept or left together, null ids by their text. An empty table gives no rows.
+    ``docs`` needs ``doc_id, text, lang, source``; ``topic`` is a column, by default the kind of
+    text. ``weight`` is that of the document's cell. The cell that would need most keeps all its
+    documents, so no probability is cut off at one. Null and empty texts count one token; null
+    sources, languages and topics are values of their own; rows with one ``doc_id`` and source
+    are kept or left together, null ids by their text. An empty table gives no rows.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rows = cut(docs.select(
-        "doc_id", "source", "lang", (topic_of(text) if topic is None else topic).alias("topic"),
-        tokens_of(text).alias("tokens"),
-        F.xxhash64(F.coalesce("doc_id", F.xxhash64(text)), "source", F.lit(seed)).alias("draw")),
-        "mixed-rows")
-    dims = ["source", "lang", "topic"]
-    cells = rows.groupBy(*dims).agg(F.sum("tokens").alias("tokens"))
-    cells = rake(cells, dims, targets, EXPONENTS if exponents is None else exponents)
+    rows = docs.select(
+        *columns, F.col("source").alias("_source"), F.col("lang").alias("_lang"),
+        (topic_of(text) if topic is None else topic).alias("_topic"), tokens_of(text).alias("_tokens"),
+        F.xxhash64(F.coalesce("doc_id", F.xxhash64(text)), "source", F.lit(seed)).alias("_draw"))
+    dims = ["_source", "_lang", "_topic"]
+    cells = rows.groupBy(*dims).agg(F.sum("_tokens").alias("tokens"))
+    given = {f"_{k}": v for k, v in (targets or {}).items()}
+    powers = {f"_{k}": v for k, v in (EXPONENTS if exponents is None else exponents).items()}
     scale = F.min(F.when(F.col("weight") > 0, F.col("tokens") / F.col("weight"))).over(
         Window.partitionBy())
-    rated = cut(cells.withColumn(
-        "probability", F.col("weight") * scale / F.col("tokens")), "rated")
+    cells = cut(rake(cells, dims, given, powers).select(
+        *[F.col(d).alias(f"_cell{d}") for d in dims], "weight",
+        F.least(F.col("weight") * scale / F.col("tokens"), F.lit(1.0)).alias("probability")), "rated")
     same = F.lit(True)
     for dim in dims:
-        same = same & F.col(f"r.{dim}").eqNullSafe(F.col(f"c.{dim}"))
-    drawn = (F.shiftrightunsigned("draw", 11) + F.lit(0.5)) / F.lit(float(2 ** 53))
-    return rows.alias("r").join(rated.alias("c"), same).select(
-        "r.doc_id", "r.source", "r.lang", "r.topic", F.col("r.tokens").cast("long").alias("tokens"),
-        "c.weight", F.least("c.probability", F.lit(1.0)).alias("probability"),
-        (drawn < F.col("c.probability")).alias("sampled"))
+        same = same & F.col(dim).eqNullSafe(F.col(f"_cell{dim}"))
+    drawn = (F.shiftrightunsigned("_draw", 11) + F.lit(0.5)) / F.lit(float(2 ** 53))
+    return rows.join(if_small(cells), same).select(
+        *columns, F.col("_topic").alias("topic"), F.col("_tokens").cast("long").alias("tokens"),
+        "weight", "probability", (drawn < F.col("probability")).alias("sampled"))
+
+
+def mix(docs, **options):
+    """Every row of ``docs`` as ``doc_id, source, lang, topic, tokens, weight, probability, sampled``."""
+    return rated(docs, ["doc_id", "source", "lang"], **options)

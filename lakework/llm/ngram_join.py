@@ -279,20 +279,19 @@ def near_classes(docs, size=5, percent=80):
         docs = docs.groupBy("doc_id").agg(F.min("text").alias("text"))
     features = cut(docs.mapInArrow(_features(size, percent), FEATURES), "features")
     point = ["n", "level", "counts", "next_counts"]
-    reps = cut(
-        features.where("n > 0").groupBy("signature").agg(
-            F.min("doc_id").alias("rep"),
-            *[F.any_value(c).alias(c) for c in [*point, "keys"]]),
-        "representatives")
-    keyed = reps.select(F.explode("keys").alias("key"), "rep")
-    shared = keyed.groupBy("key").agg(
-        F.min("rep").alias("hub"), F.count(F.lit(1)).alias("members")).where("members > 1")
-    members = cut(keyed.join(shared, "key").select("key", "rep", "hub"), "buckets")
+    sets = features.where("n > 0")
+    owners = sets.groupBy("signature").agg(F.min("doc_id").alias("rep"))
+    copies = cut(sets.select("doc_id", "signature").join(owners, "signature")
+                 .where("doc_id != rep").select("doc_id", "rep"), "copies")
+    reps = sets.join(if_small(copies.select("doc_id")), "doc_id", "left_anti").withColumnRenamed(
+        "doc_id", "rep")
+    members = _buckets(reps.select(F.explode("keys").alias("key"), "rep"))
 
     # First every member against the smallest of its buckets, if their bound allows it.
-    points = reps.select("rep", *point)
+    stars = cut(members.where("rep > hub").select("hub", "rep").distinct(), "stars")
+    inside = if_small(cut(members.select("rep").distinct(), "members"))
+    points = cut(reps.select("rep", *point).join(inside, "rep", "left_semi"), "points")
     hubs = points.toDF(*[f"hub_{c}" for c in points.columns])
-    stars = members.where("rep > hub").select("hub", "rep").distinct()
     stars = stars.join(points, "rep").join(hubs, F.col("hub") == F.col("hub_rep"))
     stars = stars.mapInArrow(_bounded(percent), "a long, b long")
     stars = cut(_links(stars, docs, size, percent), "star-links")
@@ -315,11 +314,25 @@ def near_classes(docs, size=5, percent=80):
     more = cut(_links(pairs.mapInArrow(_search(percent), "a long, b long"), docs, size, percent),
                "tree-links")
     found = components(more.unionAll(found.select("node", "component")))
-    owners = features.select("doc_id", "n", "signature").join(
-        reps.select(F.col("signature").alias("own"), "rep"), F.col("signature") == F.col("own"), "left")
-    return owners.join(found, F.col("rep") == F.col("node"), "left").select(
-        "doc_id", F.col("n").alias("n_shingles"),
-        F.coalesce("component", "rep", "doc_id").alias("component_id"))
+    found = if_small(cut(found.select(F.col("node").alias("rep"), "component"), "components"))
+    return features.select("doc_id", "n").join(if_small(copies), "doc_id", "left").select(
+        "doc_id", "n", F.coalesce("rep", "doc_id").alias("rep")).join(found, "rep", "left").select(
+        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id"))
+
+
+def _buckets(keyed):
+    """``key, rep, hub`` for all keys of several sets; the hub is the smallest of them.
+
+    The two sets of a pair are its smallest and largest; only larger buckets are joined
+    back to their keys.
+    """
+    shared = cut(keyed.groupBy("key").agg(
+        F.min("rep").alias("hub"), F.max("rep").alias("last"), F.count(F.lit(1)).alias("members"))
+        .where("members > 1"), "shared-keys")
+    pairs = shared.where("members = 2").select(
+        "key", F.explode(F.array("hub", "last")).alias("rep"), "hub")
+    more = if_small(shared.where("members > 2").select("key", "hub"))
+    return cut(keyed.join(more, "key").select("key", "rep", "hub").unionAll(pairs), "buckets")
 
 
 def _blocks(rest):
