@@ -68,20 +68,28 @@ class Classes:
             low, level = high + 1, level + 1
 
     def groups(self, high):
-        return 2 * high * (100 - self.percent) // (100 + self.percent) + 1
+        """The number of groups of a class, and how many empty ones a set may leave out.
+
+        With ``spare`` groups beyond those needed, ``spare + 1`` agree. Sets with at most so
+        many empty groups agree in one that is not empty; only sets with more of them are
+        also looked up by their empty groups, which say little.
+        """
+        differ = 2 * high * (100 - self.percent) // (100 + self.percent)
+        spare = 1 + -(-3 * differ // 100)
+        return differ + 1 + spare, spare
 
     def of(self, n):
-        """``(level, groups)`` of each class that a set of ``n`` tokens is looked up in."""
+        """``(level, groups, spare)`` of each class that a set of ``n`` tokens is looked up in."""
         level, _, high = self.bounds(n)
-        found = [(level, self.groups(high))]
+        found = [(level, *self.groups(high))]
         # The next class begins at high + 1; n is near enough if n / (high + 1) >= percent.
         if 100 * n >= self.percent * (high + 1):
-            found.append((level + 1, self.groups(self.bounds(high + 1)[2])))
+            found.append((level + 1, *self.groups(self.bounds(high + 1)[2])))
         return found
 
 
-def _grouped(tokens, level, groups):
-    """Keys of the contents of all groups, and how many tokens each part of one holds."""
+def _grouped(tokens, level, groups, spare):
+    """Keys of the contents of the groups, and how many tokens each part of one holds."""
     spread = mixed(tokens ^ np.uint64(0x5851F42D4C957F2D))
     part = ((spread >> np.uint64(32)) * np.uint64(groups * FINE) >> np.uint64(32)).astype(np.int64)
     order = np.argsort(part, kind="stable")
@@ -89,7 +97,9 @@ def _grouped(tokens, level, groups):
     counts = np.bincount(part, minlength=groups * FINE)
     ends = np.concatenate((np.zeros(1, np.int64), np.cumsum(counts)[FINE - 1::FINE]))
     names = np.arange(groups, dtype=np.uint64) + np.uint64((level << 40) + 1)
-    return mixed(sums[ends[1:]] - sums[ends[:-1]] ^ mixed(names)), counts
+    keys = mixed(sums[ends[1:]] - sums[ends[:-1]] ^ mixed(names))
+    filled = np.diff(ends) > 0
+    return keys[filled] if groups - filled.sum() <= spare else keys, counts
 
 
 def _packed(counts):
