@@ -35,8 +35,11 @@ NODE = 16
 #: Counts of a group's point: the group's hash range is cut into so many.
 FINE = 4
 
-FEATURES = ("doc_id long, n long, signature binary, keys array<long>, level int, counts binary,"
-            " next_counts binary")
+#: Counts of the short vector that trees and first bounds use, whatever the class.
+SHORT = 64
+
+FEATURES = ("doc_id long, n long, signature binary, keys array<long>, short binary, level int,"
+            " counts binary, next_counts binary")
 _HASHES = WordHashes()
 
 
@@ -104,7 +107,8 @@ def _grouped(tokens, level, groups, spare):
 
 def _packed(counts):
     """A count vector as bytes; the first tells the size of each count."""
-    size = 1 if counts.max(initial=0) < 256 else 4
+    most = counts.max(initial=0)
+    size = 1 if most < 256 else 2 if most < 65_536 else 4
     return bytes([size]) + counts.astype(f"<u{size}").tobytes()
 
 
@@ -117,7 +121,8 @@ def _features(size, percent):
         classes, known = Classes(percent), {}
         for batch in batches:
             for piece in chunks(batch, "text"):
-                rows = {name: [] for name in ("n", "signature", "keys", "level", "counts", "next")}
+                rows = {name: [] for name in (
+                    "n", "signature", "keys", "short", "level", "counts", "next")}
                 for tokens in shingle_sets(piece.column("text").to_pylist(), size, _HASHES):
                     n = len(tokens)
                     if n not in known:
@@ -129,6 +134,8 @@ def _features(size, percent):
                         hashlib.blake2b(tokens.tobytes(), digest_size=16).digest() if n else None)
                     rows["keys"].append(
                         np.concatenate([k.view(np.int64) for k, _ in found]) if found else [])
+                    rows["short"].append(_packed(np.bincount(
+                        (mixed(tokens) >> np.uint64(58)).astype(np.int64), minlength=SHORT)))
                     rows["level"].append(known[n][0][0] if n else None)
                     rows["counts"].append(vectors[0])
                     rows["next"].append(vectors[1])
@@ -136,14 +143,15 @@ def _features(size, percent):
                     piece.column("doc_id"), pa.array(rows["n"], pa.int64()),
                     pa.array(rows["signature"], pa.binary()),
                     pa.array(rows["keys"], pa.list_(pa.int64())),
-                    pa.array(rows["level"], pa.int32()), pa.array(rows["counts"], pa.binary()),
+                    pa.array(rows["short"], pa.binary()), pa.array(rows["level"], pa.int32()),
+                    pa.array(rows["counts"], pa.binary()),
                     pa.array(rows["next"], pa.binary()),
-                ], names=["doc_id", "n", "signature", "keys", "level", "counts", "next_counts"])
+                ], names=["doc_id", "n", "signature", "keys", "short", "level", "counts", "next_counts"])
     return features
 
 
 class Tree:
-    """A packed R-tree over the count vectors of sets of one class.
+    """A packed R-tree over count vectors of sets.
 
     Points are sorted by size and first counts and cut into nodes; a node keeps the
     largest count of each group and its range of sizes.
@@ -171,39 +179,19 @@ class Tree:
         return found
 
 
-def _trees(points):
-    """Trees over the vectors of a block, by class and whether it is the points' own."""
-    kinds = {}
-    for p in points:
-        kinds.setdefault((p["level"], True), []).append((p, p["counts"]))
-        if p["next_counts"] is not None:
-            kinds.setdefault((p["level"] + 1, False), []).append((p, p["next_counts"]))
-    return {
-        kind: (Tree(np.array([p["n"] for p, _ in held]), np.array([_vector(c) for _, c in held])),
-               [p for p, _ in held])
-        for kind, held in kinds.items()}
-
-
 def _search(percent):
     def search(batches):
-        """Pairs across components between two blocks of one bucket.
-
-        Two sets are compared in the class of the larger one.
-        """
+        """Pairs across components between two blocks of one bucket."""
         for batch in batches:
             for row in batch.to_pylist():
-                trees, found = _trees(row["right"]), set()
+                points, found = row["right"], set()
+                tree = Tree(np.array([p["n"] for p in points]),
+                            np.array([_vector(p["short"]) for p in points]))
                 for p in row["left"]:
-                    for kind, counts in (
-                        ((p["level"], True), p["counts"]), ((p["level"], False), p["counts"]),
-                        ((p["level"] + 1, True), p["next_counts"]),
-                    ):
-                        if kind in trees and counts is not None:
-                            tree, points = trees[kind]
-                            for i in tree.near(p["n"], _vector(counts), percent):
-                                if points[i]["component"] != p["component"]:
-                                    ends = p["rep"], points[i]["rep"]
-                                    found.add((min(ends), max(ends)))
+                    for i in tree.near(p["n"], _vector(p["short"]), percent):
+                        if points[i]["component"] != p["component"]:
+                            ends = p["rep"], points[i]["rep"]
+                            found.add((min(ends), max(ends)))
                 if found:
                     pairs = np.array(sorted(found))
                     yield pa.record_batch({
@@ -212,25 +200,50 @@ def _search(percent):
     return search
 
 
-def _bounded(percent):
+def _short_vectors(a, b):
+    return a["short"], b["short"]
+
+
+def _class_vectors(a, b):
+    """The vectors of two sets in the class of the larger one; None where they have none."""
+    step = b["level"] - a["level"]
+    if abs(step) > 1:
+        return None, None
+    return (a["counts"] if step <= 0 else a["next_counts"],
+            b["counts"] if step >= 0 else b["next_counts"])
+
+
+def _bounded(percent, vectors):
     def bounded(batches):
         """Pairs whose sizes and bound of the overlap allow a link."""
         for batch in batches:
             fits = []
-            for i, row in enumerate(batch.to_pylist()):
-                n, m, step = row["n"], row["hub_n"], row["level"] - row["hub_level"]
-                a = row["counts"] if step >= 0 else row["next_counts"]
-                b = row["hub_counts"] if step <= 0 else row["hub_next_counts"]
-                if (abs(step) < 2 and a is not None and b is not None
-                        and 100 * min(n, m) >= percent * max(n, m)
-                        and np.minimum(_vector(a), _vector(b)).sum() >= needed(n, m, percent)):
-                    fits.append(i)
-            fits = pa.array(fits, pa.int64())
-            yield pa.record_batch({
-                "a": batch.column("hub_rep").take(fits), "b": batch.column("rep").take(fits)})
+            for i, row in enumerate(batch.select(["left", "right"]).to_pylist()):
+                a, b = row["left"], row["right"]
+                n, m = a["n"], b["n"]
+                if 100 * min(n, m) >= percent * max(n, m):
+                    u, v = vectors(a, b)
+                    if u is not None and v is not None and np.minimum(
+                            _vector(u), _vector(v)).sum() >= needed(n, m, percent):
+                        fits.append(i)
+            yield batch.select(["a", "b"]).take(pa.array(fits, pa.int64()))
     return bounded
 
 
+def _allowed(pairs, points, percent):
+    """Those of ``pairs`` (a, b) that no bound rules out: by short vectors, then by full ones."""
+    pairs = pairs.distinct()
+    for columns, vectors in (
+        (["n", "short"], _short_vectors), (["n", "level", "counts", "next_counts"], _class_vectors),
+    ):
+        left = points.select(F.col("rep").alias("a"), F.struct(*columns).alias("left"))
+        right = points.select(F.col("rep").alias("b"), F.struct(*columns).alias("right"))
+        pairs = cut(pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right").mapInArrow(
+            _bounded(percent, vectors), "a long, b long"), "allowed")
+        pairs = if_small(pairs)
+    return pairs
+
+
 def _verify(size, percent):
     def verify(batches):
         """Rows in order of (a, salt, own text first); links of each text with a's."""
@@ -288,7 +301,6 @@ def near_classes(docs, size=5, percent=80):
     if docs.groupBy("doc_id").count().where("count > 1").limit(1).count():
         docs = docs.groupBy("doc_id").agg(F.min("text").alias("text"))
     features = cut(docs.mapInArrow(_features(size, percent), FEATURES), "features")
-    point = ["n", "level", "counts", "next_counts"]
     sets = features.where("n > 0")
     owners = sets.groupBy("signature").agg(F.min("doc_id").alias("rep"))
     copies = cut(sets.select("doc_id", "signature").join(owners, "signature")
@@ -297,14 +309,12 @@ def near_classes(docs, size=5, percent=80):
         "doc_id", "rep")
     members = _buckets(reps.select(F.explode("keys").alias("key"), "rep"))
 
-    # First every member against the smallest of its buckets, if their bound allows it.
-    stars = cut(members.where("rep > hub").select("hub", "rep").distinct(), "stars")
+    # First every member against the smallest of its buckets, if the bounds allow it.
     inside = if_small(cut(members.select("rep").distinct(), "members"))
-    points = cut(reps.select("rep", *point).join(inside, "rep", "left_semi"), "points")
-    hubs = points.toDF(*[f"hub_{c}" for c in points.columns])
-    stars = stars.join(points, "rep").join(hubs, F.col("hub") == F.col("hub_rep"))
-    stars = stars.mapInArrow(_bounded(percent), "a long, b long")
-    stars = cut(_links(stars, docs, size, percent), "star-links")
+    points = cut(reps.select("rep", "n", "short", "level", "counts", "next_counts").join(
+        inside, "rep", "left_semi"), "points")
+    stars = members.where("rep > hub").select(F.col("hub").alias("a"), F.col("rep").alias("b"))
+    stars = cut(_links(_allowed(stars, points, percent), docs, size, percent), "star-links")
     found = cut(components(stars), "star-components")
 
     # Then all pairs across components in the buckets that still hold several.
@@ -313,16 +323,16 @@ def near_classes(docs, size=5, percent=80):
     several = known.groupBy("key").agg(
         F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
     rest = cut(known.join(several.select("key"), "key"), "open-buckets")
-    blocks = cut(_blocks(rest).join(points, "rep").groupBy("key", "block").agg(
+    blocks = cut(_blocks(rest).join(points.select("rep", "n", "short"), "rep").groupBy("key", "block").agg(
         F.min("component").alias("low"), F.max("component").alias("high"),
-        F.collect_list(F.struct("rep", "component", *point)).alias("points")), "blocks")
+        F.collect_list(F.struct("rep", "component", "n", "short")).alias("points")), "blocks")
     left = blocks.toDF("key", "block", "left_low", "left_high", "left")
     right = blocks.toDF("key", "other", "right_low", "right_high", "right")
     pairs = left.join(right, "key").where(
         "block <= other and not (left_low = left_high and right_low = right_high"
         " and left_low = right_low)").select("left", "right")
-    more = cut(_links(pairs.mapInArrow(_search(percent), "a long, b long"), docs, size, percent),
-               "tree-links")
+    pairs = pairs.mapInArrow(_search(percent), "a long, b long")
+    more = cut(_links(_allowed(pairs, points, percent), docs, size, percent), "tree-links")
     found = components(more.unionAll(found.select("node", "component")))
     found = if_small(cut(found.select(F.col("node").alias("rep"), "component"), "components"))
     return features.select("doc_id", "n").join(if_small(copies), "doc_id", "left").select(
