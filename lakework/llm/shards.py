@@ -55,38 +55,56 @@ def quantised(df, columns, bits=BITS, prefix="_axis"):
     return df.withColumns(codes)
 
 
+def _bound(value, body):
+    """``body(x)`` with ``x`` evaluated once; keeps the plan linear in the steps."""
+    return F.transform(F.array(value), body)[0]
+
+
 def hilbert_index(df, axes, bits=BITS, name="curve"):
-    """Adds the place on the Hilbert curve of the integer columns ``axes`` (``bits`` bits each).
+    """Adds the place on the Hilbert curve of the integer columns ``axes`` (``bits`` bits each),
+    which are dropped."""
+    n = len(axes)
 
-    Each step of the transform is a projection of its own over the axis columns, which
-    it overwrites and which are dropped in the end.
-    """
-    first, last = axes[0], axes[-1]
-    for bit in range(bits - 1, 0, -1):
+    def codes(values):
+        return F.struct(*[v.alias(f"x{i}") for i, v in enumerate(values)])
+
+    def parts(state):
+        return [state[f"x{i}"] for i in range(n)]
+
+    def step(axis, bit):
         low = (1 << bit) - 1
-        for axis in axes:
-            is_set = F.col(axis).bitwiseAND(1 << bit) != 0
-            flipped = F.col(first).bitwiseXOR(F.lit(low))
-            if axis == first:
-                df = df.withColumn(first, F.when(is_set, flipped).otherwise(F.col(first)))
-                continue
-            swap = F.col(first).bitwiseXOR(F.col(axis)).bitwiseAND(low)
-            df = df.withColumns({
-                first: F.when(is_set, flipped).otherwise(F.col(first).bitwiseXOR(swap)),
-                axis: F.when(is_set, F.col(axis)).otherwise(F.col(axis).bitwiseXOR(swap))})
-    for before, axis in zip(axes, axes[1:], strict=False):
-        df = df.withColumn(axis, F.col(axis).bitwiseXOR(F.col(before)))
-    mask = F.lit(0)
+
+        def turned(state):
+            x = parts(state)
+            is_set = x[axis].bitwiseAND(F.lit(1 << bit)) != 0
+            swap = x[0].bitwiseXOR(x[axis]).bitwiseAND(F.lit(low))
+            first = F.when(is_set, x[0].bitwiseXOR(F.lit(low))).otherwise(x[0].bitwiseXOR(swap))
+            if axis:
+                x[axis] = F.when(is_set, x[axis]).otherwise(x[axis].bitwiseXOR(swap))
+            return codes([first, *x[1:]])
+        return turned
+
+    def grey(state):
+        x = parts(state)
+        for i in range(1, n):
+            x[i] = x[i].bitwiseXOR(x[i - 1])
+        return codes(x)
+
+    def placed(state):
+        x, mask = parts(state), F.lit(0)
+        for bit in range(bits - 1, 0, -1):
+            mask = mask.bitwiseXOR(F.when(
+                x[-1].bitwiseAND(F.lit(1 << bit)) != 0, F.lit((1 << bit) - 1)).otherwise(F.lit(0)))
+        return _bound(mask, lambda m: sum(
+            (F.shiftright(v.bitwiseXOR(m), bit).bitwiseAND(F.lit(1)).cast("long")
+             * (1 << (bit * n + n - 1 - i)) for bit in range(bits) for i, v in enumerate(x)),
+            F.lit(0).cast("long")))
+
+    state = codes([F.col(a).cast("int") for a in axes])
     for bit in range(bits - 1, 0, -1):
-        mask = mask.bitwiseXOR(F.when(
-            F.col(last).bitwiseAND(1 << bit) != 0, F.lit((1 << bit) - 1)).otherwise(F.lit(0)))
-    df = df.withColumn("_mask", mask)
-    place = F.lit(0).cast("long")
-    for bit in range(bits - 1, -1, -1):
-        for axis in axes:
-            code = F.col(axis).bitwiseXOR(F.col("_mask"))
-            place = place * 2 + F.shiftright(code, bit).bitwiseAND(1)
-    return df.withColumn(name, place).drop("_mask", *axes)
+        for axis in range(n):
+            state = _bound(state, step(axis, bit))
+    return df.withColumn(name, _bound(_bound(state, grey), placed)).drop(*axes)
 
 
 def hilbert_shards(docs, columns, shards):
