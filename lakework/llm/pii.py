@@ -107,15 +107,18 @@ def _digits(span):
     return F.regexp_replace(span, "[^0-9]", "")
 
 
-def luhn(digits):
-    """Whether a string of digits passes the Luhn check."""
-    def weighed(total, place):
-        d = F.substr(digits, F.length(digits) - place, F.lit(1)).cast("int")
-        doubled = F.when(d > 4, d * 2 - 9).otherwise(d * 2)
-        return total + F.when(place % 2 == 1, doubled).otherwise(d)
+def luhn(span):
+    """Whether 13 to 19 digits pass the Luhn check; false for any other number of them."""
+    def checked(digits):
+        def weighed(total, place):
+            d = F.substr(digits, F.length(digits) - place, F.lit(1)).cast("int")
+            doubled = F.when(d > 4, d * 2 - 9).otherwise(d * 2)
+            return total + F.when(place % 2 == 1, doubled).otherwise(d)
 
-    return F.aggregate(
-        F.sequence(F.lit(0), F.length(digits) - 1), F.lit(0), weighed) % 10 == 0
+        total = F.aggregate(F.sequence(F.lit(0), F.length(digits) - 1), F.lit(0), weighed)
+        return F.when(F.length(digits).between(13, 19), total % 10 == 0).otherwise(False)
+
+    return _bound(_digits(span), checked)
 
 
 def passes(kind, span):
@@ -125,9 +128,7 @@ def passes(kind, span):
     if kind == "ip":
         return span.rlike(r"^(?:0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?:\.|$)){4}$")
     n = F.length(_digits(span))
-    if kind == "phone":
-        return n.between(8, 15)
-    return F.when(n.between(16, 19), luhn(_digits(span))).otherwise(False)
+    return n.between(8, 15) if kind == "phone" else n.between(16, 19) & luhn(span)
 
 
 def _shaped(kind, span):
@@ -137,7 +138,7 @@ def _shaped(kind, span):
     if kind == "ip":
         return ~span.rlike(r"(^|\.)0[0-9]")
     if kind == "card":
-        return luhn(_digits(span))
+        return luhn(span)
     return F.when(span.rlike(r"[ ().-]"), F.length(_digits(span)).between(9, 13))
 
 
