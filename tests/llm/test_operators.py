@@ -302,8 +302,8 @@ def test_raking_meets_all_marginals(spark, docs, odd, nothing):
     for dim, wanted in targets.items():
         for value, share in wanted.items():
             assert abs(sum(r["weight"] for r in rows if r[dim] == value) - share) < 1e-5
-    assert mixing.mix(odd).count() == len(ROWS) + 3
-    assert all(0 <= r["probability"] <= 1 for r in mixing.mix(docs).collect())
+    rows = mixing.mix(odd).collect()
+    assert len(rows) == len(ROWS) + 3 and all(0 <= r["probability"] <= 1 for r in rows)
     assert mixing.mix(nothing).collect() == []
 
 
