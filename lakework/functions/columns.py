@@ -18,16 +18,20 @@ def with_types(df, types):
     return df.withColumns({name: F.col(quoted(name)).try_cast(t) for name, t in types.items()})
 
 
-def epoch_to_timestamp(column):
-    """Epoch seconds to the exact instant, whatever the session time zone."""
+def _whole_seconds(column):
+    """Numbers or text such as ``1699164000.0`` to whole seconds; anything else is NULL."""
     column = F.col(column) if isinstance(column, str) else column
-    return F.timestamp_seconds(column.try_cast("bigint"))
+    return column.try_cast("decimal(38,6)").try_cast("bigint")
+
+
+def epoch_to_timestamp(column):
+    """Epoch seconds to the instant, whatever the session time zone; fractions are cut off."""
+    return F.timestamp_seconds(_whole_seconds(column))
 
 
 def epoch_to_utc_ntz(column):
-    """Epoch seconds to UTC wall-clock time without a zone."""
-    column = F.col(column) if isinstance(column, str) else column
-    seconds = column.try_cast("bigint").cast("decimal(18,6)")
+    """Epoch seconds to UTC wall-clock time without a zone; fractions are cut off."""
+    seconds = _whole_seconds(column).try_cast("decimal(18,6)")
     return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds)
 
 

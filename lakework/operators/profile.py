@@ -3,6 +3,8 @@
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
+from lakework.functions.columns import quoted
+
 
 def row_count(df, name="n"):
     """One row with the number of rows."""
@@ -12,15 +14,18 @@ def row_count(df, name="n"):
 def profile(df, columns=None):
     """Count, mean, standard deviation, minimum and maximum of numeric columns, by default all.
 
-    One pass over the data; the result is long: ``(col, stat, value double)``.
+    One pass over the data; the result is long: ``(col, stat, value double)``. A frame
+    without numeric columns gives no rows.
     """
     numeric = [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)]
     columns = columns or numeric
+    if not columns:
+        return df.sparkSession.createDataFrame([], "col string, stat string, value double")
     stats = {
         "count": F.count, "mean": F.mean, "stddev": F.stddev, "min": F.min, "max": F.max,
     }
     wide = df.agg(*[
-        stat(F.col(c)).cast("double").alias(f"_{i}_{s}")
+        stat(F.col(quoted(c))).cast("double").alias(f"_{i}_{s}")
         for i, c in enumerate(columns) for s, stat in stats.items()
     ])
     cells = F.array(*[
@@ -46,7 +51,7 @@ def hashed_count(df, keys, one_in=100, name="approx_n"):
     The same rows are drawn on every run, cluster and partitioning.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    text = F.concat_ws("-", *[F.col(k).cast("string") for k in keys])
-    bound = f"{2 ** 32 // one_in:08x}"
-    drawn = F.count_if(F.substring(F.md5(text), 1, 8) < F.lit(bound))
+    text = F.concat_ws("-", *[F.col(quoted(k)).cast("string") for k in keys])
+    place = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
+    drawn = F.count_if(place < F.lit(2 ** 32 // one_in))
     return df.agg((drawn * one_in).alias(name))

@@ -18,8 +18,8 @@ def enrich(fact, dimension, key, take, dimension_key=None):
     columns = list(dict.fromkeys([right, *take]))
     return (
         fact.alias("r")
-        .join(dimension.select(*columns).alias("m"), F.col(f"r.{key}") == F.col(f"m.{right}"))
-        .select("r.*", *[F.col(f"m.{name}") for name in take])
+        .join(dimension.select(*map(quoted, columns)).alias("m"), F.col(f"r.{quoted(key)}") == F.col(f"m.{quoted(right)}"))
+        .select("r.*", *[F.col(f"m.{quoted(name)}") for name in take])
     )
 
 
@@ -77,7 +77,7 @@ def _newest(value, time):
 
 
 def _with_keys(df, keys):
-    return reduce(lambda d, k: d.where(F.col(k).isNotNull()), keys, df)
+    return reduce(lambda d, k: d.where(F.col(quoted(k)).isNotNull()), keys, df)
 
 
 def _time(order):
@@ -148,6 +148,6 @@ def members(df, column, values):
     the shuffle that the join needs anyway.
     """
     if isinstance(values, (list, tuple, set, frozenset)):
-        return df.where(F.col(column).isin(list(values)))
-    wanted = values.select(F.col(values.columns[0]).alias("_wanted")).distinct()
-    return df.join(wanted, F.col(column) == F.col("_wanted"), "left_semi")
+        return df.where(F.col(quoted(column)).isin(list(values)))
+    wanted = values.select(F.col(quoted(values.columns[0])).alias("_wanted")).distinct()
+    return df.join(wanted, F.col(quoted(column)) == F.col("_wanted"), "left_semi")

@@ -6,7 +6,7 @@ from lakework.functions.columns import with_types
 from lakework.operators.profile import profile, sampled_count
 from lakework.sinks.files import write_partitioned
 from lakework.sources.csv import read_csv
-from lakework.sources.tables import read_partition
+from lakework.sources.tables import read_keyed, read_partition
 
 # Columns with a type of their own; the others stay text.
 TYPES = {"FL_DATE": "date", "DEP_DELAY": "double"}
@@ -19,12 +19,12 @@ def raw_to_silver(spark, raw, silver):
 
 
 def silver_to_gold(spark, silver, gold):
-    """All years to Parquet with one folder per origin."""
-    write_partitioned(spark.read.parquet(silver), gold, "ORIGIN")
+    """All years to Parquet with one folder per origin; origins that are gone go."""
+    write_partitioned(spark.read.parquet(silver), gold, "ORIGIN", whole=True)
 
 
 def per_origin(spark, gold, by=("ORIGIN",)):
-    return spark.read.parquet(gold).groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
+    return read_keyed(spark, gold, ["ORIGIN"]).groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
 
 
 def origin_summary(spark, gold, origin, columns=("DEP_DELAY",)):

@@ -1,16 +1,18 @@
 """Market summaries: raw documents, flat silver, unioned gold, newest price per key."""
 
+import datetime
+
 from pyspark.sql import functions as F
 
-from lakework.functions.columns import drop_prefix
+from lakework.functions.columns import drop_prefix, snapshot_name
 from lakework.operators.flatten import flatten, normalize
 from lakework.operators.relational import last_per_key
-from lakework.sinks.files import land_json, replace_table, write_partitioned
+from lakework.sinks.files import CSV_TEXT, append_json, replace_table, write_partitioned
 from lakework.sources.csv import read_csv_by_name
 from lakework.sources.json import NTZ_FORMAT, read_json
 from lakework.sources.literal import read_literals
 from lakework.sources.responses import succeeded
-from lakework.sources.tables import read_if_present
+from lakework.sources.tables import read_if_present, read_keyed
 
 # Prices are always double: inference would take a whole number for bigint.
 RESULT = (
@@ -20,18 +22,61 @@ RESULT = (
 ALLOWANCE = "struct<cost:double,remaining:double,upgrade:string>"
 SUMMARY = f"result {RESULT}, allowance {ALLOWANCE}, exchange_name string"
 LANDED = f"{SUMMARY}, pair string, fetched_at timestamp_ntz"
+# As landed documents are read: the folder of a round is a column too.
+ROUNDS = f"{LANDED}, snapshot string"
+VALUES = (
+    "price.last", "price.high", "price.low", "price.change.percentage", "price.change.absolute",
+    "volume", "volumeQuote",
+)
+_BAD = "_bad_record"
+
+
+def has_values(result="result"):
+    """Whether a document holds at least one value; one that could not be read holds none."""
+    return F.coalesce(*[F.col(f"{result}.{value}") for value in VALUES]).isNotNull()
+
+
+def _with_body(responses):
+    """Responses with their parsed body ``data``; ``_bad_record`` is set where some of it misfits."""
+    body = F.from_json(
+        "body", f"result {RESULT}, allowance {ALLOWANCE}, {_BAD} string",
+        {"columnNameOfCorruptRecord": _BAD},
+    )
+    return responses.withColumn("data", body)
 
 
-def land(responses, path):
-    """Successful responses as raw JSON, one current set of files per exchange."""
-    body = F.from_json("body", f"result {RESULT}, allowance {ALLOWANCE}")
-    documents = succeeded(responses).select(
-        "exchange_name", "pair", "fetched_at", body.alias("data")
-    ).select("data.*", "exchange_name", "pair", "fetched_at")
-    land_json(documents, path, "exchange_name")
+def rejects(responses):
+    """Calls that did not give all of their values, and why.
+
+    ``status``: not 200; ``unreadable``: no value in the body, nothing lands; ``misfit``: some
+    field does not fit, the others land. The columns are those of the response and ``reason``.
+    """
+    good = F.coalesce(F.col("status_code") == 200, F.lit(False))
+    reason = F.when(~good, "status").when(~has_values("data.result"), "unreadable").when(
+        F.col(f"data.{_BAD}").isNotNull(), "misfit")
+    return _with_body(responses).withColumn("reason", reason).where("reason is not null").drop("data")
+
+
+def land(responses, path, time=None, rejects_path=None):
+    """Append the successful responses of one round as raw JSON.
+
+    Each exchange gets a folder named by itself and the ``time`` of the round (by default
+    now), and nothing that landed before is replaced, so a stream over ``path`` sees every
+    file unchanged and a pair that a round lacks keeps what it had. A repeated round adds
+    the same documents again, which ``run`` takes once. With ``rejects_path`` the calls in
+    ``rejects`` are appended there.
+    """
+    time = time or datetime.datetime.now(datetime.timezone.utc).replace(tzinfo=None)
+    documents = _with_body(succeeded(responses)).where(has_values("data.result")).select(
+        "data.result", "data.allowance", "exchange_name", "pair", "fetched_at",
+        snapshot_name("exchange_name", F.lit(time)).alias("snapshot"),
+    )
+    append_json(documents, path, "snapshot")
+    if rejects_path:
+        append_json(rejects(responses), rejects_path, "reason")
 
 
-def read_raw(spark, path, schema=LANDED):
+def read_raw(spark, path, schema=ROUNDS):
     """Raw JSON documents with the modification time of their file as ``datetime``."""
     return read_json(spark, path, schema).withColumn(
         "datetime", F.col("_metadata.file_modification_time")
@@ -41,8 +86,8 @@ def read_raw(spark, path, schema=LANDED):
 def read_raw_literals(spark, path, schema=SUMMARY, **how):
     """Legacy raw documents stored as literal text.
 
-    An unreadable document keeps its row, with ``decode_failed`` and NULL values,
-    so that it can be counted and found by ``file_path``.
+    A document that does not fit keeps its row, the fields that do fit, and
+    ``decode_failed``, so that it can be counted and found by ``file_path``.
     """
     decoded = read_literals(spark, path, schema, **how)
     return decoded.select("record.*", "datetime", "file_path", "decode_failed")
@@ -54,6 +99,7 @@ def to_silver(documents, sep="_"):
     ``sep="_"`` explodes lists into rows; ``sep="."`` gives dotted names, drops
     every ``allowance*`` column and keeps lists as JSON text.
     """
+    documents = documents.drop("snapshot")
     if "fetched_at" in documents.columns:
         # A landed document says itself when it was fetched; its file may hold many.
         documents = documents.withColumn(
@@ -77,7 +123,7 @@ def read_silver(spark, path, schema=None):
     silver = read_if_present(spark, path, schema, **options)
     if silver is None:
         raise FileNotFoundError(f"no silver data below {path}")
-    return silver
+    return silver if schema is not None else read_keyed(spark, path, ["exchange_name"], **options)
 
 
 def silver_to_gold(spark, silver_path, gold_path, schema=None):
@@ -88,16 +134,19 @@ def silver_to_gold(spark, silver_path, gold_path, schema=None):
 def write_silver_csv(silver, path):
     """Silver as CSV files with headers, one current folder per exchange."""
     write_partitioned(
-        silver, path, "exchange_name", fmt="csv", header=True, timestampNTZFormat=NTZ_FORMAT
+        silver, path, "exchange_name", fmt="csv", header=True, timestampNTZFormat=NTZ_FORMAT,
+        **CSV_TEXT
     )
 
 
-def csv_silver_to_gold(spark, silver_path, gold_path):
+def csv_silver_to_gold(spark, silver_path, gold_path, schema=None, groups=None):
     """Replace gold by the union of all silver CSV files, columns matched by name.
 
-    Types are inferred from the text; the Parquet silver keeps them exactly.
+    Give the schema of silver: without it types are inferred from the text. ``groups`` lists
+    paths whose files share a header, which saves looking for headers.
     """
-    silver = read_csv_by_name(spark, silver_path, infer=True, basePath=silver_path)
+    silver = read_csv_by_name(
+        spark, silver_path, infer=schema is None, groups=groups, schema=schema, basePath=silver_path)
     replace_table(silver, gold_path)
 
 
@@ -109,15 +158,15 @@ def latest(gold, keys=("exchange_name",), sort=True):
 def run(spark, lake, dataset="exchanges", sep="_", literals=False):
     """Raw to silver to gold; returns the gold table.
 
-    With ``literals`` raw holds legacy literal text; unreadable documents stay in
-    raw only, where ``read_raw_literals`` shows them.
+    With ``literals`` raw holds legacy literal text. In both forms a document keeps the
+    fields that could be read; one without any value stays in raw only, where
+    ``read_raw_literals`` shows it. Documents that landed twice count once.
     """
     if literals:
-        documents = read_raw_literals(spark, lake.raw(dataset)).where("not decode_failed")
-        documents = documents.drop("file_path", "decode_failed")
+        documents = read_raw_literals(spark, lake.raw(dataset)).drop("file_path", "decode_failed")
     else:
         documents = read_raw(spark, lake.raw(dataset))
-    silver = to_silver(documents, sep)
+    silver = to_silver(documents.where(has_values()), sep).distinct()
     write_silver(silver, lake.silver(dataset))
     silver_to_gold(spark, lake.silver(dataset), lake.gold(dataset), silver.schema)
     return spark.read.parquet(lake.gold(dataset))

@@ -4,7 +4,7 @@ from collections import defaultdict
 from urllib.parse import unquote
 
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from lakework.functions.columns import quoted, with_types
 from lakework.operators.relational import union_by_name
@@ -13,21 +13,35 @@ from lakework.operators.relational import union_by_name
 _ROW_IN_PARTITION = (1 << 33) - 1
 
 
+# Doubled quotes and line breaks inside quotes, as other CSV programs write them.
+CSV_TEXT = {"escape": '"', "multiLine": True}
+
+
 def read_csv(spark, path, schema=None, infer=False, header=True, **options):
     """CSV with a header: all strings, inferred types, or the columns of a schema.
 
+    A value in quotes may hold line breaks, so a file is read by one task; give
+    ``multiLine=False`` for large files whose values hold none, and Spark splits them.
+
     With a header the columns of a schema are found by name, wherever they stand in
     the file, and text that does not fit its type becomes NULL. Inference reads the
     data once more; jobs that run again should give a schema. Without a header the
-    columns are ``_c0``, ``_c1`` and so on, or those of the schema in order.
+    columns are ``_c0``, ``_c1`` and so on, or those of the schema in order. Unless types
+    are inferred, keys in folder names stay text, so that ``007`` does not become 7.
     """
-    reader = spark.read.options(header=header, **options)
+    reader = spark.read.options(header=header, **{**CSV_TEXT, **options})
+    if schema is None and infer:
+        return reader.option("inferSchema", True).csv(path)
+    if schema is None or header:
+        names = reader.csv(path).columns
+        text = StructType([StructField(name, StringType()) for name in names])
+        strings = spark.read.options(header=header, **{**CSV_TEXT, **options}).schema(text).csv(path)
     if schema is None:
-        return reader.option("inferSchema", infer).csv(path)
+        return strings
     schema = StructType.fromDDL(schema) if isinstance(schema, str) else schema
     if not header:
         return reader.schema(schema).csv(path)
-    named = reader.csv(path).select(*[quoted(f.name) for f in schema.fields])
+    named = strings.select(*[quoted(f.name) for f in schema.fields])
     return with_types(named, {f.name: f.dataType for f in schema.fields})
 
 
@@ -55,16 +69,26 @@ def csv_header_groups(spark, path, glob="*.csv"):
     return {header: sorted(groups[header]) for header in sorted(groups)}
 
 
-def read_csv_by_name(spark, path, infer=False, glob="*.csv", groups=None, **options):
+def read_csv_by_name(spark, path, infer=False, glob="*.csv", groups=None, schema=None, **options):
     """Every CSV file below ``path``, each under its own header, matched by column name.
 
     Reading them in one go would match by position and put values under the wrong
     name. One scan per distinct header, not per file. ``groups`` lists paths (or
     lists of paths) whose files are known to share a header, and so saves the scan
-    that looks for headers.
+    that looks for headers. A ``schema`` gives the columns and types of the result; a
+    file may lack some of them.
     """
     if groups is None:
         groups = list(csv_header_groups(spark, path, glob).values())
     if not groups:
         raise FileNotFoundError(f"no {glob} below {path}")
-    return union_by_name([read_csv(spark, files, infer=infer, **options) for files in groups])
+    if schema is None:
+        return union_by_name([read_csv(spark, files, infer=infer, **options) for files in groups])
+    schema = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    frames = []
+    for files in groups:
+        found = read_csv(spark, files, **options)
+        held = [f for f in schema.fields if f.name in found.columns]
+        frames.append(with_types(
+            found.select(*[quoted(f.name) for f in held]), {f.name: f.dataType for f in held}))
+    return union_by_name([spark.createDataFrame([], schema), *frames])

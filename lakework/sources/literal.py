@@ -82,8 +82,8 @@ def _evaluate_udf():
 def decode_literals(df, column, schema, into="record", failed="decode_failed"):
     """Parse literal text into a struct column and flag the rows that cannot be read.
 
-    No row is dropped: an unreadable one keeps its text, a NULL struct and
-    ``failed`` = true.
+    No row is dropped: one that does not fit keeps its text and ``failed`` = true. Its
+    struct holds the fields that do fit, and is NULL where there are none.
     """
     if isinstance(schema, str):
         schema = StructType.fromDDL(schema)
@@ -100,9 +100,13 @@ def decode_literals(df, column, schema, into="record", failed="decode_failed"):
     second = first.withColumn(
         "_retry", _evaluate_udf()(F.when(~readable("_first"), text))
     ).withColumn("_second", parsed(F.col("_retry")))
+    def partly(struct):
+        fields = [F.col(struct).getField(name).isNotNull() for name in schema.names]
+        return F.when(reduce(or_, fields), F.col(struct).dropFields(_BAD))
+
     record = F.when(readable("_first"), F.col("_first").dropFields(_BAD)).when(
         readable("_second"), F.col("_second").dropFields(_BAD)
-    )
+    ).otherwise(F.coalesce(partly("_second"), partly("_first")))
     unread = text.isNotNull() & ~readable("_first") & ~readable("_second")
     return second.select(
         *[F.col(quoted(c)) for c in df.columns], record.alias(into), unread.alias(failed)

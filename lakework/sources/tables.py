@@ -2,6 +2,7 @@
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 
 def read_table(spark, folder, name):
@@ -12,14 +13,23 @@ def read_table(spark, folder, name):
 def read_partition(spark, path, **values):
     """The rows of one partition, e.g. ``ORIGIN="ABR"``.
 
-    Filtering at the root prunes folders and keeps the partition column.
+    Filtering at the root prunes folders and keeps the partition column. Where a text is
+    asked for the column is text, so that ``007`` does not become 7.
     """
-    df = spark.read.parquet(path)
+    df = read_keyed(spark, path, [name for name, value in values.items() if isinstance(value, str)])
     for name, value in values.items():
         df = df.where(F.col(name) == F.lit(value))
     return df
 
 
+def read_keyed(spark, path, keys, **options):
+    """A partitioned Parquet folder whose columns ``keys``, taken from folder names, are text."""
+    found = spark.read.options(**options).parquet(path).schema
+    schema = StructType([
+        StructField(f.name, StringType()) if f.name in keys else f for f in found.fields])
+    return spark.read.options(**options).schema(schema).parquet(path)
+
+
 def read_if_present(spark, path, schema=None, **options):
     """A Parquet folder, or None when nothing has been written there yet."""
     reader = spark.read.options(**options)

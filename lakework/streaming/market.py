@@ -13,15 +13,18 @@ from lakework.sources.json import NTZ_FORMAT
 from lakework.sources.tables import read_if_present
 
 POLL_INTERVAL = "2 minutes"
+# Longer than any file is old; Spark's own week would leave late files out for good.
+MAX_FILE_AGE = "36500d"
 
 
 def read_stream(spark, path, schema, fmt="json", bytes_per_batch=1 << 40, files_per_batch=None):
     """Files as they land below ``path``.
 
     A backlog is worked off in batches of bounded size, so that a failure repeats
-    one of them and not all.
+    one of them and not all. A file is read however old it is when it lands; to that end
+    the checkpoint remembers the name of every file, so land few large ones.
     """
-    reader = spark.readStream.format(fmt).schema(schema)
+    reader = spark.readStream.format(fmt).schema(schema).option("maxFileAge", MAX_FILE_AGE)
     if fmt == "json":
         reader = reader.option("timestampNTZFormat", NTZ_FORMAT).option("pathGlobFilter", "*.json")
     if files_per_batch:
@@ -129,7 +132,8 @@ def start_layers(stream, to_silver, keys, order, silver_path, gold_path, checkpo
 
 
 def read_gold(spark, path):
-    """The newest gold version."""
+    """The newest gold version; only its files are read."""
     versions = spark.read.parquet(path)
-    newest = versions.agg(F.max("batch_id")).first()[0]
+    # A distinct partition value needs the folder names only.
+    newest = versions.select("batch_id").distinct().agg(F.max("batch_id")).first()[0]
     return versions.where(F.col("batch_id") == F.lit(newest)).drop("batch_id", "as_of")
