@@ -93,6 +93,8 @@ def rated(docs, columns, topic=None, targets=None, exponents=None, seed=SEED):
         *columns, F.col("source").alias("_source"), F.col("lang").alias("_lang"),
         (topic_of(text) if topic is None else topic).alias("_topic"), tokens_of(text).alias("_tokens"),
         F.xxhash64(F.coalesce("doc_id", F.xxhash64(text)), "source", F.lit(seed)).alias("_draw"))
+    # Written, as the cells and the draw both need what is read off the texts.
+    rows = cut(rows, "read-off")
     dims = ["_source", "_lang", "_topic"]
     cells = rows.groupBy(*dims).agg(F.sum("_tokens").alias("tokens"))
     given = {f"_{k}": v for k, v in (targets or {}).items()}
