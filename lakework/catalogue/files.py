@@ -18,7 +18,7 @@ from lakework.sources.tables import read_partition, read_table
 def _orders_csv(spark, folder, header):
     path = scratch_path(spark, "orders-csv")
     orders = read_table(spark, folder, "orders").select(
-        "o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus"
+        "o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus", "o_orderpriority"
     )
     write_csv(orders, path, header=header)
     return path
@@ -26,14 +26,23 @@ def _orders_csv(spark, folder, header):
 
 @query("""
     select o_orderkey::varchar as o_orderkey, o_custkey::varchar as o_custkey,
-           o_totalprice::varchar as o_totalprice, o_orderstatus
+           o_totalprice::varchar as o_totalprice, o_orderstatus, o_orderpriority
     from orders
 """)
 def csv_all_strings(spark, folder):
     return read_csv(spark, _orders_csv(spark, folder, header=True))
 
 
-@query("select o_orderkey, o_custkey, o_totalprice, o_orderstatus from orders")
+@query("select doc_id::varchar as doc_id, text, lang, source from documents")
+def csv_text(spark, folder):
+    """Texts with quotes, commas, blanks at their ends and line breaks, through CSV and back."""
+    path = scratch_path(spark, "documents-csv")
+    documents = read_table(spark, folder, "documents").select("doc_id", "text", "lang", "source")
+    write_csv(documents, path, header=True)
+    return read_csv(spark, path)
+
+
+@query("select o_orderkey, o_custkey, o_totalprice, o_orderstatus, o_orderpriority from orders")
 def csv_inferred(spark, folder):
     orders = read_csv(spark, _orders_csv(spark, folder, header=True), infer=True)
     return orders.withColumns({
@@ -44,7 +53,7 @@ def csv_inferred(spark, folder):
 
 @query("""
     select o_orderkey::varchar as _c0, o_custkey::varchar as _c1, o_totalprice::varchar as _c2,
-           o_orderstatus as _c3
+           o_orderstatus as _c3, o_orderpriority as _c4
     from orders
 """)
 def csv_no_header(spark, folder):
@@ -67,7 +76,8 @@ def csv_union_headers(spark, folder):
     )
     write_csv(customers, f"{path}/customers", header=True)
     write_csv(suppliers, f"{path}/suppliers", header=True)
-    return read_csv_by_name(spark, path)
+    # Each writer's folder holds one header, so none has to be looked for.
+    return read_csv_by_name(spark, path, groups=[f"{path}/customers", f"{path}/suppliers"])
 
 
 @query("select doc_id, lang, source, n_chars, text from documents")
@@ -151,14 +161,11 @@ def literal_text_decode(spark, folder):
 
 
 @query("""
-    select o_orderkey, o_custkey, o_totalprice, o_orderstatus from orders where o_orderstatus = 'F'
+    select * from orders where o_orderstatus = 'F'
 """)
 def partition_prune(spark, folder):
     path = scratch_path(spark, "orders-by-status")
-    orders = read_table(spark, folder, "orders").select(
-        "o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus"
-    )
-    write_partitioned(orders, path, "o_orderstatus")
+    write_partitioned(read_table(spark, folder, "orders"), path, "o_orderstatus")
     return read_partition(spark, path, o_orderstatus="F")
 
 
