@@ -22,6 +22,7 @@ def read_csv(spark, path, schema=None, infer=False, header=True, **options):
 
     A value in quotes may hold line breaks, so a file is read by one task; give
     ``multiLine=False`` for large files whose values hold none, and Spark splits them.
+    An empty text, quoted or not, reads as NULL.
 
     With a header the columns of a schema are found by name, wherever they stand in
     the file, and text that does not fit its type becomes NULL. Inference reads the

@@ -246,3 +246,20 @@ def test_object_store_options_take_keys_from_the_environment(monkeypatch):
     assert options["spark.hadoop.fs.s3a.connection.ssl.enabled"] == "false"
     assert options["spark.hadoop.fs.s3a.proxy.port"] == "9000"
     assert "spark.hadoop.fs.s3a.session.token" not in options
+
+
+def test_csv_text_survives(spark, tmp_path):
+    texts = ['say "hi", you', "a\nb", " blanks ", "back\\slash", "", None, "a,b", "''", '"']
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    write_csv(df, str(tmp_path / "out"), header=True)
+    rows = read_csv(spark, str(tmp_path / "out"), schema="i int, t string").orderBy("i").collect()
+    # CSV has one form for both: an empty text reads back as NULL.
+    assert [r.t for r in rows] == [t or None for t in texts]
+
+
+def test_keys_in_folder_names_stay_text(spark, tmp_path):
+    df = spark.createDataFrame([("007", 1)], "k string, v int")
+    write_partitioned(df, str(tmp_path / "p"), "k")
+    assert read_partition(spark, str(tmp_path / "p"), k="007").collect() == [(1, "007")]
+    write_partitioned(df, str(tmp_path / "c"), "k", fmt="csv", header=True)
+    assert read_csv(spark, str(tmp_path / "c")).collect() == [("1", "007")]

@@ -101,12 +101,66 @@ def test_market_from_responses_to_newest_price(spark, tmp_path):
     assert gold.count() == 3 and not [c for c in gold.columns if c.startswith("allowance")]
     newest = market.latest(gold).select("exchange_name", "result_price_last").collect()
     assert newest == [("bisq", 9.0), ("kraken", 11.5)]
-    # A later round replaces the exchanges it holds and no other.
+    # A later round is added to those before.
     market.land(responses(spark, ("bisq", "btcbrl", 200, json.dumps(summary(8)), "2024-01-02")), lake.raw("exchanges"))
     newest = market.latest(market.run(spark, lake)).select("exchange_name", "result_price_last").collect()
     assert newest == [("bisq", 8.0), ("kraken", 11.5)]
 
 
+def test_a_second_pair_of_an_exchange_keeps_the_first(spark, tmp_path):
+    lake = Lake(str(tmp_path))
+    for pair, price, second in (("btcusd", 1, "01"), ("btceur", 2, "02")):
+        market.land(
+            responses(spark, ("007", pair, 200, json.dumps(summary(price)), f"2024-01-01 00:00:{second}")),
+            lake.raw("exchanges"),
+        )
+    gold = market.run(spark, lake)
+    rows = market.latest(gold, ("exchange_name", "pair")).select("exchange_name", "pair", "result_price_last")
+    assert rows.collect() == [("007", "btceur", 2.0), ("007", "btcusd", 1.0)]
+    silver = market.read_silver(spark, lake.silver("exchanges"))
+    assert {r.exchange_name for r in silver.collect()} == {"007"}
+
+
+def test_bad_calls_are_set_apart_and_fields_that_fit_are_kept(spark, tmp_path):
+    lake, apart = Lake(str(tmp_path)), str(tmp_path / "rejects")
+    whole = json.dumps(summary(5))
+    calls = responses(
+        spark, ("fine", "p", 200, whole, "2024-01-01"), ("down", "p", 500, whole, "2024-01-01"),
+        ("none", "p", None, None, "2024-01-01"), ("html", "p", 200, "<html>", "2024-01-01"),
+        ("short", "p", 200, whole[:20], "2024-01-01"), ("empty", "p", 200, "", "2024-01-01"),
+        ("null", "p", 200, None, "2024-01-01"),
+        ("misfit", "p", 200, json.dumps(summary(6, volume="n/a")), "2024-01-01"),
+    )
+    market.land(calls, lake.raw("exchanges"), rejects_path=apart)
+    rows = market.run(spark, lake).select("exchange_name", "result_price_last", "result_volume")
+    assert sorted(rows.collect()) == [("fine", 5.0, 2.0), ("misfit", 6.0, None)]
+    reasons = {r.exchange_name: r.reason for r in spark.read.json(apart).collect()}
+    assert reasons == {
+        "down": "status", "none": "status", "html": "unreadable", "short": "unreadable",
+        "empty": "unreadable", "null": "unreadable", "misfit": "misfit",
+    }
+
+
+def test_legacy_documents_keep_the_fields_that_fit(spark, tmp_path):
+    lake = Lake(str(tmp_path))
+    raw = tmp_path / "raw" / "exchanges"
+    raw.mkdir(parents=True)
+    (raw / "a.json").write_text(str({**summary(3, volume="n/a"), "exchange_name": "a"}))
+    (raw / "b.json").write_text("<html>")
+    rows = market.run(spark, lake, literals=True).select("exchange_name", "result_price_last", "result_volume")
+    assert rows.collect() == [("a", 3.0, None)]
+
+
+def test_csv_silver_keeps_its_types_with_a_schema(spark, tmp_path):
+    silver, gold = str(tmp_path / "silver"), str(tmp_path / "gold")
+    rows = spark.createDataFrame([("007", 1.0, "a\nb")], "exchange_name string, p double, note string")
+    market.write_silver_csv(rows, silver)
+    schema = "exchange_name string, p double, note string, q double"
+    market.csv_silver_to_gold(spark, silver, gold, schema=schema)
+    assert spark.read.parquet(gold).select("exchange_name", "p", "note", "q").collect() == [
+        ("007", 1.0, "a\nb", None)]
+
+
 @pytest.mark.parametrize("sep", ["_", "."])
 def test_market_from_legacy_literals(spark, tmp_path, sep):
     lake = Lake(str(tmp_path))
@@ -218,6 +272,15 @@ def test_flight_lake(spark, tmp_path):
     assert estimate.first()[0] in (0, 100, 200)
 
 
+def test_an_origin_that_is_gone_leaves_gold(spark, tmp_path):
+    silver, gold = str(tmp_path / "silver"), str(tmp_path / "gold")
+    for origins in (["007", "JFK"], ["007"]):
+        rows = spark.createDataFrame([(o, 2018) for o in origins], "ORIGIN string, year int")
+        rows.write.mode("overwrite").parquet(silver)
+        flights.silver_to_gold(spark, silver, gold)
+    assert flights.per_origin(spark, gold).collect() == [("007", 1)]
+
+
 def test_schema_report(spark, tmp_path):
     (tmp_path / "a.csv").write_text("n,x,s\n1,1.5,q\n")
     assert [(r.name, r.type) for r in schema_report(spark, str(tmp_path / "a.csv")).collect()] == [

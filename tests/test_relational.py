@@ -253,3 +253,20 @@ def test_counts(spark):
     exact = hashed_count(df, "id").first()[0]
     assert abs(exact - 50_000) < spread
     assert exact == hashed_count(df.repartition(13), "id").first()[0]
+
+
+def test_profile_of_dotted_names_and_of_none(spark):
+    df = spark.createDataFrame([(1.0,), (3.0,)], "`a.b` double")
+    assert {(r.col, r.stat): r.value for r in profile(df).collect()}["a.b", "mean"] == 2.0
+    assert profile(df.select(F.lit("x").alias("t"))).collect() == []
+
+
+def test_hashed_count_of_all_rows_is_exact(spark):
+    assert hashed_count(spark.range(10_000), "id", one_in=1).first()[0] == 10_000
+
+
+def test_fractional_epochs_keep_their_time(spark):
+    df = spark.createDataFrame([("1699164000.0",), ("1699164000",), ("x",), (None,)], "t string")
+    rows = df.select(epoch_to_utc_ntz("t").alias("n"), epoch_to_timestamp("t").isNull().alias("m")).collect()
+    at = datetime.datetime(2023, 11, 5, 6)
+    assert [(r.n, r.m) for r in rows] == [(at, False), (at, False), (None, True), (None, True)]

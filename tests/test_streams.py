@@ -1,11 +1,15 @@
 import datetime
 import json
+import os
+import time
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from lakework.operators.relational import last_per_key
 from lakework.plans import market
+from lakework.sources.responses import ENVELOPE
 from lakework.streaming import market as streams
 
 SCHEMA = "exchange_name string, datetime timestamp_ntz, price double"
@@ -41,6 +45,48 @@ def test_latest_equals_batch_over_several_runs(spark, tmp_path):
     assert result == last_per_key(batch, "exchange_name", "datetime").collect()
 
 
+def test_files_older_than_those_seen_are_read(spark, tmp_path):
+    landing, out, checkpoint = tmp_path / "raw", str(tmp_path / "out"), str(tmp_path / "check")
+
+    def run():
+        stream = streams.read_stream(spark, str(landing), SCHEMA)
+        streams.start_latest(stream, ["exchange_name"], ["datetime"], out, checkpoint).awaitTermination()
+        return sorted(r.exchange_name for r in streams.read_latest(spark, out, ["exchange_name"]).collect())
+
+    land(landing, "a", ("a", 1, 1.0))
+    assert run() == ["a"]
+    land(landing, "b", ("b", 1, 1.0))
+    old = time.time() - 30 * 86_400
+    os.utime(landing / "b.json", (old, old))
+    land(landing, "c", ("c", 1, 1.0))
+    assert run() == ["a", "b", "c"]
+
+
+def test_a_failed_batch_still_finds_its_snapshot_after_the_next_landing(spark, tmp_path):
+    raw, checkpoint = str(tmp_path / "raw"), str(tmp_path / "check")
+
+    def round_of(price, second):
+        body = json.dumps({"result": {"price": {"last": price}}})
+        calls = spark.createDataFrame(
+            [("kraken", "btcusd", "u", 200, body, datetime.datetime(2024, 1, 1, 0, 0, second))], ENVELOPE)
+        market.land(calls, raw)
+
+    def start(sink):
+        return streams.start(streams.read_stream(spark, raw, market.ROUNDS), sink, checkpoint)
+
+    def fail(frame, batch_id):
+        raise ValueError("lost")
+
+    prices = []
+    round_of(1.0, 1)
+    with pytest.raises(StreamingQueryException):
+        start(fail).awaitTermination()
+    round_of(2.0, 2)
+    start(lambda frame, batch_id: prices.extend(
+        r.last for r in frame.select("result.price.last").collect())).awaitTermination()
+    assert sorted(prices) == [1.0, 2.0]
+
+
 def test_history_keeps_each_snapshot_once(spark, tmp_path):
     landing, out, checkpoint = tmp_path / "raw", str(tmp_path / "out"), str(tmp_path / "check")
 
