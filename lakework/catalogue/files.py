@@ -196,14 +196,14 @@ def report_csv(spark, folder):
 
 
 @query("""
-    select event_id, event_type, case when event_type in ('click', 'error') then value * 2 else value end
-        as value
+    select event_id, ts, user_id, event_type, props,
+           case when event_type in ('click', 'error') then value * 2 else value end as value
     from events
 """)
 def raw_upsert(spark, folder):
     path = Lake(scratch_path(spark, "upsert")).raw("events")
-    events = read_table(spark, folder, "events").select("event_id", "event_type", "value")
+    events = read_table(spark, folder, "events")
     land_json(events, path, "event_type")
     newer = events.where(F.col("event_type").isin("click", "error"))
     land_json(newer.withColumn("value", F.col("value") * 2), path, "event_type")
-    return read_json(spark, path, "event_id bigint, event_type string, value double")
+    return read_json(spark, path, events.schema)
