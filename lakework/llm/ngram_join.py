@@ -7,8 +7,11 @@ a whole tree node by its largest counts. Survivors are verified on the texts.
 
 A point search alone looks at a share of all points: a count says little about a set.
 The groups therefore also say where to look. With more groups than the two sets may
-differ in tokens, some group must hold the same tokens in both, so only sets that agree
-in the content of a whole group are compared. That loses no pair, whatever the data.
+differ in tokens, some groups must hold the same tokens in both, so only sets that agree
+in the content of a whole group are compared. That loses no pair, whatever the data. As
+there are more groups than needed, a set leaves out those whose contents most sets share:
+in one order of all contents, the rarest first, linked sets agree in one of the first
+``differ + 1``. A passage that many texts share thus leads nowhere by itself.
 
 Exact copies of a set are folded into one representative first. Then each bucket of
 sets with an equal group is linked to its smallest member, which joins up most groups of
@@ -20,6 +23,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lakework.llm.common import chunks, cut, if_small, share_code
@@ -33,13 +37,17 @@ BLOCK = 256
 #: Points in a tree node.
 NODE = 16
 #: Counts of a group's point: the group's hash range is cut into so many.
-FINE = 4
+FINE = 3
+#: Groups beyond those needed, as a share of the tokens in which linked sets may differ.
+SPARE = 0.5
+#: A key's lowest bit tells an empty group, the next ones its class.
+LEVEL_BITS = 6
 
 #: Counts of the short vector that trees and first bounds use, whatever the class.
 SHORT = 64
 
-FEATURES = ("doc_id long, n long, signature binary, keys array<long>, short binary, level int,"
-            " counts binary, next_counts binary")
+FEATURES = ("doc_id long, n long, signature binary, keys array<long>, wanted array<int>,"
+            " short binary, level int, counts binary, next_counts binary")
 _HASHES = WordHashes()
 
 
@@ -71,18 +79,12 @@ class Classes:
             low, level = high + 1, level + 1
 
     def groups(self, high):
-        """The number of groups of a class, and how many empty ones a set may leave out.
-
-        With ``spare`` groups beyond those needed, ``spare + 1`` agree. Sets with at most so
-        many empty groups agree in one that is not empty; only sets with more of them are
-        also looked up by their empty groups, which say little.
-        """
+        """The number of groups of a class, and how many of them a set is looked up by."""
         differ = 2 * high * (100 - self.percent) // (100 + self.percent)
-        spare = 1 + -(-3 * differ // 100)
-        return differ + 1 + spare, spare
+        return differ + 1 + int(SPARE * differ), differ + 1
 
     def of(self, n):
-        """``(level, groups, spare)`` of each class that a set of ``n`` tokens is looked up in."""
+        """``(level, groups, needed)`` of each class that a set of ``n`` tokens is looked up in."""
         level, _, high = self.bounds(n)
         found = [(level, *self.groups(high))]
         # The next class begins at high + 1; n is near enough if n / (high + 1) >= percent.
@@ -91,8 +93,13 @@ class Classes:
         return found
 
 
-def _grouped(tokens, level, groups, spare):
-    """Keys of the contents of the groups, and how many tokens each part of one holds."""
+def _grouped(tokens, level, groups, least):
+    """Keys of the contents of the groups, how many more than the filled ones a set needs,
+    and how many tokens each part of a group holds.
+
+    Empty groups come last in the order of keys, so only a set with fewer than ``least``
+    filled ones is looked up by the first of them as well.
+    """
     spread = mixed(tokens ^ np.uint64(0x5851F42D4C957F2D))
     part = ((spread >> np.uint64(32)) * np.uint64(groups * FINE) >> np.uint64(32)).astype(np.int64)
     order = np.argsort(part, kind="stable")
@@ -101,8 +108,11 @@ def _grouped(tokens, level, groups, spare):
     ends = np.concatenate((np.zeros(1, np.int64), np.cumsum(counts)[FINE - 1::FINE]))
     names = np.arange(groups, dtype=np.uint64) + np.uint64((level << 40) + 1)
     keys = mixed(sums[ends[1:]] - sums[ends[:-1]] ^ mixed(names))
+    keys = (keys >> np.uint64(LEVEL_BITS + 1) << np.uint64(LEVEL_BITS + 1)) | np.uint64(level << 1)
     filled = np.diff(ends) > 0
-    return keys[filled] if groups - filled.sum() <= spare else keys, counts
+    more = least - int(filled.sum())
+    empty = np.sort(keys[~filled])[:max(0, more)] | np.uint64(1)
+    return np.concatenate((keys[filled], empty)), more, counts
 
 
 def _packed(counts):
@@ -122,18 +132,19 @@ def _features(size, percent):
         for batch in batches:
             for piece in chunks(batch, "text"):
                 rows = {name: [] for name in (
-                    "n", "signature", "keys", "short", "level", "counts", "next")}
+                    "n", "signature", "keys", "wanted", "short", "level", "counts", "next")}
                 for tokens in shingle_sets(piece.column("text").to_pylist(), size, _HASHES):
                     n = len(tokens)
                     if n not in known:
                         known[n] = classes.of(n) if n else []
                     found = [_grouped(tokens, *c) for c in known[n]]
-                    vectors = [_packed(c) for _, c in found] + [None, None]
+                    vectors = [_packed(c) for _, _, c in found] + [None, None]
                     rows["n"].append(n)
                     rows["signature"].append(
                         hashlib.blake2b(tokens.tobytes(), digest_size=16).digest() if n else None)
                     rows["keys"].append(
-                        np.concatenate([k.view(np.int64) for k, _ in found]) if found else [])
+                        np.concatenate([k.view(np.int64) for k, _, _ in found]) if found else [])
+                    rows["wanted"].append([more for _, more, _ in found])
                     rows["short"].append(_packed(np.bincount(
                         (mixed(tokens) >> np.uint64(58)).astype(np.int64), minlength=SHORT)))
                     rows["level"].append(known[n][0][0] if n else None)
@@ -143,10 +154,12 @@ def _features(size, percent):
                     piece.column("doc_id"), pa.array(rows["n"], pa.int64()),
                     pa.array(rows["signature"], pa.binary()),
                     pa.array(rows["keys"], pa.list_(pa.int64())),
+                    pa.array(rows["wanted"], pa.list_(pa.int32())),
                     pa.array(rows["short"], pa.binary()), pa.array(rows["level"], pa.int32()),
                     pa.array(rows["counts"], pa.binary()),
                     pa.array(rows["next"], pa.binary()),
-                ], names=["doc_id", "n", "signature", "keys", "short", "level", "counts", "next_counts"])
+                ], names=["doc_id", "n", "signature", "keys", "wanted", "short", "level", "counts",
+                          "next_counts"])
     return features
 
 
@@ -307,7 +320,10 @@ def near_classes(docs, size=5, percent=80):
                  .where("doc_id != rep").select("doc_id", "rep"), "copies")
     reps = sets.join(if_small(copies.select("doc_id")), "doc_id", "left_anti").withColumnRenamed(
         "doc_id", "rep")
-    members = _buckets(reps.select(F.explode("keys").alias("key"), "rep"))
+    members = _buckets(
+        reps.select(F.explode("keys").alias("key"), "rep"),
+        reps.select("rep", "level", F.posexplode("wanted").alias("next", "wanted")).select(
+            "rep", (F.col("level") + F.col("next")).alias("level"), "wanted"))
 
     # First every member against the smallest of its buckets, if the bounds allow it.
     inside = if_small(cut(members.select("rep").distinct(), "members"))
@@ -340,19 +356,37 @@ def near_classes(docs, size=5, percent=80):
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id"))
 
 
-def _buckets(keyed):
-    """``key, rep, hub`` for all keys of several sets; the hub is the smallest of them.
+def _buckets(keyed, wanted):
+    """``key, rep, hub`` for the rarest keys of each set; the hub is the smallest of a key.
 
-    The two sets of a pair are its smallest and largest; only larger buckets are joined
-    back to their keys.
+    ``wanted``: per set and class, how many keys it needs beyond its filled groups. Keys of
+    one set alone come first in the order and lead nowhere; so does a set that has enough
+    of them. The two sets of a pair are its smallest and largest; only larger buckets are
+    joined back to their keys.
     """
     shared = cut(keyed.groupBy("key").agg(
         F.min("rep").alias("hub"), F.max("rep").alias("last"), F.count(F.lit(1)).alias("members"))
         .where("members > 1"), "shared-keys")
     pairs = shared.where("members = 2").select(
-        "key", F.explode(F.array("hub", "last")).alias("rep"), "hub")
-    more = if_small(shared.where("members > 2").select("key", "hub"))
-    return cut(keyed.join(more, "key").select("key", "rep", "hub").unionAll(pairs), "buckets")
+        "key", F.explode(F.array("hub", "last")).alias("rep"), "members")
+    more = if_small(shared.where("members > 2").select("key", "members"))
+    level = F.shiftright("key", 1).bitwiseAND((1 << LEVEL_BITS) - 1).cast("int")
+    empty = F.col("key").bitwiseAND(1)
+    found = keyed.join(more, "key").select("key", "rep", "members").unionAll(pairs).select(
+        "key", "rep", "members", level.alias("level"), empty.alias("empty"))
+    own = Window.partitionBy("rep", "level")
+    ranked = found.join(wanted, ["rep", "level"]).select(
+        "key", "rep",
+        (F.col("wanted") + F.sum(1 - F.col("empty")).over(own)).alias("wanted"),
+        F.row_number().over(own.orderBy("empty", "members", "key")).alias("rank"))
+    kept = cut(ranked.where("rank <= wanted").select("key", "rep"), "rare-keys")
+    # Buckets of the same sets tell nothing new: one of them is enough.
+    hubs = kept.groupBy("key").agg(
+        F.min("rep").alias("hub"), F.max("rep").alias("last"), F.count(F.lit(1)).alias("members"),
+        F.bit_xor(F.xxhash64("rep")).alias("h1"), F.bit_xor(F.xxhash64("rep", F.lit(1))).alias("h2"),
+    ).where("hub < last").groupBy("hub", "last", "members", "h1", "h2").agg(
+        F.min("key").alias("key")).select("key", "hub")
+    return cut(kept.join(hubs, "key").select("key", "rep", "hub"), "buckets")
 
 
 def _blocks(rest):
