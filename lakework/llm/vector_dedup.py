@@ -6,7 +6,8 @@ code. For any other vector q, the inner product of q's rotated coordinates and t
 code, divided by the factor, is an unbiased estimate of the cosine, and the factor
 gives the spread of its error. A pair whose estimate plus ``SPREADS`` spreads stays
 below the threshold is settled; every other pair is computed again in double precision,
-so no link below the threshold is ever made.
+so no link below the threshold is ever made. Each comparison of two blocks sums its links
+up per vector.
 
 Pairs are looked for where some band of the two codes is equal. At a cosine of 0.93 a
 sign differs with a probability of 0.12, so sixteen bands of twelve signs miss about one
@@ -88,31 +89,59 @@ def _band_keys(batches):
             "bands": pa.array([b for _, b in found], pa.list_(pa.int32()))})
 
 
+def _points(scalar):
+    """Ids, numbers of copies and unit vectors of a list of points."""
+    reps, copies, vectors = scalar.values.flatten()
+    return reps.to_numpy(), copies.to_numpy(), _units(
+        vectors.flatten().to_numpy().reshape(len(reps), -1))
+
+
+def summed(a, b, a_copies, b_copies):
+    """Of links between ``a`` and ``b``: the nodes, how many vectors each is linked to, and the
+    smallest node that it reaches by them."""
+    nodes, at = np.unique(np.concatenate((a, b)), return_inverse=True)
+    p, q = at[:len(a)], at[len(a):]
+    others = np.zeros(len(nodes), np.int64)
+    np.add.at(others, p, b_copies)
+    np.add.at(others, q, a_copies)
+    root, before = np.arange(len(nodes)), None
+    while before is None or (root != before).any():
+        before = root.copy()
+        least = np.minimum(root[p], root[q])
+        np.minimum.at(root, p, least)
+        np.minimum.at(root, q, least)
+        root = root[root]
+    return nodes, others, nodes[root]
+
+
 def _compare(threshold):
     def compare(batches):
-        """Links between two blocks of a bucket, each only in the first band that it shares."""
+        """Links between two blocks of a bucket, each only in the first band that it shares.
+
+        They leave as one row per vector, with their number and the smallest vector reached,
+        so that a large group of near copies makes no row per pair.
+        """
         for batch in batches:
-            for row in batch.to_pylist():
-                same = row["block"] == row["other"]
-                a, b = row["left"], row["right"]
-                units = _units([p["embedding"] for p in a]), _units([p["embedding"] for p in b])
-                reps = tuple(np.array([p["rep"] for p in side]) for side in (a, b))
-                copies = tuple(np.array([p["copies"] for p in side]) for side in (a, b))
-                turned, left_signs, _ = coded(units[0])
-                _, signs, factors = coded(units[1])
+            for k in range(batch.num_rows):
+                band = batch.column("band")[k].as_py()
+                same = batch.column("block")[k].as_py() == batch.column("other")[k].as_py()
+                left = _points(batch.column("left")[k])
+                right = left if same else _points(batch.column("right")[k])
+                turned, left_signs, _ = coded(left[2])
+                _, signs, factors = coded(right[2])
                 guess, spread = estimates(turned, signs, factors)
                 i, j = np.nonzero(guess + SPREADS * spread >= threshold)
                 if same:
-                    i, j = i[reps[0][i] < reps[1][j]], j[reps[0][i] < reps[1][j]]
+                    i, j = i[left[0][i] < right[0][j]], j[left[0][i] < right[0][j]]
                 first = (bands_of(left_signs)[i] == bands_of(signs)[j]).argmax(axis=1)
-                i, j = i[first == row["band"]], j[first == row["band"]]
-                near = np.einsum("ij,ij->i", units[0][i], units[1][j]) >= threshold
+                i, j = i[first == band], j[first == band]
+                near = np.einsum("ij,ij->i", left[2][i], right[2][j]) >= threshold
                 i, j = i[near], j[near]
                 if len(i):
+                    nodes, others, roots = summed(left[0][i], right[0][j], left[1][i], right[1][j])
                     yield pa.record_batch({
-                        "a": pa.array(reps[0][i], pa.int64()), "b": pa.array(reps[1][j], pa.int64()),
-                        "a_copies": pa.array(copies[0][i], pa.int64()),
-                        "b_copies": pa.array(copies[1][j], pa.int64())})
+                        "node": pa.array(nodes, pa.int64()), "others": pa.array(others, pa.int64()),
+                        "root": pa.array(roots, pa.int64())})
     return compare
 
 
@@ -157,11 +186,9 @@ def near_vectors(table, threshold=0.93):
     right = blocks.select("key", F.col("block").alias("other"), F.col("points").alias("right"))
     pairs = left.join(right, "key").where("block <= other").drop("key")
     links = cut(pairs.mapInArrow(
-        _compare(threshold), "a long, b long, a_copies long, b_copies long"), "vector-links")
-    linked = links.select(F.col("a").alias("node"), F.col("b_copies").alias("others")).unionAll(
-        links.select(F.col("b").alias("node"), F.col("a_copies").alias("others"))
-    ).groupBy("node").agg(F.sum("others").alias("others"))
-    found = linked.join(components(links), "node", "left")
+        _compare(threshold), "node long, others long, root long"), "vector-links")
+    linked = links.groupBy("node").agg(F.sum("others").alias("others"))
+    found = linked.join(components(links, "node", "root"), "node", "left")
     owners = rows.where("usable").select("vec_id", "label", "embedding").join(
         classes, ["label", "embedding"]).select("vec_id", "rep", "copies")
     result = owners.join(found, F.col("rep") == F.col("node"), "left").select(

@@ -161,6 +161,16 @@ def test_near_classes(spark, size, percent):
     assert {tuple(r) for r in found.collect()} == brute_classes(rows, size, percent)
 
 
+def test_near_classes_with_a_shared_passage(spark):
+    """Texts around one passage, of which a few are near copies and most are not."""
+    passage = words(77, 60)
+    rows = [(i, f"{words(1000 + i, 5 + i % 90)} {passage} {words(5000 + i, i % 7)}") for i in range(120)]
+    rows += [(200 + i, rows[i][1] + " more") for i in range(0, 120, 9)]
+    rows += [(400 + i, passage + f" end {i % 3}") for i in range(9)]
+    found = ngram_join.near_classes(spark.createDataFrame(rows, "doc_id long, text string"), 5, 80)
+    assert {tuple(r) for r in found.collect()} == brute_classes(rows, 5, 80)
+
+
 def test_near_classes_of_odd_and_empty_tables(odd, nothing):
     found = ngram_join.near_classes(odd).collect()
     assert sorted(r["doc_id"] for r in found) == [r[0] for r in ROWS]
@@ -205,6 +215,20 @@ def test_near_vectors_recall(spark):
     assert vector_dedup.near_vectors(table.limit(0)).collect() == []
 
 
+def test_links_are_summed_per_vector():
+    random = np.random.default_rng(3)
+    pairs = np.array(sorted({(int(a), int(b)) for a, b in random.integers(0, 60, (45, 2)) if a < b}))
+    a, b = pairs.T * 10
+    nodes, others, roots = vector_dedup.summed(a, b, a + 1, b + 1)
+    parent = {int(x): int(x) for x in nodes}
+    for _ in nodes:
+        for x, y in zip(a.tolist(), b.tolist(), strict=True):
+            parent[x] = parent[y] = min(parent[x], parent[y])
+    assert dict(zip(nodes.tolist(), roots.tolist(), strict=True)) == parent
+    for x, n in zip(nodes, others, strict=True):
+        assert n == (b[a == x] + 1).sum() + (a[b == x] + 1).sum()
+
+
 def test_estimates_are_unbiased():
     random = np.random.default_rng(1)
     u = random.standard_normal((300, 64))
