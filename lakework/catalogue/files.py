@@ -9,7 +9,7 @@ from lakework.operators.relational import joined_count_and_mean
 from lakework.scratch import scratch_path
 from lakework.sinks.files import land_json, write_csv, write_partitioned, write_report
 from lakework.sources.csv import read_csv, read_csv_by_name
-from lakework.sources.files import with_provenance
+from lakework.sources.files import list_files, with_provenance
 from lakework.sources.json import NTZ_FORMAT, parse_payload, read_json
 from lakework.sources.literal import decode_literals
 from lakework.sources.tables import read_partition, read_table
@@ -207,3 +207,15 @@ def raw_upsert(spark, folder):
     newer = events.where(F.col("event_type").isin("click", "error"))
     land_json(newer.withColumn("value", F.col("value") * 2), path, "event_type")
     return read_json(spark, path, events.schema)
+
+
+@query("select distinct o_orderstatus, true as named, true as filled from orders")
+def listed_files(spark, folder):
+    """The files of a table written in folders, by folder."""
+    path = scratch_path(spark, "listed-orders")
+    write_partitioned(read_table(spark, folder, "orders"), path, "o_orderstatus")
+    files = list_files(spark, path, glob="*.parquet")
+    status = F.regexp_extract("file_path", "/o_orderstatus=([^/]*)/", 1)
+    return files.groupBy(status.alias("o_orderstatus")).agg(
+        F.every(F.col("file_name").startswith("part-") & F.col("datetime").isNotNull()).alias("named"),
+        F.every(F.col("bytes") > 0).alias("filled"))

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from lakework.catalogue.registry import query
-from lakework.operators.flatten import flatten, normalize
+from lakework.operators.flatten import flatten, map_rows, normalize
 from lakework.operators.relational import enrich
 from lakework.sources.json import parse_payload
 from lakework.sources.tables import read_table
@@ -69,3 +69,29 @@ def flatten_map(spark, folder):
 """)
 def normalize_dotted(spark, folder):
     return normalize(_nested_customers(spark, folder))
+
+
+@query("""
+    select c_custkey as id, unnest([c_mktsegment, n_name]) as tags,
+           unnest([c_nationkey, c_custkey])::bigint as codes, c_name as customer_name,
+           n_name as customer_nation_name, r_name as customer_nation_region_name,
+           c_acctbal as figures_balance, c_nationkey::double as figures_nation
+    from customer join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey
+""")
+def flatten_mixed(spark, folder):
+    """A struct, two arrays walked in step and a map whose keys are looked for."""
+    figures = F.create_map(
+        F.lit("balance"), F.col("c_acctbal").cast("double"), F.lit("nation"), F.col("c_nationkey").cast("double"))
+    keyed = read_table(spark, folder, "customer").select(
+        F.col("c_custkey").alias("id"), figures.alias("figures"),
+        F.array(F.col("c_nationkey").cast("bigint"), F.col("c_custkey").cast("bigint")).alias("codes"))
+    return flatten(_nested_customers(spark, folder).join(keyed, "id"), zip_arrays=True)
+
+
+@query("""
+    select event_id, k as key, json_extract(props, '$.' || k)::bigint as value
+    from (select event_id, props, unnest(json_keys(props)) as k from events)
+""")
+def flatten_map_rows(spark, folder):
+    events = read_table(spark, folder, "events").select("event_id", "props")
+    return map_rows(parse_payload(events, "props", "map<string,bigint>"), ["event_id"], "props")

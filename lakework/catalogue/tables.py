@@ -14,7 +14,7 @@ from lakework.operators.relational import (
 )
 from lakework.plans import universe
 from lakework.sinks.display import preview
-from lakework.sources.responses import SUMMARY_URL, with_data, with_url
+from lakework.sources.responses import EXCHANGES, SUMMARY_URL, result_rows, with_data, with_url
 from lakework.sources.tables import read_table
 
 
@@ -382,3 +382,16 @@ def pair_universe(spark, folder):
     return costs.withColumns({
         c: F.round(c, 6) for c in ("cost_per_round", "rounds_per_day", "rounds_per_hour")
     })
+
+
+@query("select c_name as symbol, '/x/' || c_custkey as route from customer")
+def exchange_routes(spark, folder):
+    """Both fields of every element of listing responses, a thousand elements to a response."""
+    customers = read_table(spark, folder, "customer").select(
+        F.floor(F.col("c_custkey") / 1000).alias("call"),
+        F.struct(
+            F.col("c_name").alias("symbol"),
+            F.concat(F.lit("/x/"), F.col("c_custkey").cast("string")).alias("route")).alias("item"))
+    bodies = customers.groupBy("call").agg(F.collect_list("item").alias("result")).select(
+        F.lit(200).alias("status_code"), F.to_json(F.struct("result")).alias("body"))
+    return result_rows(bodies, EXCHANGES)

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DataType, MapType, StructType
+from pyspark.sql.types import ArrayType, DataType, MapType, StringType, StructType
 
 from lakework.functions.columns import quoted
 
@@ -19,11 +19,12 @@ class FlattenError(ValueError):
 
 @dataclass
 class Node:
-    """A column still to be placed: output name, expression, type."""
+    """A column still to be placed: output name, expression, type, arrays it came out of."""
 
     name: str
     value: Column
     type: DataType
+    depth: int = 0
 
 
 def _roots(df):
@@ -32,7 +33,7 @@ def _roots(df):
 
 def _struct_children(node, sep):
     return [
-        Node(f"{node.name}{sep}{f.name}", node.value.getField(f.name), f.dataType)
+        Node(f"{node.name}{sep}{f.name}", node.value.getField(f.name), f.dataType, node.depth)
         for f in node.type.fields
     ]
 
@@ -43,16 +44,34 @@ def _map_children(node, keys, sep):
             f"{node.name}{sep}{key}",
             F.try_element_at(node.value, F.lit(key).cast(node.type.keyType)),
             node.type.valueType,
+            node.depth,
         )
         for key in keys
     ]
 
 
-def map_key_sets(df, columns, max_keys):
+def _other_entries(node, keys, sep, name):
+    """The entries of a map under none of ``keys`` as JSON text, NULL where there are none."""
+    named = F.array(*[F.lit(key).cast(node.type.keyType) for key in keys])
+    others = F.map_filter(node.value, lambda key, _: ~F.array_contains(named, key)) if keys else node.value
+    text = F.when(F.size(others) > 0, F.to_json(others))
+    return Node(f"{node.name}{sep}{name}", text, StringType(), node.depth)
+
+
+def map_rows(df, columns, entries, key="key", value="value"):
+    """A map column in long form: ``columns`` and one row per entry.
+
+    For open key sets, which would make too many columns: no job looks for keys and
+    none is bounded. Null and empty maps have no rows; an entry with a NULL value has one.
+    """
+    return df.select(*[F.col(quoted(c)) for c in columns], F.explode(quoted(entries)).alias(key, value))
+
+
+def map_key_sets(df, columns, max_keys=None):
     """The sorted distinct keys of each map column, all found in one job.
 
-    Keys come back as text. A map with more than ``max_keys`` keys is an error:
-    such data belongs in rows, not columns.
+    Keys come back as text. With ``max_keys``, a map with more keys is an error; data with
+    very many of them is better read by ``map_rows``.
     """
     def tagged(number, column):
         keys = F.coalesce(F.map_keys(column), F.array())
@@ -61,15 +80,13 @@ def map_key_sets(df, columns, max_keys):
         )
 
     entries = F.concat(*[tagged(i, column) for i, column in enumerate(columns)])
-    found = (
-        df.select(F.explode(entries).alias("entry"))
-        .select("entry.map", "entry.key")
-        .distinct()
-        .limit(max_keys * len(columns) + 1)
-        .collect()
-    )
+    distinct = df.select(F.explode(entries).alias("entry")).select("entry.map", "entry.key").distinct()
+    if max_keys is not None:
+        distinct = distinct.limit(max_keys * len(columns) + 1)
+    found = distinct.collect()
     keys = [sorted(row["key"] for row in found if row["map"] == i) for i in range(len(columns))]
-    if max(map(len, keys)) > max_keys or len(found) > max_keys * len(columns):
+    if max_keys is not None and (
+            max(map(len, keys)) > max_keys or len(found) > max_keys * len(columns)):
         raise FlattenError(f"a map column has more than {max_keys} distinct keys")
     return keys
 
@@ -117,27 +134,31 @@ def _explode(df, nodes, positions):
             node.name,
             element.get(i, F.col(f"_{i}")),
             node.type.elementType if i in positions else node.type,
+            node.depth + (i in positions),
         )
         for i, node in enumerate(nodes)
     ]
     return rows, placed
 
 
-def flatten(df, sep="_", explode_arrays=True, zip_arrays=False, map_keys=None, max_map_keys=1000):
+def flatten(df, sep="_", explode_arrays=True, zip_arrays=False, combine_arrays=False,
+            map_keys=None, other_keys="others", max_map_keys=None):
     """Structs and maps to columns and arrays to rows until only scalars are left.
 
     Scalars keep their place; the children of a struct or map go to the end of
     the list under ``parent<sep>child``. Arrays are exploded where they stand,
-    empty and null ones keeping a row with NULL. Two arrays in one row give every
-    combination unless ``zip_arrays`` pairs them by position. With
-    ``explode_arrays=False`` arrays stay as JSON text.
+    empty and null ones keeping a row with NULL. Of two arrays in one row, ``zip_arrays``
+    pairs the elements by position and ``combine_arrays`` gives every combination; without
+    either they are an error, as the rows would multiply. An array inside the elements of
+    another is walked in any case. With ``explode_arrays=False`` arrays stay as JSON text.
 
     ``map_keys`` names the keys of a map column (by output name) and so saves the
-    job that looks for them.
+    job that looks for them; entries under other keys are kept as JSON text in
+    ``<map><sep><other_keys>``, unless ``other_keys`` is None.
     """
-    known = dict(map_keys or {})
+    known, declared = dict(map_keys or {}), set(map_keys or {})
     nodes = _roots(df)
-    at = 0
+    at = exploded = 0
     while at < len(nodes):
         node = nodes[at]
         if isinstance(node.type, StructType):
@@ -150,10 +171,16 @@ def flatten(df, sep="_", explode_arrays=True, zip_arrays=False, map_keys=None, m
                 known.update(zip((n.name for n in maps), found))
             nodes[at:at + 1] = []
             nodes += _map_children(node, known[node.name], sep)
+            if node.name in declared and other_keys is not None:
+                nodes.append(_other_entries(node, known[node.name], sep, other_keys))
         elif isinstance(node.type, ArrayType) and explode_arrays:
             positions = [at]
             if zip_arrays:
                 positions = [i for i, n in enumerate(nodes) if isinstance(n.type, ArrayType)]
+            elif node.depth < exploded and not combine_arrays:
+                raise FlattenError(
+                    f"{node.name!r} is a second array in a row: pass zip_arrays or combine_arrays")
+            exploded += 1
             df, nodes = _explode(df, nodes, positions)
         elif isinstance(node.type, ArrayType):
             nodes[at] = Node(node.name, F.to_json(node.value), None)
@@ -163,7 +190,7 @@ def flatten(df, sep="_", explode_arrays=True, zip_arrays=False, map_keys=None, m
     return _select(df, nodes)
 
 
-def normalize(df, sep=".", max_map_keys=1000):
+def normalize(df, sep=".", max_map_keys=None):
     """Structs and maps to ``parent.child`` columns, arrays kept as JSON text.
 
     Top-level scalars and arrays come first, then each nested column depth first.

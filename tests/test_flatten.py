@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StructType
 
-from lakework.operators.flatten import FlattenError, flatten, map_key_sets, normalize
+from lakework.operators.flatten import FlattenError, flatten, map_key_sets, map_rows, normalize
 
 SUMMARY = (
     "exchange_name string, result struct<price:struct<last:double,high:double,low:double,"
@@ -49,7 +49,9 @@ def test_arrays_keep_empty_and_null_rows(spark):
 
 def test_two_arrays_give_every_combination_unless_zipped(spark):
     df = frame(spark, "a array<int>, b array<string>", {"a": [1, 2], "b": ["x", "y", "z"]})
-    assert flatten(df).count() == 6
+    assert flatten(df, combine_arrays=True).count() == 6
+    with pytest.raises(FlattenError):
+        flatten(df)
     zipped = sorted(flatten(df, zip_arrays=True).collect(), key=str)
     assert zipped == [(1, "x"), (2, "y"), (None, "z")]
 
@@ -137,7 +139,31 @@ def test_maps_inside_structs_are_found_in_the_same_job(spark, monkeypatch):
 
 def test_given_map_keys_need_no_job(spark):
     df = frame(spark, "m map<string,int>", {"m": {"a": 1}})
-    assert flatten(df, map_keys={"m": ["a", "z"]}).collect() == [(1, None)]
+    assert flatten(df, map_keys={"m": ["a", "z"]}, other_keys=None).collect() == [(1, None)]
+
+
+def test_entries_under_other_keys_are_kept(spark):
+    df = frame(spark, "m map<string,int>", {"m": {"a": 1, "b": 2}}, {"m": {"a": 3}}, {"m": None})
+    out = flatten(df, map_keys={"m": ["a"]})
+    assert out.columns == ["m_a", "m_others"]
+    assert sorted(out.collect(), key=str) == [(1, '{"b":2}'), (3, None), (None, None)]
+
+
+def test_more_than_a_thousand_keys(spark):
+    df = spark.range(1_001).agg(F.map_from_entries(F.collect_list(F.struct(
+        F.col("id").cast("string"), "id"))).alias("m"))
+    assert len(flatten(df).columns) == 1_001
+
+
+def test_arrays_in_arrays_are_no_combination(spark):
+    df = frame(spark, "xs array<struct<ys:array<int>>>", {"xs": [{"ys": [1, 2]}, {"ys": [3]}]})
+    assert sorted(flatten(df).collect()) == [(1,), (2,), (3,)]
+
+
+def test_map_rows(spark):
+    df = frame(spark, "id int, m map<string,int>", {"id": 1, "m": {"a": 1, "b": None}},
+               {"id": 2, "m": {}}, {"id": 3, "m": None})
+    assert sorted(map_rows(df, ["id"], "m").collect()) == [(1, "a", 1), (1, "b", None)]
 
 
 def test_name_collision_is_an_error(spark):
