@@ -30,14 +30,16 @@ def write_partitioned(df, path, by, mode="overwrite", fmt="parquet", gather=True
     With ``overwrite`` only the partitions present in ``df`` are replaced, so a
     rerun gives the same result and other partitions stay; ``whole`` replaces the table,
     partitions that ``df`` no longer has included. The rebalance gathers
-    small partitions into few files and spreads a hot value over many tasks; with
+    small partitions into few files and spreads a hot value over many tasks, for which
+    it needs adaptive execution (without it, asking to gather is an error); with
     ``gather=False`` there is no shuffle and each task writes a file per value it
     holds, which suits a handful of values. ``by`` must not have many distinct
     values: each is a folder.
     """
     by = [by] if isinstance(by, str) else list(by)
-    # Without adaptive execution a rebalance cannot split a hot value.
-    if gather and df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
+    if gather:
+        if df.sparkSession.conf.get("spark.sql.adaptive.enabled") != "true":
+            raise ValueError("gathering needs adaptive execution, which splits hot values; pass gather=False")
         df = df.hint("rebalance", *[F.col(quoted(c)) for c in by])
     writer = df.write.mode(mode).partitionBy(*by)
     replaced = "static" if whole else "dynamic"
