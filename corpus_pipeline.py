@@ -23,19 +23,31 @@ def remove_toxic(spark, docs, sf_dir):
 
 
 def remove_near_copies(spark, docs, sf_dir):
-    """One document of each class of near copies (five words, similarity 0.8 or more).
+    """One row of each class of near copies (five words, similarity 0.8 or more).
 
-    The smallest ``doc_id`` stays. Of rows that repeat a ``doc_id`` one stays, the one with the
-    smallest text; rows with a null ``doc_id`` go, as nothing could refer to them.
+    The one with the smallest ``doc_id`` stays, a null id only where the class has no other.
+    Only rows whose own text is linked to that of a kept row go: rows that share a ``doc_id``
+    are compared like any others, and rows with a null ``doc_id`` too. Null, empty and blank
+    texts are copies of nothing and pass.
     """
-    docs = docs.select(*COLUMNS).where("doc_id is not null")
-    classes = ngram_join.near_classes(docs, size=5, percent=80)
-    gone = if_small(cut(classes.where("doc_id != component_id").select("doc_id"), "copies"))
-    kept = docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
-    if docs.groupBy("doc_id").count().where("count > 1").limit(1).count():
-        least = F.min(F.struct("text", "lang", "source", "n_chars")).alias("r")
-        kept = kept.groupBy("doc_id").agg(least).select("doc_id", "r.*")
-    return kept
+    docs = docs.select(*COLUMNS)
+    if not docs.groupBy("doc_id").count().where("count > 1 or doc_id is null").limit(1).count():
+        classes = ngram_join.near_classes(docs, size=5, percent=80)
+        gone = if_small(cut(classes.where("doc_id != component_id").select("doc_id"), "copies"))
+        return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    # Ids do not tell the rows apart: written numbers stand in for them.
+    rows = cut(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    classes = cut(ngram_join.near_classes(
+        rows.select(F.col("_row").alias("doc_id"), "text"), size=5, percent=80).select(
+        F.col("doc_id").alias("_row"), F.col("component_id").alias("_class")), "classes")
+    several = classes.groupBy("_class").count().where("count > 1").select("_class")
+    members = cut(classes.join(if_small(several), "_class").join(rows.select(
+        "_row", F.struct(F.isnull("doc_id").alias("no_id"), "doc_id", F.xxhash64("text").alias("tie"),
+                         "_row").alias("_place")), "_row"), "members")
+    first = members.groupBy("_class").agg(F.min("_place").alias("_first"))
+    gone = members.join(if_small(first), "_class").where(
+        F.col("_row") != F.col("_first._row")).select("_row")
+    return rows.join(if_small(cut(gone, "copies")), "_row", "left_anti").select(*COLUMNS)
 
 
 def redact_personal_data(spark, docs, sf_dir):

@@ -371,3 +371,18 @@ def test_pipeline(spark, tmp_path):
     assert kept["personal_data"].columns == corpus_pipeline.COLUMNS
     drawn = {r["doc_id"] for r in kept["mixing"].collect()}
     assert drawn and {r["doc_id"] for r in kept["packing"].collect()} == drawn
+
+
+def test_near_copies_lose_no_other_text(spark):
+    text = lambda k: " ".join(f"{k}x{j}" for j in range(40))
+    rows = [
+        (1, text("a")), (1, text("b")), (2, None), (2, text("c")), (3, ""), (3, text("d")),
+        (4, text("e")), (4, text("e")), (None, text("f")), (None, text("a")), (5, text("b") + " more"),
+        (None, text("g")), (None, text("g")), (0, text("d")), (6, None), (6, None)]
+    docs = spark.createDataFrame(
+        [(i, t, "en", "a", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.remove_near_copies(spark, docs, None)
+    assert kept.columns == corpus_pipeline.COLUMNS
+    assert sorted(((r[0], r[1]) for r in kept.collect()), key=repr) == sorted([
+        (1, text("a")), (1, text("b")), (2, None), (2, text("c")), (3, ""), (0, text("d")),
+        (4, text("e")), (None, text("f")), (None, text("g")), (6, None), (6, None)], key=repr)
