@@ -57,9 +57,13 @@ def redact_personal_data(spark, docs, sf_dir):
 
 
 def mix_sources(spark, docs, sf_dir):
-    """Documents drawn to the target shares of source, language and topic."""
-    rated = mixing.rated(docs, COLUMNS)
-    return rated.where("sampled").select(*COLUMNS)
+    """Documents drawn to the target shares of source, language and topic.
+
+    The sample has as many tokens as the documents; those of cells that ask for more than
+    they have stand in it several times.
+    """
+    drawn = mixing.rated(docs, COLUMNS).where("sampled")
+    return drawn.withColumn("_copy", F.explode(F.sequence(F.lit(1), "copies"))).select(*COLUMNS)
 
 
 def pack_sequences(spark, docs, sf_dir):

@@ -111,6 +111,14 @@ def op8_mixing(spark, folder):
     return mixing.mix(read_table(spark, folder, "documents"))
 
 
+@query()
+def op8_mixing_targets(spark, folder):
+    """Given shares of languages and kinds of text; sources keep the powers of their own."""
+    return mixing.mix(read_table(spark, folder, "documents"), targets={
+        "lang": {"en": 0.4, "fr": 0.2, "de": 0.2, "es": 0.2},
+        "topic": {"prose": 0.9, "numbers": 0.04, "symbols": 0.03, "table": 0.03}})
+
+
 @query(licenses.licences_sql())
 def op3_licences(spark, folder):
     return licenses.licences(read_table(spark, folder, "documents"))

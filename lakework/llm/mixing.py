@@ -2,9 +2,11 @@
 
 Documents fall into cells of source, language and topic. The token weights of the cells
 are raked: scaled to meet the target share of each source, then of each language, then of
-each topic, again and again until all three hold. A document is then kept with the
-probability that brings its cell from its tokens to its weight, drawn from a hash of its
-id, so that expected tokens meet every target and a rerun keeps the same documents.
+each topic, again and again until all three hold. A document is then drawn at the rate
+that brings its cell from its tokens to its weight's share of a token budget: with a
+probability below one, or as often as the rate says above. The fraction is drawn from a
+hash of its id, so that expected tokens meet every target and the budget, and a rerun
+draws the same documents.
 """
 
 from pyspark.sql import Window
@@ -79,12 +81,15 @@ def rake(cells, dims, targets=None, exponents=None):
     return cells.drop(*[f"_want_{d}" for d in dims])
 
 
-def rated(docs, columns, topic=None, targets=None, exponents=None, seed=SEED):
-    """``columns`` of ``docs`` with ``topic``, ``tokens``, ``weight``, ``probability`` and ``sampled``.
+def rated(docs, columns, topic=None, targets=None, exponents=None, seed=SEED, budget=None):
+    """``columns`` of ``docs`` with ``topic, tokens, weight, rate, probability, copies, sampled``.
 
     ``docs`` needs ``doc_id, text, lang, source``; ``topic`` is a column, by default the kind of
-    text. ``weight`` is that of the document's cell. The cell that would need most keeps all its
-    documents, so no probability is cut off at one. Null and empty texts count one token; null
+    text. ``weight`` is that of the document's cell. ``budget`` is the expected number of tokens
+    drawn, by default as many as there are, so no cell sets how much of the others is kept.
+    ``rate`` is the expected number of ``copies`` in the sample, ``probability`` that of having
+    any; a cell whose weight asks for more tokens than it has is repeated, and no rate is cut
+    off at one. Null and empty texts count one token; null
     sources, languages and topics are values of their own; rows with one ``doc_id`` and source
     are kept or left together, null ids by their text. An empty table gives no rows.
     """
@@ -99,20 +104,22 @@ def rated(docs, columns, topic=None, targets=None, exponents=None, seed=SEED):
     cells = rows.groupBy(*dims).agg(F.sum("_tokens").alias("tokens"))
     given = {f"_{k}": v for k, v in (targets or {}).items()}
     powers = {f"_{k}": v for k, v in (EXPONENTS if exponents is None else exponents).items()}
-    scale = F.min(F.when(F.col("weight") > 0, F.col("tokens") / F.col("weight"))).over(
-        Window.partitionBy())
+    wanted = F.sum("tokens").over(Window.partitionBy()) if budget is None else F.lit(float(budget))
     cells = cut(rake(cells, dims, given, powers).select(
         *[F.col(d).alias(f"_cell{d}") for d in dims], "weight",
-        F.least(F.col("weight") * scale / F.col("tokens"), F.lit(1.0)).alias("probability")), "rated")
+        (F.col("weight") * wanted / F.col("tokens")).alias("rate")), "rated")
     same = F.lit(True)
     for dim in dims:
         same = same & F.col(dim).eqNullSafe(F.col(f"_cell{dim}"))
     drawn = (F.shiftrightunsigned("_draw", 11) + F.lit(0.5)) / F.lit(float(2 ** 53))
-    return rows.join(if_small(cells), same).select(
+    whole = F.floor("rate")
+    copies = (whole + (drawn < F.col("rate") - whole).cast("long")).cast("long")
+    return rows.join(if_small(cells), same).withColumn("copies", copies).select(
         *columns, F.col("_topic").alias("topic"), F.col("_tokens").cast("long").alias("tokens"),
-        "weight", "probability", (drawn < F.col("probability")).alias("sampled"))
+        "weight", "rate", F.least("rate", F.lit(1.0)).alias("probability"), "copies",
+        (F.col("copies") > 0).alias("sampled"))
 
 
 def mix(docs, **options):
-    """Every row of ``docs`` as ``doc_id, source, lang, topic, tokens, weight, probability, sampled``."""
+    """Every row of ``docs`` as ``doc_id, source, lang`` and what ``rated`` adds."""
     return rated(docs, ["doc_id", "source", "lang"], **options)

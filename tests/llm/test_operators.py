@@ -386,3 +386,28 @@ def test_near_copies_lose_no_other_text(spark):
     assert sorted(((r[0], r[1]) for r in kept.collect()), key=repr) == sorted([
         (1, text("a")), (1, text("b")), (2, None), (2, text("c")), (3, ""), (0, text("d")),
         (4, text("e")), (None, text("f")), (None, text("g")), (6, None), (6, None)], key=repr)
+
+
+def test_a_stray_source_hardly_changes_the_mix(spark):
+    rows = [(i, words(i, 100), "en" if i % 3 else "fr", "hot" if i % 3 == 1 else f"s{i % 19}", 1)
+            for i in range(600)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    rated = [mixing.mix(spark.createDataFrame(r, schema)).collect() for r in (
+        rows, [*rows, (600, "w12", "en", "stray", None)])]
+    kept = [sum(r["probability"] for r in found if r["source"] != "stray") / 600 for found in rated]
+    assert kept[0] > 0.9 and abs(kept[0] - kept[1]) < 0.01
+    for found in rated:
+        tokens = sum(r["tokens"] for r in found)
+        assert abs(sum(r["rate"] * r["tokens"] for r in found) - tokens) < 1e-3 * tokens
+        assert abs(sum(r["copies"] * r["tokens"] for r in found) - tokens) < 0.1 * tokens
+        own, got = {}, {}
+        for r in found:
+            own[r["source"]] = own.get(r["source"], 0) + r["tokens"]
+            got[r["source"]] = got.get(r["source"], 0) + r["rate"] * r["tokens"]
+        norm = sum((n / tokens) ** 0.9 for n in own.values())
+        for source, n in own.items():
+            assert abs(got[source] / tokens - (n / tokens) ** 0.9 / norm) < 1e-4
+    stray = next(r for r in rated[1] if r["source"] == "stray")
+    assert stray["rate"] > 1 and stray["copies"] in (int(stray["rate"]), int(stray["rate"]) + 1)
+    few = mixing.mix(spark.createDataFrame(rows, schema), budget=6060).collect()
+    assert abs(sum(r["rate"] * r["tokens"] for r in few) - 6060) < 10
