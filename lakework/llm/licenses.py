@@ -1,9 +1,13 @@
 """Licence recognition from known sentences and their order, in built-in functions only.
 
 A text is cut into sentences, each is normalised (ASCII letters and digits in lower case,
-single spaces) and mapped to the identifier of the known licence sentence that it says.
+single spaces) and mapped to the identifiers of the known licence sentences that it says.
 The identifiers of a text, in order, with ``-`` for any other sentence, are then matched
 against ordered licence rules; a rule's sentences may have ``GAP`` other ones in between.
+
+``SENTENCES``, ``BREAK`` and ``TELLING`` belong to the registered SQL, which says the same
+of texts whose statements are whole lines in the wording of ``SENTENCES``. The operator
+itself reads ``SAYINGS``: any subject and tail, and the usual wordings of each licence.
 """
 
 from pyspark.sql import functions as F
@@ -51,6 +55,75 @@ SENTENCES = {
     "spdxgpl2": r"spdx license identifier gpl 2 0.*",
 }
 
+#: "is licensed to you under the terms of the", also "under either Apache 2.0 or the"; not
+#: "is not licensed under".
+STATED = (r"(?<!\b(?:not|never|longer|nor|not be|never be|formerly|previously) )"
+          r"(?:licen[cs]ed|released|distributed?|available|provided|published|offered|covered"
+          r"|redistributed?|modify|copy|use) (?:(?:it|them|this \w+) )?(?:and or modify (?:it )?)?(?:to you )?"
+          r"(?:only )?(?:under|by|subject to|according to|in accordance with) "
+          r"(?:(?:\w+ ){0,12}(?:or|and|either|both) )?(?:(?:a|an|the|either|of|both) )*"
+          r"(?:(?:terms|conditions)(?: and (?:terms|conditions))? of )?(?:(?:a|an|the|either|of|both) )*")
+#: "version 2", "v2 0", "2 0" and no other version.
+_NUMBER = r"(?:(?:version|ver|v) ?)?{}(?: 0)?(?! \d\b)\b"
+_GPL = r"(?:gnu )?(?:general public licen[cs]e|gpl)(?: gnu gpl| gpl)?"
+_LESSER = r"(?:gnu )?(?:(?:lesser|library) (?:general )?public licen[cs]e|lgpl ?v?\d?)\b"
+_AFFERO = r"(?:gnu )?(?:affero (?:general )?public licen[cs]e|agpl ?v?\d?)\b"
+_OF = r"(?:version|v) \d(?: \d)?(?: or later| only| or any later version)? of (?:the )?"
+_CC = r"(?:cc|creative commons) "
+_BY = r"(?:by|attribution)"
+
+
+def _gpl(number):
+    numbered = _NUMBER.format(number)
+    return (rf"{STATED}(?:{_GPL} ?(?:licen[cs]e )?{numbered}"
+            rf"|(?:version|v) ?{number}(?: 0)?(?: or later| only| or any later version)? of (?:the )?{_GPL}\b)")
+
+
+#: Identifier and pattern, sought anywhere in a normalised sentence, so that
+#: subject and tail are free. A sentence may say several.
+SAYINGS = {
+    "apache2": rf"{STATED}(?:apache|asl)(?: software)?(?: foundation)?(?: (?:public )?licen[cs]e)? ?"
+               rf"{_NUMBER.format(2)}|{STATED}(?:version|v) ?2(?: 0)? of (?:the )?apache licen[cs]e\b",
+    "apache2comply": r"\byou may not use (?:this|these|the) \w+ except in compliance with the licen[cs]e\b",
+    "apache2copy": r"\byou may obtain a copy of the licen[cs]e at\b",
+    "warranty_asis": r"\bunless required by applicable law or agreed to in writing (?:this )?software distributed"
+                     r" under the licen[cs]e is distributed on an as is basis\b",
+    "mit": rf"{STATED}(?:mit|expat)(?: x11| expat| open source)?(?: licen[cs]es?\b| or | and |$)",
+    "mitgrant": r"\bpermission is hereby granted free of charge to any person obtaining a copy of this"
+                r" software and associated documentation files\b",
+    "mitnotice": r"\bthe above copyright notice and this permission notice (?:including the next paragraph )?"
+                 r"shall be included in all copies or substantial portions of the software\b",
+    "mitwarranty": r"\bthe software is provided as is without warranty of any kind\b",
+    "bsdgrant": r"\bredistribution and use in source and binary forms with or without modification are"
+                r" permitted provided that the following conditions are met\b",
+    "bsdsource": r"\bredistributions of source code must retain the above copyright notice\b",
+    "bsdbinary": r"\bredistributions in binary form must reproduce the above copyright notice\b",
+    "bsdendorse": r"\b(?:neither )?the names? of .* may (?:not )?be used to endorse or promote products derived"
+                  r" from this software without specific prior written permission\b",
+    "bsdwarranty": r"\bthis software is provided by .* as is and any express or implied warranties\b",
+    "bsd": rf"{STATED}(?:(?:new|modified|revised|simplified|original|\d clause) )*bsd(?: \d clause)?"
+           r"(?: licen[cs]es?\b| or | and |$)",
+    "gpl3": _gpl(3),
+    "gpl2": _gpl(2),
+    "gplfree": r"\bis free software you can redistribute it and or modify it under the terms of"
+               rf" (?:version \d of )?the gnu general public licen[cs]e\b"
+               rf"|{STATED}{_GPL}(?! ?(?:licen[cs]e )?(?:(?:version|ver|v) ?)?\d)\b",
+    "gplhope": r"\bis distributed in the hope that it will be useful but without any warranty\b",
+    "lgpl": rf"{STATED}(?:{_OF})?{_LESSER}",
+    "agpl": rf"{STATED}(?:{_OF})?{_AFFERO}",
+    "mpl2": rf"(?:{STATED}|\bsubject to the terms of (?:the )?)(?:mozilla public licen[cs]e(?: mpl)?|mpl) ?"
+            rf"{_NUMBER.format(2)}",
+    "ccbync4": rf"{STATED}{_CC}{_BY} (?:nc|non ?commercial) 4 0\b",
+    "ccbysa4": rf"{STATED}{_CC}{_BY} (?:sa|share ?alike) 4 0\b",
+    "ccby4": rf"{STATED}{_CC}{_BY} 4 0\b",
+    "cc0": rf"\b(?:dedicated to the public domain|cc0 1 0 universal)\b.*licen[cs]e|{STATED}(?:creative commons )?cc0\b",
+    "reserved": r"\ball rights reserved\b",
+    "spdxapache2": r"\bspdx license identifier (?:\S+ ){0,8}?apache 2 0\b",
+    "spdxmit": r"\bspdx license identifier (?:\S+ (?:or|and) |[a-z0-9 ]{1,40} (?:or|and) )?mit\b",
+    "spdxgpl3": r"\bspdx license identifier (?:[a-z0-9 ]{1,40} (?:or|and) )?gpl 3 0\b",
+    "spdxgpl2": r"\bspdx license identifier (?:[a-z0-9 ]{1,40} (?:or|and) )?gpl 2 0\b",
+}
+
 #: Licence and the sentences that say it, in order; longer rules come first.
 RULES = [
     ("MIT", ["mitgrant", "mitnotice", "mitwarranty"]),
@@ -71,6 +144,10 @@ RULES = [
 #: A text without any of these says none of the sentences.
 TELLING = r"(?i)licen[cs]e|permission|warrant|redistribut|all rights reserved"
 BREAK = r"[.!?;]+\s+|[\r\n]+"
+#: ``TELLING`` for sayings, over blanks of any kind and the short names.
+SPEAKING = (r"(?i)licen[cs]e|permission|warrant|redistribut|all[^A-Za-z0-9]+rights[^A-Za-z0-9]+reserved"
+            r"|\b(?:a|l)?gpl|under\W+(?:the\W+)?mit\b|\bbsd\b|\bapache\b|\bmpl\b|\bcc0|\bcc[^A-Za-z0-9]+by\b"
+            r"|creative[^A-Za-z0-9]+commons|public[^A-Za-z0-9]+domain")
 
 
 def sequence_pattern(ids):
@@ -79,13 +156,11 @@ def sequence_pattern(ids):
     return " " + f"{gap} ".join(ids) + r"\b"
 
 
-def sentence_id(sentence):
-    """The identifier of a normalised sentence, ``-`` for an unknown one, as a column."""
-    found = None
-    for name, pattern in SENTENCES.items():
-        said = sentence.rlike(f"^(?:{pattern})$")
-        found = F.when(said, F.lit(name)) if found is None else found.when(said, F.lit(name))
-    return found.otherwise(F.lit("-"))
+def said(sentence):
+    """The identifiers of all that a normalised sentence says, ``-`` for nothing, as a column."""
+    found = F.concat_ws(" ", *[
+        F.when(sentence.rlike(pattern), F.lit(name)) for name, pattern in SAYINGS.items()])
+    return F.when(found == "", "-").otherwise(found)
 
 
 def normalised(sentence):
@@ -98,8 +173,8 @@ def sentence_ids(text):
     """The identifiers of a text's sentences, in order, as ``" id id - id"``."""
     sentences = F.filter(
         F.transform(F.split(text, BREAK), normalised), lambda s: s != "")
-    ids = F.transform(sentences, lambda s: F.when(s.rlike(TELLING), sentence_id(s)).otherwise("-"))
-    return F.when(text.rlike(TELLING), F.concat(F.lit(" "), F.array_join(ids, " "))).otherwise("")
+    ids = F.transform(sentences, lambda s: F.when(s.rlike(SPEAKING), said(s)).otherwise("-"))
+    return F.when(text.rlike(SPEAKING), F.concat(F.lit(" "), F.array_join(ids, " "))).otherwise("")
 
 
 def licences(docs):

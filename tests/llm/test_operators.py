@@ -411,3 +411,36 @@ def test_a_stray_source_hardly_changes_the_mix(spark):
     assert stray["rate"] > 1 and stray["copies"] in (int(stray["rate"]), int(stray["rate"]) + 1)
     few = mixing.mix(spark.createDataFrame(rows, schema), budget=6060).collect()
     assert abs(sum(r["rate"] * r["tokens"] for r in few) - 6060) < 10
+
+
+def licences_of(spark, texts):
+    rows = licenses.licences(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    return [r["licences"] for r in rows.orderBy("doc_id").collect()]
+
+
+def test_licences_of_ordinary_notices(spark):
+    notices = {
+        "This project is licensed under the MIT License.": "MIT",
+        "This software is released under the MIT license.": "MIT",
+        "The code is distributed under the terms of the MIT licence (see LICENSE).": "MIT",
+        "This program is licensed under the GNU General Public License version 3.": "GPL-3.0",
+        "This work is licensed under the GNU General Public License, version 3 or later.": "GPL-3.0",
+        "Released under the GPLv2.": "GPL-2.0",
+        "Our tool is available under version 2 of the GNU General Public License only.": "GPL-2.0",
+        "This file is licensed under the Apache License, Version 2.0 (the License).": "Apache-2.0",
+        "The library is provided under the Apache-2.0 license.": "Apache-2.0",
+        "The package is licensed under the 3-Clause BSD License, see the file COPYING.": "BSD",
+        "It is licensed under the GNU Lesser General Public License v2.1 or later.": "LGPL",
+        "Distributed under the terms of the GNU Affero General Public License, version 3.": "AGPL",
+        "These pictures are licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.":
+            "CC-BY-SA-4.0",
+        "Licensed under either the Apache License, Version 2.0 or the MIT license at your option.": "Apache-2.0,MIT",
+        "This project is not licensed under the MIT License.": "",
+        "A licence is a permission, and MIT is a school.": "",
+        "Licensed under the GNU General Public License version 2.1.": "",
+    }
+    assert dict(zip(notices, licences_of(spark, notices), strict=True)) == notices
+
+
+def test_sql_of_licences_is_as_registered():
+    assert hashlib.sha256(licenses.licences_sql().encode()).hexdigest() == "1c1aca3e77f953e6452102d5670cc3605265c1352d92c3d487bf0c2759624ef6"
