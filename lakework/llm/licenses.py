@@ -7,7 +7,8 @@ against ordered licence rules; a rule's sentences may have ``GAP`` other ones in
 
 ``SENTENCES``, ``BREAK`` and ``TELLING`` belong to the registered SQL, which says the same
 of texts whose statements are whole lines in the wording of ``SENTENCES``. The operator
-itself reads ``SAYINGS``: any subject and tail, and the usual wordings of each licence.
+itself reads ``SAYINGS`` (any subject and tail, and the usual wordings of each licence) in
+sentences that may run over several lines.
 """
 
 from pyspark.sql import functions as F
@@ -144,6 +145,12 @@ RULES = [
 #: A text without any of these says none of the sentences.
 TELLING = r"(?i)licen[cs]e|permission|warrant|redistribut|all rights reserved"
 BREAK = r"[.!?;]+\s+|[\r\n]+"
+#: What stands before the text of a line in comments and quotes.
+LEADER = r"(?m)^[ \t]*(?:(?:[*#/%;>|]+|--+|<!--+|dnl|REM)(?=\s|$))?[ \t]*"
+#: Ends of sentences and paragraphs, and list bullets; other line breaks are blanks. No end is
+#: the mark of "v. 2.0".
+PARTING = (r"(?<!\b[vV])[.!?;]+\s+|(?:\r\n|\r(?!\n)|\n)[ \t]*[\r\n]\s*"
+           r"|(?:\r\n|[\r\n])(?=(?:[-\u2022]|\(?\d{1,2}[.)]|\(?[a-z]\))[ \t])")
 #: ``TELLING`` for sayings, over blanks of any kind and the short names.
 SPEAKING = (r"(?i)licen[cs]e|permission|warrant|redistribut|all[^A-Za-z0-9]+rights[^A-Za-z0-9]+reserved"
             r"|\b(?:a|l)?gpl|under\W+(?:the\W+)?mit\b|\bbsd\b|\bapache\b|\bmpl\b|\bcc0|\bcc[^A-Za-z0-9]+by\b"
@@ -170,9 +177,12 @@ def normalised(sentence):
 
 
 def sentence_ids(text):
-    """The identifiers of a text's sentences, in order, as ``" id id - id"``."""
-    sentences = F.filter(
-        F.transform(F.split(text, BREAK), normalised), lambda s: s != "")
+    """The identifiers of a text's sentences, in order, as ``" id id - id"``.
+
+    Sentences run over line breaks and through comment leaders.
+    """
+    sentences = F.filter(F.transform(
+        F.split(F.regexp_replace(text, LEADER, ""), PARTING), normalised), lambda s: s != "")
     ids = F.transform(sentences, lambda s: F.when(s.rlike(SPEAKING), said(s)).otherwise("-"))
     return F.when(text.rlike(SPEAKING), F.concat(F.lit(" "), F.array_join(ids, " "))).otherwise("")
 
@@ -183,7 +193,8 @@ def licences(docs):
 
     Null and empty texts, and texts without known sentences, state none: an empty text and
     zeros. Repeated rows give repeated rows, extra columns are ignored, and an empty table
-    gives no rows. Where rules overlap, the one listed first takes the sentences.
+    gives no rows. Where rules overlap, the one listed first takes the sentences. Wrapped
+    and commented notices are read like those in one line.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select("doc_id", sentence_ids(text).alias("ids"))

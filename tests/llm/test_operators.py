@@ -444,3 +444,72 @@ def test_licences_of_ordinary_notices(spark):
 
 def test_sql_of_licences_is_as_registered():
     assert hashlib.sha256(licenses.licences_sql().encode()).hexdigest() == "1c1aca3e77f953e6452102d5670cc3605265c1352d92c3d487bf0c2759624ef6"
+
+
+MIT = """MIT License
+
+Copyright (c) 2020 Some One
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT."""
+BSD2 = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE
+IMPLIED WARRANTIES OF MERCHANTABILITY ARE DISCLAIMED."""
+BSD3 = BSD2.replace("THIS SOFTWARE", """3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+
+THIS SOFTWARE""")
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied."""
+GPL = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE."""
+MPL = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this file,
+You can obtain one."""
+
+
+def test_licences_of_wrapped_notices(spark):
+    notices = {"MIT": MIT, "BSD-2-Clause": BSD2, "BSD-3-Clause": BSD3, "Apache-2.0": APACHE, "GPL": GPL,
+               "MPL-2.0": MPL, "All-Rights-Reserved": "Some words.  All  Rights\nReserved"}
+    for leader in ("", " * ", "# ", "// ", "    "):
+        for end in ("\n", "\r\n"):
+            texts = [end.join((leader + line).rstrip() for line in n.split("\n")) for n in notices.values()]
+            assert licences_of(spark, texts) == list(notices)
+    found = licenses.licences(spark.createDataFrame([(1, MIT), (2, BSD3)], "doc_id long, text string"))
+    assert sorted(tuple(r)[1:3] for r in found.collect()) == [("BSD-3-Clause", 1), ("MIT", 1)]
+    assert licences_of(spark, ["// SPDX-License-Identifier: MIT\n// Copyright 2020 Some One"]) == ["MIT"]
