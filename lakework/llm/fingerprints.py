@@ -7,26 +7,19 @@ value, with the level its weight reached, is the sample. Two documents draw the
 sample with the probability of their generalised Jaccard similarity, the sum of smaller
 weights over the sum of larger ones.
 
-Words are dealt into ``BINS`` by hash and each bin takes one sample among its own words,
-so every word is drawn once and not once per sample. Bins that are empty in both
-documents say nothing and are left out of the likeness.
+Every distinct word is drawn for every one of the ``SAMPLES``, so a text with any words
+has all samples, and the share of equal ones is that similarity in expectation.
 """
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-BINS = 64
+SAMPLES = 64
 #: Blocks of neighbouring documents per shuffle partition.
 BLOCKS = 4
 
 _SIGN = 1 << 16
 _SCALE = 1 << 28
-_BIN = 1 << 52
-
-
-def _bound(value, body):
-    """``body(x)`` with ``x`` evaluated once."""
-    return F.transform(F.array(value), body)[0]
 
 
 def _halves(hashed):
@@ -38,53 +31,59 @@ def _halves(hashed):
 
 def _gamma(hashed):
     """A Gamma(2, 1) variate: the sum of two exponential ones."""
-    return _bound(hashed, lambda h: -F.log(_halves(h)[0] * _halves(h)[1]))
-
-
-def _drawn(word, weight):
-    """A number that holds bin, sampled value (to compare) and sample, in that order."""
-    def with_shape(r):
-        beta = _halves(F.xxhash64(word, F.lit(3)))[0]
-        return _bound(F.struct(r.alias("r"), beta.alias("beta")), with_level)
-
-    def with_level(s):
-        level = F.floor(F.log(weight.cast("double")) / s["r"] + s["beta"])
-        return _bound(F.struct(s["r"].alias("r"), s["beta"].alias("beta"), level.alias("t")), packed)
+    first, second = _halves(hashed)
+    return -F.log(first * second)
 
-    def packed(s):
-        value = F.log(_gamma(F.xxhash64(word, F.lit(2)))) - s["r"] * (s["t"] - s["beta"] + 1)
-        held = F.floor((F.greatest(F.least(value, F.lit(127.0)), F.lit(-128.0)) + 128) * _SCALE)
-        return (F.pmod(word, F.lit(BINS)) * _BIN + held * _SIGN
-                + F.pmod(F.xxhash64(word, s["t"], F.lit(4)), F.lit(_SIGN)))
 
-    return _bound(_gamma(F.xxhash64(word, F.lit(1))), with_shape)
+def _drawn(word, log_weight, sample):
+    """A number that holds the sampled value (to compare) and 16 bits of what was sampled.
 
-
-def fingerprint(text):
-    """The samples of a text, one per bin that has words: ``bin * 65536 + sample``.
-
-    Words are runs without white space, in lower case. Null, empty and blank texts have
-    no samples.
+    ``word`` is a 64-bit hash; the number is null where ``log_weight`` is.
     """
+    shape, value, start = [F.xxhash64(word, F.lit(3 * sample + i)) for i in range(3)]
+    r, beta = _gamma(shape), _halves(start)[0]
+    level = F.floor(log_weight / r + beta)
+    sampled = F.log(_gamma(value)) - r * (level - beta + 1)
+    # Between -90 and 4 for weights of at least one and below 2 ** 32.
+    held = F.floor((sampled + 128) * _SCALE)
+    sign = F.xxhash64(value, level)
+    return held * _SIGN + sign.bitwiseAND(_SIGN - 1)
+
+
+def _words(text):
+    """Hashes of the words of a text: runs without white space, in lower case."""
     words = F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), r"\s+"), "")
-    hashes = F.sort_array(F.transform(words, lambda w: F.xxhash64(w)))
+    return F.transform(words, lambda w: F.xxhash64(w))
 
-    def runs(s):
-        places = F.when(F.size(s) > 0, F.sequence(F.lit(0), F.size(s) - 1)).otherwise(
-            F.array().cast("array<int>"))
-        return F.filter(places, lambda i: (i == 0) | (F.get(s, i) != F.get(s, i - 1)))
 
-    def drawn(s):
-        return _bound(runs(s), lambda first: F.transform(first, lambda p, i: _drawn(
-            F.get(s, p), F.coalesce(F.get(first, i + 1), F.size(s)) - p)))
+def fingerprints_of(rows, key, texts):
+    """``rows`` with the samples of every text column in ``texts`` (a name to a column).
 
-    def smallest(d):
-        of_bin = lambda x: F.shiftright(x, 52)
-        kept = F.filter(d, lambda x, i: (i == 0) | (of_bin(x) != of_bin(F.get(d, i - 1))))
-        return F.transform(kept, lambda x: (
-            of_bin(x) * _SIGN + x.bitwiseAND(_SIGN - 1)).cast("int"))
-
-    return _bound(F.sort_array(_bound(hashes, drawn)), smallest)
+    ``key`` are columns of ``rows``, the first of which deals the rows over tasks, that tell
+    rows apart; they are all that stays. The samples of a text are ``sample * 65536 + 16
+    bits``; null, empty and blank texts have none. Equal words are folded first, then a word
+    is drawn once for all texts of its row, and the smallest draw of each sample is kept.
+    """
+    names = list(texts)
+
+    def marked(hashes, i):
+        return F.transform(hashes, lambda w: F.struct(w.alias("word"), F.lit(i).alias("of")))
+
+    found = F.concat(*[marked(_words(column), i) for i, column in enumerate(texts.values())])
+    words = rows.select(*key, F.explode_outer(found).alias("_w")).select(
+        *key, F.col("_w.word").alias("_word"), F.col("_w.of").alias("_of"))
+    folded = words.groupBy(*key, "_word").agg(*[
+        F.log(F.sum(F.when(F.col("_of") == i, 1)).cast("double")).alias(f"_log{i}")
+        for i in range(len(names))])
+    least = [
+        F.min(_drawn(F.col("_word"), F.col(f"_log{i}"), k)).alias(f"_{i}_{k}")
+        for i in range(len(names)) for k in range(SAMPLES)]
+    kept = folded.groupBy(*key).agg(*least)
+    return kept.select(*key, *[
+        F.when(F.col(f"_{i}_0").isNull(), F.array().cast("array<int>")).otherwise(F.array(*[
+            (F.col(f"_{i}_{k}").bitwiseAND(_SIGN - 1) + k * _SIGN).cast("int")
+            for k in range(SAMPLES)])).alias(name)
+        for i, name in enumerate(names)])
 
 
 def as_text(samples):
@@ -93,11 +92,10 @@ def as_text(samples):
 
 
 def likeness(a, b):
-    """Share of equal samples among the bins that either document fills; 1 if none is."""
-    bins = lambda x: F.transform(x, lambda s: F.shiftright(s, 16))
-    filled = F.size(F.array_union(bins(a), bins(b)))
-    return F.when(filled == 0, F.lit(1.0)).otherwise(
-        F.size(F.array_intersect(a, b)).cast("double") / filled)
+    """Share of equal samples; 1 for two texts without any, 0 if one has none."""
+    most = F.greatest(F.size(a), F.size(b))
+    return F.when(most == 0, F.lit(1.0)).otherwise(
+        F.size(F.array_intersect(a, b)).cast("double") / most)
 
 
 def with_next(docs, blocks=None):
@@ -153,11 +151,13 @@ def fingerprints(docs):
     edited = F.concat(
         F.substr("text", F.lit(1), n - cut),
         F.coalesce(F.substr(F.lead("text").over(ordered), F.lit(1), cut), F.lit("")))
-    drawn = rows.withColumn("edited", edited).select(
-        "doc_id", "block", "tie", "guest", n.cast("long").alias("n_chars"),
-        F.sha2("edited", 256).alias("edited_sha256"),
-        fingerprint(F.col("text")).alias("samples"),
-        F.when(~F.col("guest"), fingerprint(F.col("edited"))).alias("edited_samples"))
+    rows = rows.withColumns({"edited": edited, "place": F.row_number().over(ordered)}).select(
+        "block", "place", "doc_id", "tie", "guest", "text",
+        n.cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
+        F.when(~F.col("guest"), F.col("edited")).alias("edited"))
+    key = ["block", "place", "doc_id", "tie", "guest", "n_chars", "edited_sha256"]
+    drawn = fingerprints_of(
+        rows, key, {"samples": F.col("text"), "edited_samples": F.col("edited")})
     return drawn.withColumn("next_samples", F.lead("samples").over(ordered)).where("not guest").select(
         "doc_id", "n_chars", "edited_sha256", as_text(F.col("samples")).alias("fingerprint"),
         as_text(F.col("edited_samples")).alias("edited_fingerprint"),

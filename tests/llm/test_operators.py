@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -513,3 +514,31 @@ def test_licences_of_wrapped_notices(spark):
     found = licenses.licences(spark.createDataFrame([(1, MIT), (2, BSD3)], "doc_id long, text string"))
     assert sorted(tuple(r)[1:3] for r in found.collect()) == [("BSD-3-Clause", 1), ("MIT", 1)]
     assert licences_of(spark, ["// SPDX-License-Identifier: MIT\n// Copyright 2020 Some One"]) == ["MIT"]
+
+
+def test_fingerprints_are_generalised_jaccard(spark):
+    random = np.random.default_rng(5)
+    skewed = lambda k: " ".join(["the"] * 200 + [f"{k}w{i}" for i in range(100)])
+    texts = [skewed(k) for k in range(30)]
+    for k in range(400):
+        base = [f"k{k}y{x}" for x in random.integers(0, 6, 9)]
+        texts += [" ".join(base), " ".join(base[:6] + [f"k{k}z{x}" for x in random.integers(0, 3, 3)])]
+    # The next document is the one before in this list.
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r["doc_id"]: r for r in fingerprints.fingerprints(docs).collect()}
+
+    def jaccard(a, b):
+        a, b = Counter(a.split()), Counter(b.split())
+        return sum((a & b).values()) / sum((a | b).values())
+
+    def off(ids, name, other):
+        return np.array([rows[i][name] - jaccard(texts[i], other(i)) for i in ids])
+
+    edit = lambda i: texts[i][:len(texts[i]) - len(texts[i]) // 3] + texts[i - 1][:len(texts[i]) // 3]
+    before = lambda i: texts[i - 1]
+    pairs = range(31, len(texts), 2)
+    for found in (off(range(1, 30), "near_next", before), off(range(1, 30), "near_edited", edit),
+                  off(pairs, "near_next", before), off(pairs, "near_edited", edit)):
+        assert abs(found.mean()) < 4 * 0.5 / np.sqrt(64 * len(found)) + 1e-3, found.mean()
+        assert np.abs(found).max() < 5 * 0.5 / np.sqrt(64)
+    assert {len(r["fingerprint"]) for r in rows.values()} == {6 * fingerprints.SAMPLES}
