@@ -8,6 +8,7 @@ not raise the score. The penalty is quadratic in the weights and part of each Ne
 """
 
 import re
+from collections import Counter
 
 import numpy as np
 import pandas as pd
@@ -25,6 +26,10 @@ MIN_SPREADS = 5.0
 RIDGE = 0.5
 #: Weight of the counterfactual penalty, per swapped sentence.
 SWAP_PENALTY = 1.0
+#: The score of a text without telling words is at most this, and so is the share of toxic
+#: rows that the model is fitted to. Labelled rows are often picked for being toxic: where
+#: more are, the others weigh the more.
+PRIOR = 0.2
 PREFIXES = (4, 5, 6)
 HELD_OUT_FOLDS = 5
 
@@ -70,54 +75,71 @@ def text_features(text):
 
 
 def swapped(text):
-    """For each sentence that names a group: features before, and after each swap of a name."""
-    pairs = []
+    """For each sentence that names a group and each swap of a name: features lost, features won.
+
+    Only the words at the place and its neighbours decide what a swap changes, besides
+    features that the sentence has from elsewhere; those are counted, not built anew.
+    """
+    changes = []
     lowered = text.lower()
     if NAMES.keys().isdisjoint(_WORD.findall(lowered)):
-        return pairs
+        return changes
     for sentence in _SENTENCE.split(lowered):
         words = _WORD.findall(sentence)
-        for place, word in enumerate(words):
-            for other in NAMES.get(word, ()):
-                if other != word:
-                    changed = [*words[:place], other, *words[place + 1:]]
-                    pairs.append((text_features(sentence), text_features(" ".join(changed))))
-    return pairs
+        named = [i for i, word in enumerate(words) if word in NAMES]
+        if not named:
+            continue
+        held = Counter(f for i in range(len(words)) for f in _at(words, i))
+        for i in named:
+            around = range(max(0, i - 1), i + 1)
+            own = Counter(f for j in around for f in _at(words, j))
+            for other in NAMES[words[i]]:
+                if other != words[i]:
+                    changed = [*words[max(0, i - 1):i], other, *words[i + 1:i + 2]]
+                    new = {f for j in range(len(around)) for f in _at(changed, j)}
+                    lost = {f for f, n in own.items() if held[f] == n and f not in new}
+                    changes.append((lost, {f for f in new if f not in held}))
+    return changes
+
+
+def _at(words, i):
+    """The features that a word has, and those of it and the next one."""
+    return [*word_features(words[i]), *_beside(words[i:i + 2])]
 
 
 def fit(rows, labels, swaps, size, ridge=RIDGE, swap_penalty=SWAP_PENALTY, steps=25):
     """Weights of ``size`` features and an intercept, last, by Newton steps.
 
-    ``rows``: feature numbers of each document; ``swaps``: pairs of feature numbers whose
-    scores should agree.
+    ``rows``: feature numbers of each document; ``swaps``: feature numbers that swaps lose
+    and win, and how many swaps do so (one unless given); scores before and after should agree.
     """
     x = np.zeros((len(rows), size + 1), dtype=np.float32)
     x[:, size] = 1
     for i, found in enumerate(rows):
         x[i, found] = 1
     y = np.asarray(labels, dtype=np.float64)
+    share = min((y.sum() + 1) / (len(y) + 2), PRIOR)
+    clean = max(1.0, y.sum() * (1 - PRIOR) / PRIOR / max(1.0, len(y) - y.sum()))
+    weight = np.where(y > 0, 1.0, clean)
     held = np.full(size + 1, ridge)
     held[size] = 1e-6
     penalty = np.diag(held)
-    for before, after in swaps:
-        change = np.zeros(size + 1)
-        change[before] += 1
-        change[after] -= 1
-        at = np.flatnonzero(change)
-        penalty[np.ix_(at, at)] += swap_penalty * np.outer(change[at], change[at])
+    for lost, won, *times in swaps:
+        at = np.array([*lost, *won], dtype=np.int64)
+        change = np.repeat((1.0, -1.0), (len(lost), len(won)))
+        penalty[np.ix_(at, at)] += swap_penalty * sum(times or [1]) * np.outer(change, change)
     w = np.zeros(size + 1)
-    share = (y.sum() + 1) / (len(y) + 2)
     w[size] = np.log(share / (1 - share))
 
     def loss(w):
         z = x @ w
-        return np.logaddexp(0, z).sum() - y @ z + w @ penalty @ w / 2
+        return weight @ np.logaddexp(0, z) - y @ z + w @ penalty @ w / 2
 
     now = loss(w)
     for _ in range(steps):
         p = 1 / (1 + np.exp(-(x @ w).clip(-30, 30)))
-        slope = x.T @ (p - y) + penalty @ w
-        bend = (x * (p * (1 - p))[:, None].astype(np.float32)).T @ x + penalty
+        slope = x.T @ (weight * (p - y)) + penalty @ w
+        bend = (x * (weight * p * (1 - p))[:, None].astype(np.float32)).T @ x + penalty
         step = np.linalg.solve(bend.astype(np.float64) + 1e-6 * np.eye(size + 1), slope)
         pace = 1.0
         while pace > 1e-3 and loss(w - pace * step) > now:
@@ -134,7 +156,8 @@ def train(docs, labels, max_training=MAX_TRAINING):
 
     Only labelled rows outside the held-out fold teach; of those, at most ``max_training``
     ids with the smallest hashes. An id with several labels counts as toxic if one is; null
-    labels and ids are left out. Without labels of both kinds the model scores all alike.
+    labels and ids are left out. Without labels of both kinds the model scores all alike,
+    and like a text without telling words: ``PRIOR`` at most, whatever the labels' share.
     """
     share_code(docs.sparkSession)
     chosen = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).where(
@@ -146,7 +169,7 @@ def train(docs, labels, max_training=MAX_TRAINING):
                  .join(F.broadcast(chosen), F.col("doc_id") == F.col("id")).select("text", "toxic"),
                  "labelled")
     n, toxic = sample.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0))).first()
-    share = (toxic + 1) / (n + 2)
+    share = min((toxic + 1) / (n + 2), PRIOR)
     blank = {"weights": {}, "intercept": float(np.log(share / (1 - share)))}
     if not 0 < toxic < n:
         return blank
@@ -168,17 +191,24 @@ def train(docs, labels, max_training=MAX_TRAINING):
         return blank
     numbers = lambda found: sorted(number[f] for f in found if f in number)
 
-    @F.pandas_udf("struct<own:array<int>,swaps:array<struct<a:array<int>,b:array<int>>>>")
-    def coded(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame({
-            "own": texts.map(lambda t: numbers(text_features(t))),
-            "swaps": texts.map(lambda t: [
-                {"a": numbers(a), "b": numbers(b)} for a, b in swapped(t)])})
-
-    rows = sample.select("toxic", coded("text").alias("c")).select("toxic", "c.*").collect()
-    swaps = [(s["a"], s["b"]) for r in rows for s in r["swaps"] if s["a"] != s["b"]]
-    w = fit([r["own"] for r in rows], [r["toxic"] for r in rows], swaps, len(number))
-    return {"weights": {f: float(w[i]) for f, i in number.items()}, "intercept": float(w[-1])}
+    @F.pandas_udf("array<int>")
+    def coded(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: numbers(text_features(t)))
+
+    @F.pandas_udf("array<struct<lost:array<int>,won:array<int>>>")
+    def changes(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: [
+            {"lost": lost, "won": won} for lost, won in (map(numbers, c) for c in swapped(t))
+            if lost or won])
+
+    rows = sample.select("toxic", coded("text").alias("own")).collect()
+    # Equal changes are counted; how many there are depends on the features, not on the texts.
+    swaps = sample.select(F.explode(changes("text")).alias("c")).groupBy("c.lost", "c.won").agg(
+        F.count(F.lit(1)).alias("n")).orderBy("lost", "won").collect()
+    w = fit([r["own"] for r in rows], [r["toxic"] for r in rows],
+            [(s["lost"], s["won"], s["n"]) for s in swaps], len(number))
+    most = float(np.log(PRIOR / (1 - PRIOR)))
+    return {"weights": {f: float(w[i]) for f, i in number.items()}, "intercept": min(float(w[-1]), most)}
 
 
 def scorer(model):
