@@ -3,8 +3,8 @@
 import public_tokenizers
 
 from lakework.llm import (
-    fingerprints, licenses, mixing, ngram_join, packing, pii, shards, token_files, toxicity,
-    vector_dedup,
+    alignment, fingerprints, licenses, mixing, ngram_join, packing, pii, repetition, shards,
+    token_files, toxicity, vector_dedup,
 )
 from lakework.scratch import scratch_path
 from lakework.sources.tables import read_table
@@ -133,3 +133,15 @@ def op6_personal_data(spark, folder):
 def op2_toxicity(spark, folder):
     documents = read_table(spark, folder, "documents")
     return toxicity.scored(documents, toxicity.train(documents, read_table(spark, folder, "labels")))
+
+
+@query(repetition.quality_sql())
+def op11_repetition(spark, folder):
+    return repetition.quality(read_table(spark, folder, "documents"))
+
+
+@query()
+def op13_alignment(spark, folder):
+    return alignment.alignment(
+        read_table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("piece_bpe_32k.model"))

@@ -1,0 +1,114 @@
+"""The alignment of two vocabularies against a plain version on whole texts."""
+
+import hashlib
+import itertools
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pytest
+import sentencepiece
+from tokenizers import Tokenizer
+
+from lakework.llm import alignment
+from lakework.llm.catalogue import QUERIES
+
+A, B = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+SCHEMA = "doc_id long, text string, lang string, row long, pairs string"
+TEXTS = [
+    "Plain text, with words.\nMore of them!  Two blanks\n\n and lines ", None, "", " ", "\n", "  x", "x\ty\r\nz",
+    "no break   spaces　here", "▁ is not a blank", "<|endoftext|> and <s> or <unk> stand here",
+    "日本語のテキスト 😀😀😀 é ü ß", "it's we'll don't I'm", "a" * 300 + " " + "9" * 200, "\x00\x1c odd \x85 bytes",
+    "the the the cat sat on the mat " * 40, "123 4567 3.14159 $%&", "é combining", "x" * 70 + " y " + "x" * 70,
+]
+
+
+def plain(texts):
+    """Rows by the contract: whole texts, all pairs of occurrences, counted in dictionaries."""
+    a = Tokenizer.from_file(A)
+    a.encode_special_tokens = True
+    letters = alignment.byte_letters()
+    bytes_a = {i: bytes(letters[c] for c in t) for t, i in a.get_vocab().items()}
+    b = sentencepiece.SentencePieceProcessor(model_file=B)
+
+    def bytes_b(i):
+        p = b.id_to_piece(i)
+        return bytes([int(p[3:5], 16)]) if b.is_byte(i) else p.replace("▁", " ").encode()
+
+    rows, held = [], Counter()
+    for text in texts:
+        links, groups, ids_a, ids_b = [], [], [], []
+        if text:
+            ids_a, ids_b = a.encode(" " + text, add_special_tokens=False).ids, b.encode(text)
+            parts_a, parts_b = [bytes_a[i] for i in ids_a], [bytes_b(i) for i in ids_b]
+            whole = (" " + text).encode()
+            if b"".join(parts_a) == whole == b"".join(parts_b):
+                ends_a = list(itertools.accumulate(map(len, parts_a)))
+                ends_b = list(itertools.accumulate(map(len, parts_b)))
+                start = 0
+                for end in sorted(set(ends_a) & set(ends_b)):
+                    left = [i for i, e in zip(ids_a, ends_a) if start < e <= end]
+                    right = [i for i, e in zip(ids_b, ends_b) if start < e <= end]
+                    groups.append(",".join(map(str, left)) + "|" + ",".join(map(str, right)))
+                    links += itertools.product(left, right)
+                    start = end
+            else:
+                ids_a, ids_b = [], []
+        held.update(set(links))
+        rows.append((len(ids_a), len(ids_b), groups, links))
+    best = {}
+    for (i, _), n in held.items():
+        best[i] = max(best.get(i, 0), n)
+    return [(n_a, n_b, len(groups), len(links), sum(held[p] == best[p[0]] for p in links),
+             sum(held[p] for p in links),
+             hashlib.sha256(";".join(groups).encode()).hexdigest() if groups else "")
+            for n_a, n_b, groups, links in rows]
+
+
+def found(df):
+    return sorted(tuple(r) for r in df.collect())
+
+
+def test_against_whole_texts(spark):
+    texts = TEXTS + TEXTS[:3]
+    rows = [(i if i else None, t, None, 7, "x") for i, t in enumerate(texts)]
+    got = alignment.alignment(spark.createDataFrame(rows, SCHEMA).repartition(3), A, B)
+    assert got.columns == ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
+    want = [(r[0], *p) for r, p in zip(rows, plain(texts), strict=True)]
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr)
+
+
+def test_given_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = docs.select("doc_id", "text").collect()
+    want = [(r[0], *p) for r, p in zip(rows, plain([r[1] for r in rows]), strict=True)]
+    assert found(QUERIES["op13_alignment"](spark, "/root/testdata/sf0.001")) == sorted(want)
+
+
+@pytest.mark.parametrize("kept", [0, 5])
+def test_tables_of_segments_stay_bounded(monkeypatch, kept):
+    """What does not fit is forgotten after each chunk; results are the same."""
+    monkeypatch.setattr(alignment, "KEPT", kept)
+    words = alignment.Aligner(A, B)
+    whole = alignment.Aligner(A, B)
+    whole.cuttable = False
+    for text in [t.encode() if t else t for t in TEXTS]:
+        one, other = (np.zeros(len(words.same), np.int64) for _ in range(2))
+        cut = alignment._measured(words, [text], one)
+        assert [c.to_pylist() for c in cut] == [
+            c.to_pylist() for c in alignment._measured(whole, [text], other)]
+        assert (one == other).all()
+        assert len(words.known) == len(words.texts) <= kept
+
+
+def test_regular_pairs_stay_out_of_the_pair_shuffle(spark):
+    docs = spark.createDataFrame([(i, "the cat and the dog unbelievableness", None, 0, "") for i in range(40)], SCHEMA)
+    stored, pairs = alignment.aligned(docs, A, B)
+    words = alignment.aligner(A, B)
+    for pair in [r[0] for r in pairs.select("pair").collect()]:
+        assert words.same[pair // words.size_b] != pair % words.size_b
+    assert stored.where("row is null").count() >= 1
+
+
+def test_empty_table(spark):
+    assert alignment.alignment(spark.createDataFrame([], SCHEMA), A, B).collect() == []
