@@ -64,6 +64,7 @@ class Aligner:
         self.bytes_b = [
             bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
             for i, p in zip(ids, pieces, strict=True)]
+        self.sizes_a, self.sizes_b = list(map(len, self.bytes_a)), list(map(len, self.bytes_b))
         self.size_b = len(self.bytes_b)
         known = {}
         for i in sorted(ids, key=self.b.is_byte, reverse=True):  # a piece goes before a byte
@@ -89,8 +90,8 @@ class Aligner:
             some = plain[i:i + 5_000]
             text = b"\n".join(some).decode()
             ids = self.a.encode_batch_fast([text], add_special_tokens=False)[0].ids
-            a = _split(np.array(ids, dtype=np.int64), self.break_a)
-            b = _split(np.array(self.b.encode("a" + text, num_threads=1), dtype=np.int64)[1:], self.break_b)
+            a = _split(ids, self.break_a)
+            b = _split(self.b.encode("a" + text, num_threads=1)[1:], self.break_b)
             found.update(zip(some, zip(a, b, strict=True), strict=True))
         for s in segments:
             if s not in found:
@@ -117,27 +118,35 @@ class Aligner:
         if (b"".join(map(self.bytes_a.__getitem__, a)) != segment
                 or b"".join(map(self.bytes_b.__getitem__, b)) != segment):
             return 0, {}, None
+        sizes_a, sizes_b, size = self.sizes_a, self.sizes_b, self.size_b
         pairs, groups = {}, []
         i = j = end_a = end_b = first_a = first_b = 0
         while i < len(a) or j < len(b):
             if end_a <= end_b:
-                end_a += len(self.bytes_a[a[i]])
+                end_a += sizes_a[a[i]]
                 i += 1
             else:
-                end_b += len(self.bytes_b[b[j]])
+                end_b += sizes_b[b[j]]
                 j += 1
             if end_a == end_b:
-                left, right = a[first_a:i], b[first_b:j]
-                self._link(left, right, pairs)
-                groups.append(f"{','.join(map(str, left))}|{','.join(map(str, right))}")
+                if i - first_a == 1 == j - first_b:
+                    x, y = a[first_a], b[first_b]
+                    pairs[x * size + y] = pairs.get(x * size + y, 0) + 1
+                    groups.append(f"{x}|{y}")
+                else:
+                    left, right = a[first_a:i], b[first_b:j]
+                    self._link(left, right, pairs)
+                    groups.append(f"{','.join(map(str, left))}|{','.join(map(str, right))}")
                 first_a, first_b = i, j
         return len(groups), pairs, ";".join(groups).encode()
 
     def _link(self, left, right, pairs):
-        """Count each pair of occurrences; long groups by their distinct ids."""
-        if len(left) == len(right) == 1:
-            key = int(left[0]) * self.size_b + int(right[0])
-            pairs[key] = pairs.get(key, 0) + 1
+        """Count each pair of occurrences of a group; those of a long one by its distinct ids."""
+        if len(left) * len(right) <= 100:
+            for x in left:
+                for y in right:
+                    key = x * self.size_b + y
+                    pairs[key] = pairs.get(key, 0) + 1
             return
         left, right = (np.unique(x, return_counts=True) for x in (left, right))
         keys = (left[0].astype(np.int64)[:, None] * self.size_b + right[0]).ravel().tolist()
@@ -181,8 +190,8 @@ class Aligner:
 
 def _split(ids, mark):
     """Lists of ids between the marks."""
-    parts = np.split(ids, np.flatnonzero(ids == mark))
-    return [parts[0].tolist(), *(p[1:].tolist() for p in parts[1:])]
+    ends = [*np.flatnonzero(np.array(ids, dtype=np.int64) == mark).tolist(), len(ids)]
+    return [ids[i:j] for i, j in zip([0, *(end + 1 for end in ends)], ends, strict=False)]
 
 
 @functools.lru_cache(maxsize=2)
