@@ -3,8 +3,8 @@
 import public_tokenizers
 
 from lakework.llm import (
-    alignment, fingerprints, licenses, mixing, ngram_join, packing, pii, repetition, shards,
-    token_files, toxicity, vector_dedup,
+    alignment, collocations, fingerprints, licenses, mixing, ngram_join, packing, pii,
+    repetition, shards, token_files, toxicity, vector_dedup,
 )
 from lakework.scratch import scratch_path
 from lakework.sources.tables import read_table
@@ -145,3 +145,8 @@ def op13_alignment(spark, folder):
     return alignment.alignment(
         read_table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
         public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query(collocations.collocations_sql())
+def op12_collocations(spark, folder):
+    return collocations.collocations(read_table(spark, folder, "documents"))
