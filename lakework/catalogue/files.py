@@ -135,7 +135,7 @@ def json_multiline(spark, folder):
     return dictionary_sizes(documents, "entries").groupBy("pair").agg(F.sum("n").alias("n"))
 
 
-def _python_string(column):
+def python_string(column):
     """A string as Python writes it in a literal."""
     text = F.col(column)
     for plain, escaped in (("\\", "\\\\"), ("'", "\\'"), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")):
@@ -150,8 +150,8 @@ def _python_string(column):
 def literal_text_decode(spark, folder):
     literal = read_table(spark, folder, "documents").select(F.concat(
         F.lit("{'doc_id': "), F.col("doc_id").cast("string"),
-        F.lit(", 'text': "), _python_string("text"),
-        F.lit(", 'lang': "), _python_string("lang"),
+        F.lit(", 'text': "), python_string("text"),
+        F.lit(", 'lang': "), python_string("lang"),
         F.lit(", 'long': "), F.when(F.col("n_chars") > 500, "True").otherwise("False"),
         F.lit(", 'note': None}"),
     ).alias("value"))

@@ -146,7 +146,7 @@ def flight_lake(spark, folder):
     for rows in (gone, delays):
         write_csv(rows, raw, header=True, mode="overwrite")
         flights.raw_to_silver(spark, raw, silver)
-        flights.silver_to_gold(spark, silver, gold)
+        flights.publish_gold(spark, silver, gold)
     counts = flights.per_origin(spark, gold, by=("ORIGIN", "year"))
     return counts.withColumn("year", F.col("year").cast("bigint"))
 

@@ -76,7 +76,8 @@ def _newest(value, time):
     return F.max(F.when(value.isNotNull(), F.struct(time.alias("time"), value.alias("value"))))
 
 
-def _with_keys(df, keys):
+def with_keys(df, keys):
+    """Rows whose keys are all there."""
     return reduce(lambda d, k: d.where(F.col(quoted(k)).isNotNull()), keys, df)
 
 
@@ -101,7 +102,7 @@ def last_per_key(df, keys, order, columns=None, sort=True):
         return F.max(value) if name == order[0] else _newest(value, _time(order))["value"]
 
     aggregates = [newest(c).alias(c) for c in columns]
-    result = _with_keys(df, keys).groupBy(*keys).agg(*aggregates)
+    result = with_keys(df, keys).groupBy(*keys).agg(*aggregates)
     return result.orderBy(*keys) if sort else result
 
 
@@ -118,7 +119,7 @@ def merge_newest(frames, keys):
     Merging in steps gives what ``last_per_key`` gives over all rows at once, also
     when rows arrive late.
     """
-    rows = _with_keys(union_by_name(frames), keys)
+    rows = with_keys(union_by_name(frames), keys)
     columns = [c for c in rows.columns if c not in keys and c != "as_of"]
     newest = rows.groupBy(*keys).agg(*[
         _newest(F.col(quoted(c)), F.col("as_of").getField(c)).alias(c) for c in columns

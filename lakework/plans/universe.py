@@ -4,7 +4,9 @@ from pyspark.sql import functions as F
 
 from lakework.functions.budget import call_budget
 from lakework.operators.relational import funnel, members
-from lakework.sources.responses import PAIR_DETAIL, PAIRS, result_rows, with_data
+from lakework.sources.responses import (
+    PAIR_DETAIL, PAIRS, SUMMARY_URL, result_rows, with_data, with_url,
+)
 
 # The pairs of interest.
 WANTED_PAIRS = (
@@ -61,3 +63,16 @@ def budget_per_pair(pairs):
 def budget_total(pairs):
     """Calls of one round over all pairs and their cost."""
     return call_budget(pairs.agg(F.sum(F.size("exchanges")).cast("bigint").alias("calls")))
+
+
+def polling_calls(listings, details, symbol="btc", wanted=WANTED_PAIRS):
+    """The whole job, from listed pairs to the calls of a round: ``pair, exchange, url``, and
+    for the pair the number of calls, their cost and how often the budget allows them.
+
+    Only details of kept pairs are parsed: their envelopes, which name the pair, are joined with
+    the kept ones first. A pair that several responses detail has each exchange once.
+    """
+    kept = wanted_pairs(listings, symbol, wanted).select("symbol")
+    rows = exchange_rows(pair_exchanges(members(details, "pair", kept))).distinct()
+    budget = call_budget(rows.groupBy("pair").agg(F.count(F.lit(1)).alias("calls")))
+    return with_url(rows, SUMMARY_URL, ["exchange", "pair"]).join(budget, "pair")

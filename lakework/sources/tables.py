@@ -23,11 +23,15 @@ def read_partition(spark, path, **values):
 
 
 def read_keyed(spark, path, keys, **options):
-    """A partitioned Parquet folder whose columns ``keys``, taken from folder names, are text."""
-    found = spark.read.options(**options).parquet(path).schema
+    """A partitioned Parquet folder, or several, whose columns ``keys``, taken from folder names,
+    are text."""
+    paths = [path] if isinstance(path, str) else list(path)
+    found = spark.read.options(**options).parquet(*paths)
+    if not keys:
+        return found
     schema = StructType([
-        StructField(f.name, StringType()) if f.name in keys else f for f in found.fields])
-    return spark.read.options(**options).schema(schema).parquet(path)
+        StructField(f.name, StringType()) if f.name in keys else f for f in found.schema.fields])
+    return spark.read.options(**options).schema(schema).parquet(*paths)
 
 
 def read_if_present(spark, path, schema=None, **options):
