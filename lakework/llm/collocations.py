@@ -6,10 +6,12 @@ into one container per second word. When a worker holds too many phrases, its la
 subtrees are written out whole as runs sorted by words. Runs meet in one partition per prefix,
 the first two words, where their counts are summed.
 
-A phrase is as frequent as asked only if its words and pairs of words are. So words are
-counted first, then pairs of frequent words, then longer phrases whose pairs are all frequent.
-What is frequent reaches the tasks as a bitmap of hashes: its size has a bound, and a hash that
-two phrases share only lets one through that the final count leaves out.
+A phrase is as frequent as asked only if all pairs of words in it are. The first pass over the
+texts therefore counts the words, and beside them 32-bit hashes of all pairs, packed into three
+bytes a pair. A hash that occurs less often than asked belongs to no frequent pair. The others
+reach the tasks of the second pass as a bitmap, whose size has a bound, and only phrases all of
+whose pairs pass it are counted. Pairs that share a hash, or a bit, let phrases through that the
+final count leaves out, so the result does not depend on the hashes.
 """
 
 import numpy as np
@@ -26,8 +28,10 @@ MIN_COUNT, MAX_WORDS, TOP = 100, 5, 2000
 SLICE, NUMBERED, BITS = 1 << 19, 1 << 20, 21
 #: Phrases in a container before it bursts, and in all tries of a worker before it spills.
 BURST, HELD = 1 << 13, 1_000_000
-#: Bits of a bitmap for each frequent phrase, and for all of them at most (16 MB).
-PHRASE_BITS, MAP_BITS = 64, 1 << 27
+#: Bits of the bitmap for each frequent hash, and for all of them at most (16 MB).
+HASH_BITS, MAP_BITS = 64, 1 << 27
+#: Hashes of pairs that a worker holds before it packs them; bits of a hash within its block.
+HASHES, BLOCK_BITS = 1 << 23, 22
 ROWS = 100_000
 
 _M1 = np.uint64(0xBF58476D1CE4E5B9)
@@ -35,6 +39,7 @@ _BREAK = b"\xff"  # in no UTF-8 text
 _TABLE = bytes(0xFF if chr(b) in ".,;:!?\n\x0b\x0c\r" else b + 32 if 65 <= b <= 90 else b for b in range(256))
 _MASK = (1 << BITS) - 1
 RUNS = "lang string, head string, phrase string, n long"
+BLOCKS = "block int, sizes binary, lows binary, counts binary"
 
 
 class HatTrie:
@@ -53,7 +58,7 @@ class HatTrie:
             return
         first = phrases[:, 0]
         rest = np.ascontiguousarray(phrases[:, 1:], dtype=">u4")
-        rest = rest.view(f"V{4 * (self.words - 1)}").ravel().tolist() if self.words > 1 else [b""] * len(first)
+        rest = rest.view(f"V{4 * (self.words - 1)}").ravel().tolist()
         counts = counts.tolist()
         starts = np.flatnonzero(np.diff(first, prepend=-1))
         ends = np.append(starts[1:], len(first)).tolist()
@@ -91,20 +96,42 @@ class HatTrie:
 
     def take(self, most):
         """Cut out the largest subtrees until at most ``most`` phrases are left; all as rows."""
-        prefixes, tails, counts = [], [], []
+        parts, counts = [], []
         for n, path, held in sorted(self.subtrees(), key=lambda x: -x[0]):
             if self.size <= most:
                 break
-            prefixes.append((path[0].to_bytes(4) + b"".join(path[1:]), n))
-            tails.append(held)
+            prefix = path[0].to_bytes(4) + b"".join(path[1:])
+            parts += [prefix + key for key in held]
             counts += held.values()
             self.size -= n
             if len(path) > 1:
                 del self.root[path[0]][path[1]]
             else:
                 del self.root[path[0]]
-        data = b"".join(p + k for (p, _), held in zip(prefixes, tails, strict=True) for k in held)
-        return np.frombuffer(data, ">u4").reshape(-1, self.words).astype(np.int64), np.array(counts, np.int64)
+        rows = np.frombuffer(b"".join(parts), ">u4").reshape(-1, self.words).astype(np.int64)
+        return rows, np.array(counts, np.int64)
+
+
+class WordCounts:
+    """Counts of single words: the root of a trie alone, an array by word number."""
+
+    def __init__(self):
+        self.totals, self.size = np.zeros(0, np.int64), 0
+
+    def add(self, words, counts):
+        words = words[:, 0]
+        if len(words) and words[-1] >= len(self.totals):
+            self.totals = np.concatenate((self.totals, np.zeros(words[-1] + 1, np.int64)))
+        self.totals[words] += counts
+        self.size = np.count_nonzero(self.totals)
+
+    def take(self, most):
+        """All words as rows, and their counts, if there are more than ``most``."""
+        words = np.flatnonzero(self.totals) if self.size > most else np.zeros(0, np.int64)
+        counts = self.totals[words]
+        self.totals[words] = 0
+        self.size -= len(words)
+        return words[:, None], counts
 
 
 class Words:
@@ -125,12 +152,9 @@ def _hash_of_lang(lang):
     return word_hashes([b"lang " + lang])
 
 
-def _places(seed, *words):
-    """The hash of a word or of a pair of words in a language."""
-    place = seed
-    for hashes in words:
-        place = mixed(place * _M1 + hashes)
-    return place
+def pair_hashes(seed, first, second):
+    """32-bit hashes of pairs of words in a language, from the words' hashes."""
+    return (mixed(mixed(seed * _M1 + first) * _M1 + second) >> np.uint64(32)).astype(np.uint32)
 
 
 def distinct_windows(numbers, starts, words):
@@ -159,15 +183,20 @@ def distinct_windows(numbers, starts, words):
 
 
 class Counter:
-    """The tries of one task, by language and length of the phrases."""
+    """The tries of one task, by language and length of the phrases.
+
+    Without ``bits`` words are counted, and the hashes of all pairs kept for ``packed``; with
+    them phrases of two words and more whose pairs all pass.
+    """
 
-    def __init__(self, lengths, bits):
-        self.lengths, self.bits = lengths, bits
-        self.words, self.tries = Words(), {}
+    def __init__(self, bits=None, least=MIN_COUNT):
+        self.least = least
+        self.lengths, self.bits = [1] if bits is None else list(range(2, MAX_WORDS + 1)), bits
+        self.words, self.tries, self.pairs = Words(), {}, []
 
-    def _passes(self, places):
-        at = places & np.uint64(len(self.bits) * 8 - 1)
-        return self.bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1 > 0
+    def _passes(self, hashes):
+        at = hashes & np.uint32(len(self.bits) * 8 - 1)
+        return self.bits[at >> np.uint32(3)] >> (at & np.uint32(7)).astype(np.uint8) & 1 > 0
 
     def count(self, lang, tokens):
         """Count the phrases in a row of words and breaks; yields what is spilled meanwhile."""
@@ -178,26 +207,48 @@ class Counter:
                 yield from self.spill(0)
                 self.words, self.tries = Words(), {}
             numbers = self.words.of(part)
+            whole = numbers > 0
+            places = np.flatnonzero(whole[:-1] & whole[1:])
             hashes = self.words.hashes[numbers]
-            fits = numbers > 0
-            if self.lengths[0] == 2:
-                fits &= self._passes(_places(seed, hashes))
-            elif self.lengths[0] > 2:
-                pairs = fits[:-1] & fits[1:]
-                pairs[pairs] = self._passes(_places(seed, hashes[:-1][pairs], hashes[1:][pairs]))
-            for words in self.lengths:
-                places = max(0, len(numbers) - words + 1)
-                if words > 2:
-                    open_ = pairs[:places].copy()
-                    for j in range(1, words - 1):
-                        open_ &= pairs[j:places + j]
-                else:
-                    open_ = fits[:places] & fits[words - 1:]
-                trie = self.tries.setdefault((lang, words), HatTrie(words))
-                trie.add(*distinct_windows(numbers, np.flatnonzero(open_[:SLICE]), words))
+            hashes = pair_hashes(seed, hashes[places], hashes[places + 1])
+            if self.bits is None:
+                self.pairs.append(hashes[places < SLICE])
+                self._trie(lang, 1).add(*distinct_windows(numbers, np.flatnonzero(whole[:SLICE]), 1))
+                if sum(map(len, self.pairs)) > HASHES:
+                    yield from self.packed()
+            else:
+                # Whether a pair passes, by its place, and each longer phrase by its first pairs.
+                pairs = np.zeros(len(numbers), dtype=bool)
+                pairs[places] = self._passes(hashes)
+                open_ = pairs
+                for words in self.lengths:
+                    self._trie(lang, words).add(
+                        *distinct_windows(numbers, np.flatnonzero(open_[:SLICE]), words))
+                    open_ = open_[:-1] & pairs[words - 1:]
             if sum(t.size for t in self.tries.values()) > HELD:
                 yield from self.spill(HELD // 2 // len(self.tries))
 
+    def _trie(self, lang, words):
+        if (lang, words) not in self.tries:
+            self.tries[lang, words] = WordCounts() if words == 1 else HatTrie(words)
+        return self.tries[lang, words]
+
+    def packed(self):
+        """The distinct hashes of pairs held, by block: for each run of 2^16 of them how many
+        there are, their lowest 16 bits, and their counts up to the number asked for."""
+        if self.pairs:
+            hashes, counts = np.unique(np.concatenate(self.pairs), return_counts=True)
+            counts = np.minimum(counts, min(self.least, 255)).astype(np.uint8)
+            lows = hashes.astype("<u2")
+            runs = np.searchsorted(hashes, np.arange((1 << 16) + 1, dtype=np.int64) << 16)
+            each = 1 << BLOCK_BITS - 16
+            rows = [
+                (i // each, np.diff(runs[i:i + each + 1]).astype("<u4").tobytes(),
+                 lows[runs[i]:runs[i + each]].tobytes(), counts[runs[i]:runs[i + each]].tobytes())
+                for i in range(0, 1 << 16, each) if runs[i] < runs[i + each]]
+            self.pairs = []
+            yield _batch(dict(zip(("block", "sizes", "lows", "counts"), zip(*rows, strict=True), strict=True)))
+
     def spill(self, most):
         """Runs of the largest subtrees; at most ``most`` phrases stay in each trie."""
         table = list(self.words.number)
@@ -211,10 +262,9 @@ class Counter:
                 at = run[i:i + ROWS]
                 columns = [table.take(pa.array(phrases[at, j])) for j in range(words)]
                 head = _joined(columns[:2])
-                yield pa.record_batch([
-                    pa.array([lang] * len(at), pa.binary()).cast(pa.string()), head,
-                    _joined([head.cast(pa.binary()), *columns[2:]]), pa.array(counts[at], pa.int64())],
-                    names=["lang", "head", "phrase", "n"])
+                yield _batch({
+                    "lang": pa.array([lang] * len(at), pa.binary()).cast(pa.string()), "head": head,
+                    "phrase": _joined([head.cast(pa.binary()), *columns[2:]]), "n": counts[at]})
 
 
 def _joined(columns):
@@ -222,9 +272,22 @@ def _joined(columns):
     return joined.cast(pa.string())
 
 
-def _counting(lengths, bits):
+_SCHEMA = pa.schema([
+    *[(c, pa.string()) for c in ("lang", "head", "phrase")], ("n", pa.int64()), ("block", pa.int32()),
+    *[(c, pa.binary()) for c in ("sizes", "lows", "counts")]])
+
+
+def _batch(columns):
+    """Rows of runs or of packed hashes; the columns of the others are null."""
+    rows = len(next(iter(columns.values())))
+    return pa.record_batch([
+        pa.array(columns[f.name], f.type) if f.name in columns and not isinstance(columns[f.name], pa.Array)
+        else columns.get(f.name, pa.nulls(rows, f.type)) for f in _SCHEMA], schema=_SCHEMA)
+
+
+def _counting(bits, least):
     def counting(batches):
-        counter = Counter(lengths, bits)
+        counter = Counter(bits, least)
         for batch in batches:
             for piece in chunks(batch, "text"):
                 texts = {}
@@ -235,42 +298,60 @@ def _counting(lengths, bits):
                     # Only blanks and tabs are left of the characters at which split() splits.
                     yield from counter.count(lang, text.replace(_BREAK, b" \xff ").split())
         yield from counter.spill(0)
+        yield from counter.packed()
     return counting
 
 
-def _merged(docs, lengths, bits=None):
-    """``lang, phrase, n``: the counts of all phrases of the given lengths that pass ``bits``."""
-    runs = docs.mapInArrow(_counting(lengths, bits), RUNS)
-    return runs.repartition("lang", "head").groupBy("lang", "head", "phrase").agg(
-        F.sum("n").alias("n")).select("lang", "phrase", "n")
+def _merged(runs):
+    """``lang, phrase, n``: runs meet by prefix, and the counts of a phrase are summed."""
+    return runs.where("block is null").select("lang", "head", "phrase", "n").repartition(
+        "lang", "head").groupBy("lang", "head", "phrase").agg(F.sum("n").alias("n")).select(
+        "lang", "phrase", "n")
 
 
-def _bitmap(phrases):
-    """The hashes of words or pairs (``lang, phrase``) as a bitmap of bounded size."""
-    size, wanted = 1 << 15, min(MAP_BITS, phrases.count() * PHRASE_BITS)
-    while size < wanted:
-        size *= 2
+def _often(least):
+    least = min(least, 255)
+
+    def often(batches):
+        """The hashes that occur often enough, from packed rows in order of their block."""
+        block, counts = None, None
+
+        def found():
+            at = np.flatnonzero(counts >= least) + (block << BLOCK_BITS)
+            return pa.record_batch([pa.array(at.astype(np.int64))], names=["hash"])
 
-    def places(batches):
         for batch in batches:
-            found = []
-            for lang, phrase in zip(*(batch.column(c).to_pylist() for c in ("lang", "phrase")), strict=True):
-                words = word_hashes(phrase.split(b" "))
-                found.append(_places(_hash_of_lang(lang), *(words[i:i + 1] for i in range(len(words))))[0])
-            at = np.array(found, np.uint64) & np.uint64(size - 1)
-            yield pa.record_batch([pa.array(at.astype(np.int64) + 1)], names=["place"])
-
-    rows = phrases.select(F.col("lang").cast("binary"), F.col("phrase").cast("binary")).mapInArrow(
-        places, "place long")
-    parts = rows.groupBy(F.bitmap_bucket_number("place").alias("part")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits")).collect()
-    bits = np.zeros((max(1, size >> 15), 1 << 12), dtype=np.uint8)
+            for row in batch.to_pylist():
+                if row["block"] != block:
+                    if block is not None:
+                        yield found()
+                    block, counts = row["block"], np.zeros(1 << BLOCK_BITS, np.uint16)
+                sizes = np.frombuffer(row["sizes"], "<u4")
+                at = np.repeat(np.arange(len(sizes)) << 16, sizes) + np.frombuffer(row["lows"], "<u2")
+                # Counts beyond the number asked for need no more room.
+                counts[at] = np.minimum(counts[at] + np.frombuffer(row["counts"], np.uint8), least)
+        if block is not None:
+            yield found()
+    return often
+
+
+def _bitmap(packed, least):
+    """The frequent hashes among packed ones as a bitmap of bounded size."""
+    hashes = cut(packed.repartition("block").sortWithinPartitions("block").mapInArrow(
+        _often(least), "hash long"), "hashes")
+    size, wanted = 1 << 15, min(MAP_BITS, hashes.count() * HASH_BITS)
+    while size < wanted:
+        size *= 2
+    place = F.col("hash").bitwiseAND(F.lit(size - 1)) + 1
+    parts = hashes.groupBy(F.bitmap_bucket_number(place).alias("part")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")).collect()
+    bits = np.zeros((size >> 15, 1 << 12), dtype=np.uint8)
     for part, found in parts:
         bits[part - 1] = np.frombuffer(found, np.uint8)
     return bits.ravel()
 
 
-def phrase_counts(docs):
+def phrase_counts(docs, least=MIN_COUNT):
     """``totals, frequent``: words of each language, and all phrases that occur often enough.
 
     ``frequent`` has ``lang, phrase, words, n``, of 1 to ``MAX_WORDS`` words.
@@ -279,26 +360,27 @@ def phrase_counts(docs):
     docs = docs.select(
         F.coalesce(F.col("lang").cast("string"), F.lit("und")).cast("binary").alias("lang"),
         F.coalesce(F.col("text").cast("binary"), F.lit("").cast("binary")).alias("text"))
-    often = F.col("n") >= MIN_COUNT
-    words = cut(_merged(docs, [1]), "words")
+    often = F.col("n") >= least
+    runs = cut(docs.mapInArrow(_counting(None, least), f"{RUNS}, {BLOCKS}"), "word-runs")
+    bits = _bitmap(runs.where("block is not null").select("block", "sizes", "lows", "counts"), least)
+    words = cut(_merged(runs), "words")
     totals = words.groupBy("lang").agg(F.sum("n").alias("total"))
-    pairs = cut(_merged(docs, [2], _bitmap(words.where(often))).where(often), "pairs")
-    longer = _merged(docs, list(range(3, MAX_WORDS + 1)), _bitmap(pairs)).where(often)
-    every = words.where(often).unionAll(pairs).unionAll(longer)
+    longer = _merged(docs.mapInArrow(_counting(bits, least), f"{RUNS}, {BLOCKS}"))
+    every = words.where(often).unionAll(longer.where(often))
     return totals, cut(every.withColumn("words", F.size(F.split("phrase", " "))), "frequent")
 
 
-def collocations(docs, top=TOP):
+def collocations(docs, top=TOP, least=MIN_COUNT):
     """The ``top`` phrases of each language of ``docs`` (``lang, text``) by their weakest cut.
 
-    A phrase has 2 to ``MAX_WORDS`` words inside a piece and occurs ``MIN_COUNT`` times or more.
+    A phrase has 2 to ``MAX_WORDS`` words inside a piece and occurs ``least`` times or more.
     Cut behind its first k words it scores ``floor(1000 a n / (l r))``; the lowest score counts,
     the smallest k on ties. Phrases that only occur inside one longer candidate are dropped.
     Null languages count as ``und``, null texts as empty; repeated rows count each time;
     other columns change nothing, and an empty table gives no rows. Scores are exact up to
     10^15 words of a language.
     """
-    totals, frequent = phrase_counts(docs)
+    totals, frequent = phrase_counts(docs, least)
     whole = frequent.where("words > 1")
     parts = if_small(frequent.select("lang", F.col("phrase").alias("part"), F.col("n").alias("count")))
     text = F.split("phrase", " ")

@@ -58,11 +58,10 @@ def texts(n=60, seed=3):
 
 
 @pytest.mark.parametrize("top", [5, 2000])
-def test_against_plain_counting(spark, monkeypatch, top):
-    monkeypatch.setattr(col, "MIN_COUNT", 4)
+def test_against_plain_counting(spark, top):
     rows = [*texts(), (None, None, "fr", "x", "y"), (1, "", "fr", "x", "y"), *list(texts())[:5],
             (9, "a a a a a a a a . " * 20, "rep", "", ""), (9, "one two three four five six " * 9, "long", "", "")]
-    got = col.collocations(spark.createDataFrame(rows, SCHEMA).repartition(3), top=top)
+    got = col.collocations(spark.createDataFrame(rows, SCHEMA).repartition(3), top=top, least=4)
     assert got.columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
     want = plain([(r[1], r[2]) for r in rows], 4, top)
     assert sorted(map(tuple, got.collect())) == sorted(want) and len(want) > 9
@@ -75,7 +74,7 @@ def test_scores_beyond_64_bits(spark, monkeypatch):
         [("en", "a", 1, big), ("en", "b", 1, big - 2), ("en", "a b", 2, big - 5)],
         "lang string, phrase string, words int, n long")
     totals = spark.createDataFrame([("en", 7 * 10**14 + 1)], "lang string, total long")
-    monkeypatch.setattr(col, "phrase_counts", lambda docs: (totals, frequent))
+    monkeypatch.setattr(col, "phrase_counts", lambda docs, least: (totals, frequent))
     row = col.collocations(frequent).first()
     assert row["score"] == 1000 * (big - 5) * (7 * 10**14 + 1) // (big * (big - 2))
 
@@ -91,9 +90,8 @@ def test_tries_that_burst_spill_and_renumber(monkeypatch, held, burst, slice_, n
         monkeypatch.setattr(col, name, value)
     rows = [(t, lang) for _, t, lang, _, _ in texts(40)]
     _, want = counts(rows)
-    every = np.full(1 << 12, 255, np.uint8)
-    for lengths in ([1], [2], [3, 4, 5]):
-        counter, got, runs = col.Counter(lengths, every), Counter(), 0
+    for bits, lengths in ((None, {1}), (np.full(1 << 12, 255, np.uint8), {2, 3, 4, 5})):
+        counter, got, runs = col.Counter(bits), Counter(), 0
         for text, lang in rows:
             tokens = (text.encode() + b"\xff").translate(col._TABLE).replace(b"\xff", b" \xff ").split()
             batches = list(counter.count(("und" if lang is None else lang).encode(), tokens))
@@ -101,22 +99,35 @@ def test_tries_that_burst_spill_and_renumber(monkeypatch, held, burst, slice_, n
             for batch in [*batches, *(counter.spill(0) if text is rows[-1][0] else [])]:
                 for r in batch.to_pylist():
                     words = tuple(r["phrase"].split(" "))
-                    assert r["head"] == " ".join(words[:2])
+                    assert r["head"] == " ".join(words[:2]) and r["block"] is None
                     got[r["lang"], words] += r["n"]
         assert got == {p: n for p, n in want.items() if len(p[1]) in lengths}
         assert (runs > 0) == (held == 40)
 
 
-def test_runs_are_sorted_and_bitmaps_let_all_frequent_through(spark):
-    counter = col.Counter([2], np.full(1 << 12, 255, np.uint8))
+def test_runs_are_sorted():
+    counter = col.Counter(np.full(1 << 12, 255, np.uint8))
     list(counter.count(b"en", [b"b", b"a", b"b", b"c", b"a", b"b"]))
     run = [r["phrase"] for batch in counter.spill(0) for r in batch.to_pylist()]
-    assert run == ["a b", "b a", "b c", "c a"]
-    phrases = [("en", f"w{i}") for i in range(900)] + [("fr", f"w{i} é{i}") for i in range(900)]
-    bits = col._bitmap(spark.createDataFrame(phrases, "lang string, phrase string"))
-    tester = col.Counter([1], bits)
-    for lang, phrase in phrases:
-        words = [col.word_hashes([w.encode()]) for w in phrase.split(" ")]
-        assert tester._passes(col._places(col._hash_of_lang(lang.encode()), *words)).all()
-    other = col._places(col._hash_of_lang(b"en"), col.word_hashes([f"z{i}".encode() for i in range(1000)]))
-    assert tester._passes(other).mean() < 0.1
+    assert [p for p in run if p.count(" ") == 1] == ["a b", "b a", "b c", "c a"]
+
+
+@pytest.mark.parametrize("least", [100, 3])
+def test_bitmap_lets_frequent_pairs_through_and_few_others(spark, least):
+    """Pairs that are frequent in all tasks together, but in none alone."""
+    rare = [b"r%d" % i for i in range(6000)]
+    rows = []
+    for task in range(4):
+        counter = col.Counter(None, least)
+        list(counter.count(b"en", [b"new", b"york", b"\xff"] * (-(-least // 4)) + rare[task::4]))
+        rows += [tuple(bytearray(v) if isinstance(v, bytes) else v for v in list(r.values())[4:])
+                 for b in counter.packed() for r in b.to_pylist()]
+    packed = spark.createDataFrame(rows, col.BLOCKS)
+    seed = col._hash_of_lang(b"en")
+    hashed = lambda a, b: col.pair_hashes(seed, col.word_hashes([a]), col.word_hashes([b]))
+    found = packed.orderBy("block").mapInArrow(col._often(least), "hash long").collect()
+    assert [r[0] for r in found] == [int(hashed(b"new", b"york")[0])]
+    tester = col.Counter(col._bitmap(packed, least))
+    assert tester._passes(hashed(b"new", b"york")).all()
+    others = np.concatenate([hashed(a, b) for a, b in zip(rare, rare[1:])])
+    assert tester._passes(others).mean() < 0.01
