@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from lakework.functions.columns import quoted
 from lakework.sinks.files import write_partitioned
-from lakework.sources.files import list_files
+from lakework.sources.files import file_system, list_files
 from lakework.sources.tables import read_keyed
 
 #: ``low`` and ``high`` are the range of a time column in microseconds.
@@ -23,15 +23,9 @@ _FIELDS = ("name", "rows", "low", "high", "bucket")
 KEEP = datetime.timedelta(days=1)
 
 
-def _file_system(spark, path):
-    """Hadoop's file system of a path, and its class of paths."""
-    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    return place(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
-
-
 def _manifests(spark, path):
     """Name and time of each manifest; their contents are not read. None where there are none."""
-    files, place = _file_system(spark, path)
+    files, place = file_system(spark, path)
     if not files.exists(place(f"{path}/manifests")):
         return None
     return list_files(spark, f"{path}/manifests", "*.json").select("file_path", "datetime")
@@ -110,7 +104,7 @@ def replace(df, path, by=None, time=None, batch=None):
     """Replace the whole table in one step; refuses to replace it by nothing."""
     part = write_part(df, path, by, time)
     if not part["rows"]:
-        files, place = _file_system(df.sparkSession, path)
+        files, place = file_system(df.sparkSession, path)
         files.delete(place(f"{path}/{part['name']}"), True)
         raise ValueError(f"refusing to overwrite {path} with an empty table")
     return publish(df.sparkSession, path, [part], batch)
@@ -149,7 +143,7 @@ def expire(spark, path, keep=KEEP):
     named = spark.read.schema(MANIFEST).json([r["file_path"] for r in held])
     names = {r[0] for r in named.select(F.explode("parts.name")).collect()}
     needed = {name.split("/")[1] for name in names}
-    files, place = _file_system(spark, path)
+    files, place = file_system(spark, path)
     for r in found:
         if r not in held:
             files.delete(place(r["file_path"]).getParent(), True)

@@ -8,21 +8,72 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from lakework.functions.columns import quoted, with_types
 from lakework.operators.relational import union_by_name
+from lakework.sources.files import is_folder, list_files, total_bytes
 
 # The part of a monotonically increasing id that counts rows within a partition.
 _ROW_IN_PARTITION = (1 << 33) - 1
 
 
-# Doubled quotes and line breaks inside quotes, as other CSV programs write them.
-CSV_TEXT = {"escape": '"', "multiLine": True}
+# Doubled quotes, as other CSV programs write them.
+CSV_TEXT = {"escape": '"'}
+
+
+def _split_bytes(spark):
+    """The most bytes of a file that one task reads, as the session sets them."""
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes").lower().removesuffix("b")
+    unit = "kmgtp".find(size[-1]) + 1
+    return int(size[:-1] if unit else size) << 10 * unit
+
+
+def _place(url):
+    """A file's path without the scheme, which listings and rows write in two ways."""
+    return url.split(":", 1)[-1].lstrip("/")
+
+
+def plain_files(spark, path, quote='"'):
+    """The files below ``path`` that several tasks may read, and the others.
+
+    The former are larger than one task reads, and none of their lines holds an odd number of
+    quotes. A value with a line break leaves such a line, as quotes in values are doubled; so
+    records of these files are lines. None where no file is that large.
+    """
+    if total_bytes(spark, path) <= _split_bytes(spark):
+        return None
+    files = list_files(spark, path).select("file_path", "bytes").collect()
+    large = [f["file_path"] for f in files if f["bytes"] > _split_bytes(spark)]
+    if not large:
+        return None
+    quotes = F.length("value") - F.length(F.replace("value", F.lit(quote), F.lit("")))
+    odd = spark.read.text(large).where(quotes % 2 == 1).select("_metadata.file_path").distinct()
+    broken = {_place(unquote(r[0])) for r in odd.collect()}
+    plain = [f for f in large if _place(f) not in broken]
+    return plain, [f["file_path"] for f in files if f["file_path"] not in plain]
+
+
+def _read_parts(spark, path, options, read):
+    """``read(reader, path)`` of all files, those without line breaks in values split."""
+    options = {**CSV_TEXT, **options}
+    whole = lambda: read(spark.read.options(**{"multiLine": True, **options}), path)
+    if "multiLine" in options or options["escape"] != options.get("quote", '"'):
+        return whole()
+    parts = plain_files(spark, path, options.get("quote", '"'))
+    if parts is None or not parts[0]:
+        return whole()
+    base = {"basePath": path} if isinstance(path, str) and is_folder(spark, path) else {}
+    frames = [
+        read(spark.read.options(**base, **options, multiLine=lines), files)
+        for lines, files in zip((False, True), parts, strict=True) if files]
+    if any(frame.schema != frames[0].schema for frame in frames):  # inferred types that differ
+        return whole()
+    return frames[0] if len(frames) == 1 else frames[0].unionAll(frames[1])
 
 
 def read_csv(spark, path, schema=None, infer=False, header=True, **options):
     """CSV with a header: all strings, inferred types, or the columns of a schema.
 
-    A value in quotes may hold line breaks, so a file is read by one task; give
-    ``multiLine=False`` for large files whose values hold none, and Spark splits them.
-    An empty text, quoted or not, reads as NULL.
+    A value in quotes may hold line breaks. Files larger than one task reads are looked through
+    for such values, and those without any are split over tasks; ``multiLine`` true or false
+    says so beforehand and saves the look. An empty text, quoted or not, reads as NULL.
 
     With a header the columns of a schema are found by name, wherever they stand in
     the file, and text that does not fit its type becomes NULL. Inference reads the
@@ -30,18 +81,19 @@ def read_csv(spark, path, schema=None, infer=False, header=True, **options):
     columns are ``_c0``, ``_c1`` and so on, or those of the schema in order. Unless types
     are inferred, keys in folder names stay text, so that ``007`` does not become 7.
     """
-    reader = spark.read.options(header=header, **{**CSV_TEXT, **options})
+    options = {"header": header, **options}
     if schema is None and infer:
-        return reader.option("inferSchema", True).csv(path)
+        return _read_parts(
+            spark, path, options, lambda reader, files: reader.option("inferSchema", True).csv(files))
     if schema is None or header:
-        names = reader.csv(path).columns
+        names = spark.read.options(**{**CSV_TEXT, "multiLine": True, **options}).csv(path).columns
         text = StructType([StructField(name, StringType()) for name in names])
-        strings = spark.read.options(header=header, **{**CSV_TEXT, **options}).schema(text).csv(path)
+        strings = _read_parts(spark, path, options, lambda reader, files: reader.schema(text).csv(files))
     if schema is None:
         return strings
     schema = StructType.fromDDL(schema) if isinstance(schema, str) else schema
     if not header:
-        return reader.schema(schema).csv(path)
+        return _read_parts(spark, path, options, lambda reader, files: reader.schema(schema).csv(files))
     named = strings.select(*[quoted(f.name) for f in schema.fields])
     return with_types(named, {f.name: f.dataType for f in schema.fields})
 

@@ -14,7 +14,7 @@ from lakework.scratch import scratch_path, scratch_root
 from lakework.session import s3a_options
 from lakework.sinks.display import preview, schema_rows
 from lakework.sinks.files import land_json, replace_table, write_csv, write_partitioned, write_report
-from lakework.sources.csv import csv_header_groups, read_csv, read_csv_by_name
+from lakework.sources.csv import csv_header_groups, plain_files, read_csv, read_csv_by_name
 from lakework.sources.files import list_files, with_provenance
 from lakework.sources.json import read_dictionary, read_json
 from lakework.sources.tables import read_partition
@@ -263,3 +263,35 @@ def test_keys_in_folder_names_stay_text(spark, tmp_path):
     assert read_partition(spark, str(tmp_path / "p"), k="007").collect() == [(1, "007")]
     write_partitioned(df, str(tmp_path / "c"), "k", fmt="csv", header=True)
     assert read_csv(spark, str(tmp_path / "c")).collect() == [("1", "007")]
+
+
+def test_large_plain_csv_files_are_split_and_others_are_not(spark, tmp_path, conf):
+    """Each file is looked through; a value with a line break keeps its file in one task."""
+    rows = [f'{i},"text {i}, ""quoted""",{i / 2}' for i in range(3000)]
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "plain.csv").write_text("n,note,x\n" + "\n".join(rows) + "\n")
+    (tmp_path / "in" / "broken.csv").write_text("n,note,x\n" + "\n".join(rows) + '\n3000,"two\nlines",1.0\n')
+    (tmp_path / "in" / "small.csv").write_text('n,note,x\n3001,"a\nb",2.0\n')
+    path = str(tmp_path / "in")
+    assert read_csv(spark, path).rdd.getNumPartitions() <= 3
+    whole = sorted(map(tuple, read_csv(spark, path).collect()))
+    conf("spark.sql.files.maxPartitionBytes", "16k")
+    plain, rest = plain_files(spark, path)
+    assert [f.rsplit("/", 1)[1] for f in plain] == ["plain.csv"] and len(rest) == 2
+    split = read_csv(spark, path)
+    assert split.rdd.getNumPartitions() > 5
+    assert sorted(map(tuple, split.collect())) == whole and len(whole) == 6002
+    typed = read_csv(spark, path, schema="x double, n int, note string")
+    assert typed.where("n >= 3000").orderBy("n").collect() == [(1.0, 3000, "two\nlines"), (2.0, 3001, "a\nb")]
+    assert read_csv(spark, path, infer=True).count() == 6002
+    assert read_csv(spark, f"{path}/pl*.csv", header=False).count() == 3001
+    assert read_csv(spark, path, multiLine=False).count() > 6002
+
+
+def test_split_csv_keeps_folder_columns(spark, tmp_path, conf):
+    conf("spark.sql.files.maxPartitionBytes", "4k")
+    rows = spark.range(2000).selectExpr("id", "concat('0', id % 2) as k", "'a,b' as note")
+    write_partitioned(rows, str(tmp_path / "t"), "k", fmt="csv", header=True)
+    found = read_csv(spark, str(tmp_path / "t"), schema="id long, k string, note string")
+    assert found.groupBy("k").count().orderBy("k").collect() == [("00", 1000), ("01", 1000)]
+    assert found.rdd.getNumPartitions() > 2 and found.first()["note"] == "a,b"
