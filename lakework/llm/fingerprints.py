@@ -1,16 +1,30 @@
 """Document fingerprints by consistent weighted sampling, in built-in functions only.
 
 A document is a weighted set: its words and how often each stands in it. Per word and
-sample there are two Gamma(2, 1) variates and a uniform one, all drawn from hashes of
-the word, so that every document draws the same; the word with the smallest sampled
-value, with the level its weight reached, is the sample. Two documents draw the same
-sample with the probability of their generalised Jaccard similarity, the sum of smaller
-weights over the sum of larger ones.
+sample there are two Gamma(2, 1) variates r and c and a uniform one b, all drawn from hashes
+of the word, so that every document draws the same. The weight w reaches the level
+t = floor(ln w / r + b); the word with the smallest a = c exp(-r (t - b + 1)), with its level,
+is the sample. Two documents draw the same sample with the probability of their generalised
+Jaccard similarity, the sum of smaller weights over the sum of larger ones.
+
+The variates are made of four exponential ones. With c = x + y and u = x / c, which is uniform,
+and r = -ln u + z and b = z / r, level 0 has the value a = x, and is left where w u >= 1. So
+the weight 1, which most words have, needs x alone; and as 1 - exp(-x) is uniform, values are
+compared as that: for those words a hash is the draw. With y and z as -ln of uniform v1 and v2,
+level 0 is kept where exp(-x) ^ (w - 1) > v1, and the value behind is x v2 / w exp(m mod s) with
+m = ln(w / v2) and s = ln((1 + y / x) / v2), in which everything stands once: Spark works out
+what stands twice in a branch twice. The value itself tells what was sampled, so its hash stands
+for the sample; it is cut to 40 bits, as different weights reach a level by other roundings.
 
 Every distinct word is drawn for every one of the ``SAMPLES``, so a text with any words
-has all samples, and the share of equal ones is that similarity in expectation.
+has all samples, and the share of equal ones is that similarity in expectation. Texts that
+are drawn together, like a text and its edited form, share the draws of the words that weigh
+the same in them.
 """
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -19,35 +33,29 @@ SAMPLES = 64
 BLOCKS = 4
 
 _SIGN = 1 << 16
-_SCALE = 1 << 28
-
-
-def _halves(hashed):
-    """Two uniform numbers above 0 and below 1 from one 64-bit hash."""
-    scale = F.lit(float(2 ** 32))
-    return ((F.shiftrightunsigned(hashed, 32) + F.lit(0.5)) / scale,
-            (hashed.bitwiseAND(0xFFFFFFFF) + F.lit(0.5)) / scale)
+_BITS = 40
+_WHOLE = float(1 << _BITS)
 
 
-def _gamma(hashed):
-    """A Gamma(2, 1) variate: the sum of two exponential ones."""
-    first, second = _halves(hashed)
-    return -F.log(first * second)
+def _uniform(hashed, shift, bits):
+    """A uniform number above 0 and below 1 from some bits of a 64-bit hash."""
+    part = F.shiftrightunsigned(hashed, shift).bitwiseAND((1 << bits) - 1)
+    return (part + F.lit(0.5)) / F.lit(float(1 << bits))
 
 
-def _drawn(word, log_weight, sample):
-    """A number that holds the sampled value (to compare) and 16 bits of what was sampled.
+def _drawn(word, weight, sample):
+    """What a word of some weight (a whole number) draws for a sample: 40 bits to compare.
 
-    ``word`` is a 64-bit hash; the number is null where ``log_weight`` is.
+    ``word`` is a 64-bit hash; the draw is null where ``weight`` is.
     """
-    shape, value, start = [F.xxhash64(word, F.lit(3 * sample + i)) for i in range(3)]
-    r, beta = _gamma(shape), _halves(start)[0]
-    level = F.floor(log_weight / r + beta)
-    sampled = F.log(_gamma(value)) - r * (level - beta + 1)
-    # Between -90 and 4 for weights of at least one and below 2 ** 32.
-    held = F.floor((sampled + 128) * _SCALE)
-    sign = F.xxhash64(value, level)
-    return held * _SIGN + sign.bitwiseAND(_SIGN - 1)
+    lowest = F.shiftrightunsigned(F.xxhash64(word, F.lit(sample)), 64 - _BITS)
+    kept = 1 - (lowest + F.lit(0.5)) / F.lit(_WHOLE)
+    more = F.xxhash64(word, F.lit(SAMPLES + sample))
+    v1, v2 = _uniform(more, 32, 32), _uniform(more, 0, 32)
+    left = F.log(weight / v2) % F.log((1 + F.log(v1) / F.log(kept)) / v2)
+    higher = F.floor(-F.expm1(F.log(kept) * v2 / weight * F.exp(left)) * F.lit(_WHOLE))
+    return F.when(weight == 1, lowest).when(
+        F.when(weight == 2, kept).otherwise(F.pow(kept, weight - 1)) > v1, lowest).when(weight > 1, higher)
 
 
 def _words(text):
@@ -61,8 +69,9 @@ def fingerprints_of(rows, key, texts):
 
     ``key`` are columns of ``rows``, the first of which deals the rows over tasks, that tell
     rows apart; they are all that stays. The samples of a text are ``sample * 65536 + 16
-    bits``; null, empty and blank texts have none. Equal words are folded first, then a word
-    is drawn once for all texts of its row, and the smallest draw of each sample is kept.
+    bits of a hash``; null, empty and blank texts have none. Equal words are folded first. A word is
+    then drawn once for all texts of its row in which it has the same weight; the smallest
+    draw of each sample is kept, first for each set of texts and then for each text.
     """
     names = list(texts)
 
@@ -73,15 +82,24 @@ def fingerprints_of(rows, key, texts):
     words = rows.select(*key, F.explode_outer(found).alias("_w")).select(
         *key, F.col("_w.word").alias("_word"), F.col("_w.of").alias("_of"))
     folded = words.groupBy(*key, "_word").agg(*[
-        F.log(F.sum(F.when(F.col("_of") == i, 1)).cast("double")).alias(f"_log{i}")
-        for i in range(len(names))])
-    least = [
-        F.min(_drawn(F.col("_word"), F.col(f"_log{i}"), k)).alias(f"_{i}_{k}")
-        for i in range(len(names)) for k in range(SAMPLES)]
-    kept = folded.groupBy(*key).agg(*least)
+        F.count_if(F.col("_of") == i).alias(f"_n{i}") for i in range(len(names))])
+    weights = []
+    for i in range(len(names)):
+        n = F.col(f"_n{i}")
+        shared = sum((F.when(F.col(f"_n{j}") == n, 1 << j).otherwise(0) for j in range(len(names))), F.lit(0))
+        met = reduce(or_, [F.col(f"_n{j}") == n for j in range(i)], n == 0)
+        weights.append(F.when(~met, F.struct(n.alias("weight"), shared.alias("texts"))))
+    # A row without words keeps one entry, of no text.
+    none = F.when(F.isnull("_word"), F.struct(F.lit(None).cast("long").alias("weight"), F.lit(0).alias("texts")))
+    drawn = folded.select(*key, "_word", F.inline(F.array_compact(F.array(*weights, none))))
+    least = drawn.groupBy(*key, "texts").agg(*[
+        F.min(_drawn(F.col("_word"), F.col("weight"), k)).alias(f"_{k}") for k in range(SAMPLES)])
+    kept = least.groupBy(*key).agg(*[
+        F.min(F.when(F.col("texts").bitwiseAND(1 << i) > 0, F.col(f"_{k}"))).alias(f"_{i}_{k}")
+        for i in range(len(names)) for k in range(SAMPLES)])
     return kept.select(*key, *[
         F.when(F.col(f"_{i}_0").isNull(), F.array().cast("array<int>")).otherwise(F.array(*[
-            (F.col(f"_{i}_{k}").bitwiseAND(_SIGN - 1) + k * _SIGN).cast("int")
+            (F.xxhash64(f"_{i}_{k}").bitwiseAND(_SIGN - 1) + k * _SIGN).cast("int")
             for k in range(SAMPLES)])).alias(name)
         for i, name in enumerate(names)])
 
@@ -152,14 +170,15 @@ def fingerprints(docs):
         F.substr("text", F.lit(1), n - cut),
         F.coalesce(F.substr(F.lead("text").over(ordered), F.lit(1), cut), F.lit("")))
     rows = rows.withColumns({"edited": edited, "place": F.row_number().over(ordered)}).select(
-        "block", "place", "doc_id", "tie", "guest", "text",
-        n.cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
+        "block", "place", "doc_id", "guest", "text",
+        n.cast("long").alias("n_chars"), F.unhex(F.sha2("edited", 256)).alias("digest"),
         F.when(~F.col("guest"), F.col("edited")).alias("edited"))
-    key = ["block", "place", "doc_id", "tie", "guest", "n_chars", "edited_sha256"]
+    key = ["block", "place", "doc_id", "guest", "n_chars", "digest"]
     drawn = fingerprints_of(
         rows, key, {"samples": F.col("text"), "edited_samples": F.col("edited")})
-    return drawn.withColumn("next_samples", F.lead("samples").over(ordered)).where("not guest").select(
-        "doc_id", "n_chars", "edited_sha256", as_text(F.col("samples")).alias("fingerprint"),
+    following = F.lead("samples").over(Window.partitionBy("block").orderBy("place"))
+    return drawn.withColumn("next_samples", following).where("not guest").select(
+        "doc_id", "n_chars", F.lower(F.hex("digest")).alias("edited_sha256"), as_text(F.col("samples")).alias("fingerprint"),
         as_text(F.col("edited_samples")).alias("edited_fingerprint"),
         likeness(F.col("samples"), F.col("edited_samples")).alias("near_edited"),
         likeness(F.col("samples"), F.col("next_samples")).alias("near_next"))
