@@ -53,3 +53,22 @@ def test_entry(spark):
     rows = entry_point.entry(spark).collect()
     assert len(rows) == 10
     assert [r["qty"] for r in rows] == sorted((r["qty"] for r in rows), reverse=True)
+
+
+def test_other_queries_stay_where_a_library_of_the_training_data_is_missing(monkeypatch):
+    import builtins
+    import sys
+
+    plain = builtins.__import__
+
+    def missing(name, *rest):
+        if name.startswith(("lakework.llm", "corpus_pipeline")):
+            raise ModuleNotFoundError(name)
+        return plain(name, *rest)
+
+    for name in [m for m in sys.modules if m.startswith(("lakework.llm", "corpus_pipeline"))]:
+        monkeypatch.delitem(sys.modules, name)
+    monkeypatch.setattr(builtins, "__import__", missing)
+    left = entry_point.queries()
+    assert "top10_by_count" in left and not [n for n in left if n.startswith("op") or n == "pipeline"]
+    assert set(entry_point.oracle_sql()) <= set(left)
