@@ -1,5 +1,8 @@
 """Small helpers that several operators share."""
 
+import ctypes
+import functools
+import gc
 import os
 
 import pyarrow as pa
@@ -30,16 +33,16 @@ def width(spark):
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def in_order(df, order):
+def in_order(df, order, ties=()):
     """Sort ``df`` over range partitions and number the rows inside each.
 
     Adds ``part`` (ascending with the order) and ``at`` (from 0 in each part).
     The sort key should be unique enough to split: a run of rows with one key
-    stays in one part.
+    stays in one part, in order of ``ties``, which are worked out there.
     """
     mid = F.monotonically_increasing_id()
     return (
-        df.repartitionByRange(width(df.sparkSession), *order).sortWithinPartitions(*order)
+        df.repartitionByRange(width(df.sparkSession), *order).sortWithinPartitions(*order, *ties)
         .withColumn("at", mid)
         .withColumns({"part": F.shiftright("at", 33), "at": F.col("at").bitwiseAND((1 << 33) - 1)})
     )
@@ -78,6 +81,23 @@ def chunks(batch, column, size=4 << 20):
         yield batch.slice(begin)
 
 
+def thrifty(function):
+    """A function of Arrow batches whose worker gives back its unused memory behind the last one.
+
+    Spark keeps workers for later tasks, and allocators what they have freed; without this an
+    idle worker holds as much as its task did.
+    """
+    @functools.wraps(function)
+    def run(batches):
+        yield from function(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
+    return run
+
+
 def share_code(spark):
     """Let Python workers import this package where they see the same folder.
 

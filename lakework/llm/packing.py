@@ -55,8 +55,16 @@ def best_cuts(places, cost, window=WINDOW):
     ``window``. No two neighbouring places may be further apart than ``window``.
     """
     place, price = places.tolist(), cost.tolist()
-    index = {p: i for i, p in enumerate(place)}
-    powers = [1 << k for k in range(window.bit_length() - 1) if 1 << k < window]
+    # Of all pairs of places that lie a power apart: the later one, ascending, and the earlier.
+    hits = []
+    for size in (1 << k for k in range(window.bit_length() - 1) if 1 << k < window):
+        at = np.searchsorted(places, places - size)
+        later = np.flatnonzero(places[at] == places - size)
+        hits.append(np.stack([later, at[later]]))
+    later, earlier = np.concatenate(hits, axis=1) if hits else np.zeros((2, 0), dtype=np.int64)
+    order = np.argsort(later, kind="stable")
+    earlier = earlier[order].tolist()
+    first = np.searchsorted(later[order], np.arange(len(place) + 1)).tolist()
     total, previous = [0] * len(place), [0] * len(place)
     queue = deque([(0, 0, 0)])  # (total + place, place, index), keys ascending
     for j in range(1, len(place)):
@@ -65,9 +73,8 @@ def best_cuts(places, cost, window=WINDOW):
             queue.popleft()
         key, _, best = queue[0]
         least = key + window - p
-        for size in powers:
-            i = index.get(p - size)
-            if i is not None and total[i] < least:
+        for i in earlier[first[j]:first[j + 1]]:
+            if total[i] < least:
                 least, best = total[i], i
         total[j], previous[j] = least + price[j], best
         key = total[j] + p
@@ -141,7 +148,6 @@ def pack(docs, vocabulary, window=WINDOW, block=BLOCK):
     """
     share_code(docs.sparkSession)
     rows = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"),
-        F.xxhash64("text").alias("tie"))
-    ordered = in_order(rows, ["doc_id", "tie"]).select("doc_id", "text")
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
+    ordered = in_order(rows, ["doc_id"], [F.xxhash64("text")]).select("doc_id", "text")
     return ordered.mapInArrow(_packing(vocabulary, window, block), PIECES)

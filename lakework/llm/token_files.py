@@ -51,9 +51,8 @@ def write_tokens(docs, path, vocabulary):
     """
     share_code(docs.sparkSession)
     rows = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"),
-        F.xxhash64("text").alias("tie"))
-    ordered = in_order(rows, ["doc_id", "tie"]).select("doc_id", "text")
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
+    ordered = in_order(rows, ["doc_id"], [F.xxhash64("text")]).select("doc_id", "text")
     (
         ordered.mapInArrow(_encoding(vocabulary), STORED)
         .write

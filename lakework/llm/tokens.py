@@ -8,8 +8,8 @@ from tokenizers import Tokenizer
 
 #: Ends every document.
 END = 1
-#: Pieces, and words, that a worker keeps; others are looked up anew in each chunk.
-KEPT = 500_000
+#: Words, with and without marks, that a worker keeps; others are looked up anew in each chunk.
+KEPT = 700_000
 #: Stands between words that are encoded in one call; no word that holds it is.
 MARK = b"\x01"
 #: Marks that part from a letter before them, whatever follows.
@@ -37,12 +37,15 @@ class Encoder:
     def __init__(self, path):
         self.tokenizer = Tokenizer.from_file(path)
         self.mark = self.tokenizer.encode(MARK.decode(), add_special_tokens=False).ids[0]
-        # Word 0 is empty, word 1 the end of a document; a piece is two words.
-        self.words, self.ids, self.starts = {b"": 0, None: 1}, array("i", [END]), array("q", [0, 0, 1])
-        self.pieces, self.first, self.second = {None: 0}, array("q", [1]), array("q", [0])
+        # Word 0 is the end of a document.
+        self.words, self.ids, self.starts = {None: 0}, array("i", [END]), array("q", [0, 1])
+        vocabulary = self.tokenizer.get_vocab()
         self.closing = np.array(sorted(
-            i for t, i in self.tokenizer.get_vocab().items()
+            i for t, i in vocabulary.items()
             if t.endswith("</w>") and t[:-4] and set(t[:-4]) <= set(CLOSING)), dtype=np.int32)
+        #: Whether an id ends a word.
+        self.last = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.last[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
 
     def _ids(self, text):
         found = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0]
@@ -55,33 +58,51 @@ class Encoder:
         self.ids.frombytes(ids.tobytes())
 
     def _learn_words(self, new):
-        alone = [w for w in new if MARK in w or b"<|" in w]
-        for word in alone:
-            ids = self._ids(word.decode())
-            self._keep([word], ids, [len(ids)])
-        new = [w for w in new if not (MARK in w or b"<|" in w)]
-        for i in range(0, len(new), 20_000):
-            some = new[i:i + 20_000]
-            # One call for many words: the mark behind each is a token of its own.
+        plain, other = [], []
+        for word in new:
+            if word.isalpha() or word.decode().isalpha():
+                plain.append(word)
+            elif MARK in word or b"<|" in word:
+                ids = self._ids(word.decode())
+                self._keep([word], ids, [len(ids)])
+            else:
+                other.append(word)
+        for i in range(0, len(plain), 20_000):
+            some = plain[i:i + 20_000]
+            # One call for many words: letters alone are one word to the tokenizer, too.
+            ids = self._ids(b" ".join(some).decode())
+            at = np.flatnonzero(self.last[ids])
+            if len(at) == len(some):
+                self._keep(some, ids, np.diff(at, prepend=-1))
+            else:  # some letter becomes more than a letter when it is folded
+                other += some
+        for i in range(0, len(other), 20_000):
+            some = other[i:i + 20_000]
+            # The mark behind each word is a token of its own.
             ids = self._ids((b" " + MARK + b" ").join([*some, b""]).decode())
             at = np.flatnonzero(ids == self.mark)
             self._keep(some, ids[ids != self.mark], np.diff(at, prepend=-1) - 1)
 
     def _learn(self, new):
-        parts = [_parted(p) for p in new]
-        self._learn_words(list({w for p in parts for w in p}.difference(self.words)))
-        word = self.words.__getitem__
-        self.pieces.update(zip(new, range(len(self.first), len(self.first) + len(new)), strict=True))
-        self.first.extend([word(p[0]) for p in parts])
-        self.second.extend([word(p[1]) for p in parts])
-
-    def _forget(self, pieces, words):
-        """Back to the tables of before a chunk, which refer to nothing learned since."""
-        while len(self.pieces) > pieces:
-            self.pieces.popitem()
+        whole, marked = [], []
+        for word in new:
+            head, tail = _parted(word) if word[-1] in TAIL else (word, b"")
+            if tail:
+                marked.append((word, head, tail))
+            else:
+                whole.append(word)
+        parts = {p for _, *both in marked for p in both}.difference(self.words, whole)
+        self._learn_words([*whole, *parts])
+        if marked:
+            number = self.words.__getitem__
+            at = np.fromiter((number(p) for _, *both in marked for p in both), np.int64, 2 * len(marked))
+            ids, sizes = _gathered(self.ids, self.starts, at)
+            self._keep([word for word, _, _ in marked], ids, sizes[::2] + sizes[1::2])
+
+    def _forget(self, words):
+        """Back to the table of before a chunk, which refers to nothing learned since."""
         while len(self.words) > words:
             self.words.popitem()
-        del self.first[pieces:], self.second[pieces:]
         del self.starts[words + 1:]
         del self.ids[self.starts[-1]:]
 
@@ -97,24 +118,27 @@ class Encoder:
                     pieces += text.lower().split()
             pieces.append(None)
             counts.append(len(pieces) - first)
-        before = len(self.pieces), len(self.words)
-        self._learn(list(set(pieces).difference(self.pieces)))
-        at = np.fromiter(map(self.pieces.__getitem__, pieces), np.int64, len(pieces))
-        at = np.stack([np.array(self.first)[at], np.array(self.second)[at]], axis=1).ravel()
-        starts = np.array(self.starts)
-        sizes = np.diff(starts)[at]
-        ends = np.cumsum(sizes)
-        take = np.repeat(starts[at] - ends + sizes, sizes)
-        take += np.arange(len(take))
-        ids = np.array(self.ids, dtype=np.int32)[take]
+        before = len(self.words)
+        self._learn(list(set(pieces).difference(self.words)))
+        at = np.fromiter(map(self.words.__getitem__, pieces), np.int64, len(pieces))
+        ids, sizes = _gathered(self.ids, self.starts, at)
         bounds = np.zeros(len(counts) + 1, dtype=np.int64)
         if counts:
-            bounds[1:] = ends[2 * np.cumsum(counts) - 1]
-        if max(len(self.pieces), len(self.words)) > KEPT:
-            self._forget(*before)
+            bounds[1:] = np.cumsum(sizes)[np.cumsum(counts) - 1]
+        if len(self.words) > KEPT:
+            self._forget(before)
         return ids, bounds
 
 
+def _gathered(ids, starts, at):
+    """The ids of the entries ``at`` in a row, and how many each has."""
+    starts = np.array(starts)
+    sizes = np.diff(starts)[at]
+    take = np.repeat(starts[at] - np.cumsum(sizes) + sizes, sizes)
+    take += np.arange(len(take))
+    return np.array(ids, dtype=np.int32)[take], sizes
+
+
 @functools.lru_cache(maxsize=2)
 def encoder(path):
     """The worker's encoder for a vocabulary file."""
