@@ -6,34 +6,30 @@ place are cut into runs of equal length. Rows of one run are near each other in
 column, so readers that filter on any of them skip most shards by minimum and maximum.
 """
 
-import os.path
-
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from lakework.llm.common import cut, in_order, part_offsets
+from lakework.llm.common import cut, if_small, in_order, part_offsets
 
 BITS = 4
-#: Bytes of a text value that order it, behind what all values have in common.
-ORDERING_BYTES = 7
 
 
-def _ordinals(df, columns):
-    """Each column as a number that keeps its order; text by its first telling bytes."""
-    kinds = dict(df.dtypes)
-    texts = [c for c in columns if kinds[c] == "string"]
-    ends = df.agg(*[f(c).alias(f"{c}_{f.__name__}") for c in texts for f in (F.min, F.max)]).first() \
-        if texts else None
-    found = {}
-    for c in columns:
-        if c not in texts:
-            found[c] = F.col(c).cast("double")
-            continue
-        low, high = ends[f"{c}_min"], ends[f"{c}_max"]
-        common = os.path.commonprefix([(low or "").encode(), (high or "").encode()])
-        rest = F.substring(F.col(c).cast("binary"), len(common) + 1, ORDERING_BYTES)
-        digits = F.rpad(F.hex(rest), 2 * ORDERING_BYTES, "0")
-        found[c] = F.conv(digits, 16, 10).cast("double")
-    return found
+def _with_text_code(df, column, bits, name):
+    """Adds the code of a text column: its values in order, cut where equal shares of rows end.
+
+    The values are counted, ordered and summed up as one table, whatever they have in common.
+    """
+    values = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("_value")).agg(
+        F.count(F.lit(1)).alias("_rows"))
+    ordered = cut(in_order(values, ["_value"]), "values")
+    earlier = Window.partitionBy("part").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    ordered = ordered.withColumn("_inside", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
+    coded = ordered.join(part_offsets(ordered, before=F.col("_rows")), "part").select(
+        "_value", F.floor((F.col("before") + F.col("_inside")) * (1 << bits) / F.col("before_total"))
+        .cast("int").alias(name))
+    coded = if_small(cut(coded, "codes"))
+    return df.join(coded, F.col(column) == F.col("_value"), "left").drop("_value").withColumn(
+        name, F.coalesce(name, F.lit(0)))
 
 
 def quantised(df, columns, bits=BITS, prefix="_axis"):
@@ -41,18 +37,21 @@ def quantised(df, columns, bits=BITS, prefix="_axis"):
 
     Codes keep the order of the values; equal values have equal codes; null has code 0.
     """
-    ordinals = _ordinals(df, columns)
+    kinds = dict(df.dtypes)
+    numbers = [c for c in columns if kinds[c] != "string"]
     shares = [i / (1 << bits) for i in range(1, 1 << bits)]
     bounds = df.agg(*[
-        F.percentile_approx(o, shares, 10_000).alias(f"b{i}")
-        for i, o in enumerate(ordinals.values())]).first()
-    codes = {}
-    for i, ordinal in enumerate(ordinals.values()):
-        code = F.lit(0)
-        for bound in sorted(set(bounds[f"b{i}"] or [])):
-            code = code + F.coalesce(ordinal > F.lit(bound), F.lit(False)).cast("int")
-        codes[f"{prefix}{i}"] = code
-    return df.withColumns(codes)
+        F.percentile_approx(F.col(c).cast("double"), shares, 10_000).alias(c)
+        for c in numbers]).first() if numbers else {}
+    for i, c in enumerate(columns):
+        if c in numbers:
+            code = F.lit(0)
+            for bound in sorted(set(bounds[c] or [])):
+                code = code + F.coalesce(F.col(c).cast("double") > F.lit(bound), F.lit(False)).cast("int")
+            df = df.withColumn(f"{prefix}{i}", code)
+        else:
+            df = _with_text_code(df, c, bits, f"{prefix}{i}")
+    return df
 
 
 def _bound(value, body):
