@@ -4,9 +4,9 @@ Documents fall into cells of source, language and topic. The token weights of th
 are raked: scaled to meet the target share of each source, then of each language, then of
 each topic, again and again until all three hold. A document is then drawn at the rate
 that brings its cell from its tokens to its weight's share of a token budget: with a
-probability below one, or as often as the rate says above. The fraction is drawn from a
-hash of its id, so that expected tokens meet every target and the budget, and a rerun
-draws the same documents.
+probability below one, or as often as the rate says above, up to a bound; what a cell lacks
+beyond it is reported. The fraction is drawn from a hash of its id, so that expected tokens
+meet every target and the budget but for what cells lack, and a rerun draws the same documents.
 """
 
 from pyspark.sql import Window
@@ -22,6 +22,8 @@ TOLERANCE = 1e-6
 #: Rounds in one plan, between two written tables.
 ROUNDS_AT_ONCE = 2
 SEED = 11
+#: How often a document may stand in the sample at most.
+MOST_COPIES = 8
 
 
 def topic_of(text):
@@ -47,23 +49,24 @@ def rake(cells, dims, targets=None, exponents=None):
     default). Shares count among the values that are there. Adds ``weight``, which sums to one. Cells without
     tokens weigh nothing.
     """
-    everything = Window.partitionBy()
-    total = F.sum("tokens").over(everything)
+    cells = cut(cells, "cells")
+    total = cells.agg(F.sum("tokens")).first()[0] or 1
     for dim in dims:
-        own = F.sum("tokens").over(Window.partitionBy(dim)) / total
+        own = F.sum("tokens") / F.lit(total)
         given = (targets or {}).get(dim)
         if given is None:
-            wanted = F.pow(own, F.lit(float((exponents or {}).get(dim, 1))))
+            wanted = F.pow("own", F.lit(float((exponents or {}).get(dim, 1))))
         else:
-            wanted = own
+            wanted = F.col("own")
             for value, share in given.items():
-                wanted = F.when(F.col(dim).eqNullSafe(F.lit(value)), F.lit(float(share))).otherwise(wanted)
-        first = F.row_number().over(Window.partitionBy(dim).orderBy(*dims)) == 1
-        cells = cells.withColumns({f"_want_{dim}": wanted, f"_first_{dim}": first}).withColumn(
-            f"_want_{dim}", F.col(f"_want_{dim}") / F.sum(
-                F.when(F.col(f"_first_{dim}"), F.col(f"_want_{dim}"))).over(everything)
-        ).drop(f"_first_{dim}")
-    cells = cut(cells.withColumn("weight", F.col("tokens") / total), "cells")
+                wanted = F.when(F.col("_value").eqNullSafe(F.lit(value)), F.lit(float(share))).otherwise(wanted)
+        # One row per value; their sum is one number.
+        shares = cut(cells.groupBy(F.col(dim).alias("_value")).agg(own.alias("own")).select(
+            "_value", wanted.alias("_share")), "shares")
+        whole = shares.agg(F.sum("_share")).first()[0] or 1
+        cells = cells.join(if_small(shares), F.col(dim).eqNullSafe(F.col("_value"))).withColumn(
+            f"_want_{dim}", F.col("_share") / F.lit(whole)).drop("_value", "_share")
+    cells = cut(cells.withColumn("weight", F.col("tokens") / F.lit(total)), "weighed")
     for _ in range(0, ROUNDS, ROUNDS_AT_ONCE):
         for _ in range(ROUNDS_AT_ONCE):
             for dim in dims:
@@ -81,15 +84,16 @@ def rake(cells, dims, targets=None, exponents=None):
     return cells.drop(*[f"_want_{d}" for d in dims])
 
 
-def rated(docs, columns, topic=None, targets=None, exponents=None, seed=SEED, budget=None):
-    """``columns`` of ``docs`` with ``topic, tokens, weight, rate, probability, copies, sampled``.
+def rated(docs, columns, topic=None, targets=None, exponents=None, seed=SEED, budget=None,
+          most_copies=MOST_COPIES):
+    """``columns`` of ``docs`` with ``topic, tokens, weight, rate, probability, copies, sampled, lacking``.
 
     ``docs`` needs ``doc_id, text, lang, source``; ``topic`` is a column, by default the kind of
     text. ``weight`` is that of the document's cell. ``budget`` is the expected number of tokens
     drawn, by default as many as there are, so no cell sets how much of the others is kept.
     ``rate`` is the expected number of ``copies`` in the sample, ``probability`` that of having
-    any; a cell whose weight asks for more tokens than it has is repeated, and no rate is cut
-    off at one. Null and empty texts count one token; null
+    any; a cell whose weight asks for more tokens than it has is repeated, each document
+    ``most_copies`` times at most; ``lacking`` is what its cell is short of then, in tokens. Null and empty texts count one token; null
     sources, languages and topics are values of their own; rows with one ``doc_id`` and source
     are kept or left together, null ids by their text. An empty table gives no rows.
     """
@@ -104,10 +108,14 @@ def rated(docs, columns, topic=None, targets=None, exponents=None, seed=SEED, bu
     cells = rows.groupBy(*dims).agg(F.sum("_tokens").alias("tokens"))
     given = {f"_{k}": v for k, v in (targets or {}).items()}
     powers = {f"_{k}": v for k, v in (EXPONENTS if exponents is None else exponents).items()}
-    wanted = F.sum("tokens").over(Window.partitionBy()) if budget is None else F.lit(float(budget))
-    cells = cut(rake(cells, dims, given, powers).select(
+    raked = rake(cells, dims, given, powers)
+    if budget is None:
+        budget = raked.agg(F.sum("tokens")).first()[0] or 0
+    wanted = F.lit(float(budget))
+    cells = cut(raked.select(
         *[F.col(d).alias(f"_cell{d}") for d in dims], "weight",
-        (F.col("weight") * wanted / F.col("tokens")).alias("rate")), "rated")
+        F.least(F.col("weight") * wanted / F.col("tokens"), F.lit(float(most_copies))).alias("rate"),
+        F.greatest(F.col("weight") * wanted - F.col("tokens") * most_copies, F.lit(0.0)).alias("lacking")), "rated")
     same = F.lit(True)
     for dim in dims:
         same = same & F.col(dim).eqNullSafe(F.col(f"_cell{dim}"))
@@ -117,7 +125,7 @@ def rated(docs, columns, topic=None, targets=None, exponents=None, seed=SEED, bu
     return rows.join(if_small(cells), same).withColumn("copies", copies).select(
         *columns, F.col("_topic").alias("topic"), F.col("_tokens").cast("long").alias("tokens"),
         "weight", "rate", F.least("rate", F.lit(1.0)).alias("probability"), "copies",
-        (F.col("copies") > 0).alias("sampled"))
+        (F.col("copies") > 0).alias("sampled"), "lacking")
 
 
 def mix(docs, **options):
