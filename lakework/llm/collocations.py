@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from lakework.llm.common import chunks, cut, if_small, share_code, width
+from lakework.llm.common import chunks, cut, if_small, share_code, thrifty, width
 from lakework.llm.shingles import mixed, word_hashes
 
 MIN_COUNT, MAX_WORDS, TOP = 100, 5, 2000
@@ -361,11 +361,11 @@ def phrase_counts(docs, least=MIN_COUNT):
         F.coalesce(F.col("lang").cast("string"), F.lit("und")).cast("binary").alias("lang"),
         F.coalesce(F.col("text").cast("binary"), F.lit("").cast("binary")).alias("text"))
     often = F.col("n") >= least
-    runs = cut(docs.mapInArrow(_counting(None, least), f"{RUNS}, {BLOCKS}"), "word-runs")
+    runs = cut(docs.mapInArrow(thrifty(_counting(None, least)), f"{RUNS}, {BLOCKS}"), "word-runs")
     bits = _bitmap(runs.where("block is not null").select("block", "sizes", "lows", "counts"), least)
     words = cut(_merged(runs), "words")
     totals = words.groupBy("lang").agg(F.sum("n").alias("total"))
-    longer = _merged(docs.mapInArrow(_counting(bits, least), f"{RUNS}, {BLOCKS}"))
+    longer = _merged(docs.mapInArrow(thrifty(_counting(bits, least)), f"{RUNS}, {BLOCKS}"))
     every = words.where(often).unionAll(longer.where(often))
     return totals, cut(every.withColumn("words", F.size(F.split("phrase", " "))), "frequent")
 
