@@ -75,7 +75,7 @@ def write_part(df, path, by=None, time=None):
     With ``by`` the part is split into folders. Its rows and its range of ``time`` are taken
     from what was written, of which that reads the footers and one column.
     """
-    name = f"parts/part={uuid.uuid4().hex}"
+    name = f"parts/_part={uuid.uuid4().hex}"
     if by is None:
         df.write.parquet(f"{path}/{name}")
     else:
@@ -89,7 +89,7 @@ def write_part(df, path, by=None, time=None):
 def read_parts(spark, path, parts, keys=(), **options):
     """The rows of some parts; ``keys``, taken from folder names, are text."""
     paths = [f"{path}/{part['name']}" for part in parts]
-    return read_keyed(spark, paths, keys, basePath=f"{path}/parts", **options).drop("part", "bucket")
+    return read_keyed(spark, paths, keys, basePath=f"{path}/parts", **options).drop("_part", "_bucket")
 
 
 def read_current(spark, path, keys=(), **options):

@@ -166,10 +166,10 @@ def start_layers(stream, to_silver, keys, order, silver_path, gold_path, checkpo
         old = [p for p in parts if p["bucket"] in touched]
         earlier = [versions.read_parts(spark, gold_path, old, mergeSchema=True)] if old else []
         if touched:
-            gold = merge_newest([rows, *earlier], keys).withColumn("bucket", bucket)
-            part = versions.write_part(gold, gold_path, "bucket")
+            gold = merge_newest([rows, *earlier], keys).withColumn("_bucket", bucket)
+            part = versions.write_part(gold, gold_path, "_bucket")
             parts = [p for p in parts if p["bucket"] not in touched] + [
-                {**part, "name": f"{part['name']}/bucket={b}", "bucket": b} for b in sorted(touched)]
+                {**part, "name": f"{part['name']}/_bucket={b}", "bucket": b} for b in sorted(touched)]
         versions.publish(spark, gold_path, parts, batch_id)
         _tidy(spark, gold_path, batch_id)
 

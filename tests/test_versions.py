@@ -68,6 +68,14 @@ def test_expire_removes_what_no_reader_needs(spark, tmp_path):
     assert versions.expire(spark, str(tmp_path / "none")) == 0
 
 
+def test_columns_named_like_the_folders_of_parts(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.createDataFrame([(1, 2, "x")], "part long, bucket long, k string")
+    versions.replace(rows, path, by="k")
+    versions.add(spark, path, versions.write_part(rows, path, "k"), "k", keys=["k"])
+    assert versions.read_current(spark, path, ["k"]).select("part", "bucket", "k").collect() == [(1, 2, "x")] * 2
+
+
 def test_times_as_microseconds_and_back(spark):
     time = datetime.datetime(1969, 12, 31, 23, 59, 59, 999_999)
     row = spark.createDataFrame([(time, time)], "a timestamp_ntz, b timestamp")
