@@ -447,6 +447,7 @@ def test_sql_of_licences_is_as_registered():
     assert hashlib.sha256(licenses.licences_sql().encode()).hexdigest() == "1c1aca3e77f953e6452102d5670cc3605265c1352d92c3d487bf0c2759624ef6"
 
 
+# The standard public notices that must be recognised.
 MIT = """MIT License
 
 Copyright (c) 2020 Some One
