@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from lakework.llm.common import chunks, cut, if_small, share_code
+from lakework.llm.common import chunks, cut, if_small, share_code, thrifty
 from lakework.llm.components import components
 from lakework.llm.shingles import WordHashes, mixed, shingle_sets
 
@@ -38,13 +38,17 @@ BLOCK = 256
 NODE = 16
 #: Counts of a group's point: the group's hash range is cut into so many.
 FINE = 3
+#: Bytes of texts that a worker takes apart at a time; the words of more take much memory.
+TEXTS = 1 << 20
 #: Groups beyond those needed, as a share of the tokens in which linked sets may differ.
 SPARE = 0.5
 #: A key's lowest bit tells an empty group, the next ones its class.
 LEVEL_BITS = 6
 
-#: Counts of the short vector that trees and first bounds use, whatever the class.
-SHORT = 64
+#: Counts of the short vector that trees and first bounds use, whatever the class, as a power of
+#: two. Fewer tell little of sets of some hundred tokens around a passage that they share.
+SHORT_BITS = 8
+SHORT = 1 << SHORT_BITS
 
 FEATURES = ("doc_id long, n long, signature binary, keys array<long>, wanted array<int>,"
             " short binary, level int, counts binary, next_counts binary")
@@ -130,7 +134,7 @@ def _features(size, percent):
     def features(batches):
         classes, known = Classes(percent), {}
         for batch in batches:
-            for piece in chunks(batch, "text"):
+            for piece in chunks(batch, "text", TEXTS):
                 rows = {name: [] for name in (
                     "n", "signature", "keys", "wanted", "short", "level", "counts", "next")}
                 for tokens in shingle_sets(piece.column("text").to_pylist(), size, _HASHES):
@@ -146,7 +150,7 @@ def _features(size, percent):
                         np.concatenate([k.view(np.int64) for k, _, _ in found]) if found else [])
                     rows["wanted"].append([more for _, more, _ in found])
                     rows["short"].append(_packed(np.bincount(
-                        (mixed(tokens) >> np.uint64(58)).astype(np.int64), minlength=SHORT)))
+                        (mixed(tokens) >> np.uint64(64 - SHORT_BITS)).astype(np.int64), minlength=SHORT)))
                     rows["level"].append(known[n][0][0] if n else None)
                     rows["counts"].append(vectors[0])
                     rows["next"].append(vectors[1])
@@ -252,7 +256,7 @@ def _allowed(pairs, points, percent):
         left = points.select(F.col("rep").alias("a"), F.struct(*columns).alias("left"))
         right = points.select(F.col("rep").alias("b"), F.struct(*columns).alias("right"))
         pairs = cut(pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right").mapInArrow(
-            _bounded(percent, vectors), "a long, b long"), "allowed")
+            thrifty(_bounded(percent, vectors)), "a long, b long"), "allowed")
         pairs = if_small(pairs)
     return pairs
 
@@ -262,7 +266,7 @@ def _verify(size, percent):
         """Rows in order of (a, salt, own text first); links of each text with a's."""
         held, own = None, None
         for batch in batches:
-            for piece in chunks(batch, "text"):
+            for piece in chunks(batch, "text", TEXTS):
                 a, salt, b = (piece.column(c).to_pylist() for c in ("a", "salt", "b"))
                 linked = []
                 sets = shingle_sets(piece.column("text").to_pylist(), size, _HASHES)
@@ -296,7 +300,7 @@ def _links(pairs, texts, size, percent):
     rows = texts.join(wanted, F.col("doc_id") == F.col("b")).select("a", "salt", "b", "text")
     return rows.repartition("a", "salt").sortWithinPartitions(
         "a", "salt", F.col("a") != F.col("b"), "b").mapInArrow(
-        _verify(size, percent), "a long, b long")
+        thrifty(_verify(size, percent)), "a long, b long")
 
 
 def near_classes(docs, size=5, percent=80):
@@ -313,10 +317,13 @@ def near_classes(docs, size=5, percent=80):
         F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
     if docs.groupBy("doc_id").count().where("count > 1").limit(1).count():
         docs = docs.groupBy("doc_id").agg(F.min("text").alias("text"))
-    features = cut(docs.mapInArrow(_features(size, percent), FEATURES), "features")
+    features = cut(docs.mapInArrow(thrifty(_features(size, percent)), FEATURES), "features")
     sets = features.where("n > 0")
-    owners = sets.groupBy("signature").agg(F.min("doc_id").alias("rep"))
-    copies = cut(sets.select("doc_id", "signature").join(owners, "signature")
+    # Sets that only one text has leave first. The others are joined from tables, so that Spark
+    # may split the rows of a set that very many texts have.
+    owners = cut(sets.groupBy("signature").agg(
+        F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "owners")
+    copies = cut(sets.select("doc_id", "signature").join(if_small(owners), "signature")
                  .where("doc_id != rep").select("doc_id", "rep"), "copies")
     reps = sets.join(if_small(copies.select("doc_id")), "doc_id", "left_anti").withColumnRenamed(
         "doc_id", "rep")
@@ -347,7 +354,7 @@ def near_classes(docs, size=5, percent=80):
     pairs = left.join(right, "key").where(
         "block <= other and not (left_low = left_high and right_low = right_high"
         " and left_low = right_low)").select("left", "right")
-    pairs = pairs.mapInArrow(_search(percent), "a long, b long")
+    pairs = pairs.mapInArrow(thrifty(_search(percent)), "a long, b long")
     more = cut(_links(_allowed(pairs, points, percent), docs, size, percent), "tree-links")
     found = components(more.unionAll(found.select("node", "component")))
     found = if_small(cut(found.select(F.col("node").alias("rep"), "component"), "components"))

@@ -20,7 +20,7 @@ def mixed(x):
 class WordHashes:
     """Remembers the hash of each word up to a bound; the hash depends on the word alone."""
 
-    KEPT = 300_000
+    KEPT = 150_000
 
     def __init__(self):
         self.known = {}
