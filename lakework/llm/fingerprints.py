@@ -22,9 +22,6 @@ are drawn together, like a text and its edited form, share the draws of the word
 the same in them.
 """
 
-from functools import reduce
-from operator import or_
-
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -64,34 +61,56 @@ def _words(text):
     return F.transform(words, lambda w: F.xxhash64(w))
 
 
+def _entry(word, weight, texts):
+    return F.struct(word.alias("_word"), weight.alias("weight"), texts.alias("texts"))
+
+
+def _run_bounds(words):
+    """Places where the runs of equal values of a sorted array begin, and its length if it has any."""
+    return F.filter(
+        F.sequence(F.lit(0), F.size(words)),
+        lambda at: ~F.get(words, at).eqNullSafe(F.get(words, at - 1)))
+
+
+def _counted(words, bounds, texts):
+    """An entry per distinct word of a sorted array, with the length of its run."""
+    return F.transform(F.array_distinct(words), lambda word, at: _entry(
+        word, F.get(bounds, at + 1) - F.get(bounds, at), F.lit(texts)))
+
+
+def _shared(entries, most):
+    """One entry for each run of ``most`` at most with equal word and weight in a sorted array."""
+    def same(a, b):
+        return a["_word"].eqNullSafe(b["_word"]) & a["weight"].eqNullSafe(b["weight"])
+
+    def first(entry, at):
+        others = [F.get(entries, at + i) for i in range(1, most)]
+        texts = sum((F.when(same(entry, x), x["texts"]).otherwise(0) for x in others), entry["texts"])
+        return F.when(~same(entry, F.get(entries, at - 1)), _entry(entry["_word"], entry["weight"], texts))
+
+    return F.array_compact(F.transform(entries, first))
+
+
 def fingerprints_of(rows, key, texts):
     """``rows`` with the samples of every text column in ``texts`` (a name to a column).
 
     ``key`` are columns of ``rows``, the first of which deals the rows over tasks, that tell
     rows apart; they are all that stays. The samples of a text are ``sample * 65536 + 16
-    bits of a hash``; null, empty and blank texts have none. Equal words are folded first. A word is
+    bits of a hash``; null, empty and blank texts have none. Equal words are folded first, in
+    sorted arrays of one row, so that no task holds the words of all its rows. A word is
     then drawn once for all texts of its row in which it has the same weight; the smallest
     draw of each sample is kept, first for each set of texts and then for each text.
     """
     names = list(texts)
-
-    def marked(hashes, i):
-        return F.transform(hashes, lambda w: F.struct(w.alias("word"), F.lit(i).alias("of")))
-
-    found = F.concat(*[marked(_words(column), i) for i, column in enumerate(texts.values())])
-    words = rows.select(*key, F.explode_outer(found).alias("_w")).select(
-        *key, F.col("_w.word").alias("_word"), F.col("_w.of").alias("_of"))
-    folded = words.groupBy(*key, "_word").agg(*[
-        F.count_if(F.col("_of") == i).alias(f"_n{i}") for i in range(len(names))])
-    weights = []
-    for i in range(len(names)):
-        n = F.col(f"_n{i}")
-        shared = sum((F.when(F.col(f"_n{j}") == n, 1 << j).otherwise(0) for j in range(len(names))), F.lit(0))
-        met = reduce(or_, [F.col(f"_n{j}") == n for j in range(i)], n == 0)
-        weights.append(F.when(~met, F.struct(n.alias("weight"), shared.alias("texts"))))
-    # A row without words keeps one entry, of no text.
-    none = F.when(F.isnull("_word"), F.struct(F.lit(None).cast("long").alias("weight"), F.lit(0).alias("texts")))
-    drawn = folded.select(*key, "_word", F.inline(F.array_compact(F.array(*weights, none))))
+    # A column of each step is read several times in the next, so Spark works it out once.
+    words = rows.select(*key, *[
+        F.sort_array(_words(column)).alias(f"_words{i}") for i, column in enumerate(texts.values())])
+    bounds = words.select("*", *[
+        _run_bounds(F.col(f"_words{i}")).alias(f"_bounds{i}") for i in range(len(names))])
+    counted = bounds.select(*key, F.sort_array(F.concat(*[
+        _counted(F.col(f"_words{i}"), F.col(f"_bounds{i}"), 1 << i) for i in range(len(names))])).alias("_entries"))
+    # A row without words keeps one entry, of nulls.
+    drawn = counted.select(*key, F.inline_outer(_shared(F.col("_entries"), len(names))))
     least = drawn.groupBy(*key, "texts").agg(*[
         F.min(_drawn(F.col("_word"), F.col("weight"), k)).alias(f"_{k}") for k in range(SAMPLES)])
     kept = least.groupBy(*key).agg(*[

@@ -543,3 +543,35 @@ def test_fingerprints_are_generalised_jaccard(spark):
         assert abs(found.mean()) < 4 * 0.5 / np.sqrt(64 * len(found)) + 1e-3, found.mean()
         assert np.abs(found).max() < 5 * 0.5 / np.sqrt(64)
     assert {len(r["fingerprint"]) for r in rows.values()} == {6 * fingerprints.SAMPLES}
+
+
+def test_fingerprints_fold_words_within_a_row(spark, monkeypatch):
+    monkeypatch.setattr(fingerprints, "SAMPLES", 4)
+    docs = spark.createDataFrame([(i, f"w{i} w w") for i in range(4)], "doc_id long, text string")
+    plan = fingerprints.fingerprints(docs)._jdf.queryExecution().executedPlan().toString()
+    keys = re.findall(r"Aggregate\(keys=\[([^\]]*)\]", plan)
+    # An aggregate by words would hold those of all documents of a task at once.
+    assert keys and not [k for k in keys if "word" in k], keys
+
+
+def test_draws_shared_by_several_texts_are_those_of_each_text(spark, monkeypatch):
+    monkeypatch.setattr(fingerprints, "SAMPLES", 8)
+    rows = [(0, "a b b c c c", "c B a b c c d", "x"), (1, "a a", "a", "A a"), (2, None, " ", "a b"),
+            (3, "", None, None), (4, words(2, 300), words(2, 200) + " w1 w1", words(3, 40)),
+            (None, "a b", "b a", "a b b")]
+    texts = spark.createDataFrame(rows, "row long, one string, two string, three string")
+    names = ["one", "two", "three"]
+
+    def of(names):
+        found = fingerprints.fingerprints_of(texts, ["row"], {f"of_{n}": F.col(n) for n in names}).collect()
+        assert len(found) == len(rows)
+        return {r["row"]: r for r in found}
+
+    together = of(names)
+    for name in names:
+        alone = of([name])
+        for row in together:
+            assert together[row][f"of_{name}"] == alone[row][f"of_{name}"], (row, name)
+    assert together[None]["of_one"] == together[None]["of_two"] != together[None]["of_three"]
+    assert together[1]["of_one"] == together[1]["of_three"] and len(together[1]["of_two"]) == 8
+    assert together[2]["of_one"] == together[2]["of_two"] == together[3]["of_three"] == []
